@@ -13,11 +13,15 @@ import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from shelfwise.functions import parse  # noqa: E402
-from shelfwise.operators import clean  # noqa: E402
+from shelfwise.operators import clean, constraints  # noqa: E402
+from shelfwise.operators import normalize as N  # noqa: E402
+from shelfwise.operators.keys import dense_ids  # noqa: E402
+from shelfwise.plans import star as S  # noqa: E402
 from shelfwise.plans.cleaning import clean_titles  # noqa: E402
 from shelfwise.sources import fixtures as fx  # noqa: E402
 
@@ -55,6 +59,33 @@ def _q_dedupe_by_key(spark, d):
     return clean.dedupe_by_key(fx.titles_with_duplicates(spark, d))
 
 
+def _clean(spark, d):
+    return clean_titles(fx.titles_with_duplicates(spark, d))
+
+
+def _star(spark, d):
+    return S.build_star(_clean(spark, d))
+
+
+def _star_table(name):
+    return lambda spark, d: _star(spark, d)[name]
+
+
+def _q_attach_stats_key(spark, d):
+    c = _clean(spark, d)
+    stats = N.project_stats(c)
+    return N.attach_stats_key(c.select("title_id", *N.STAT_COLS), stats).select("title_id", "statistic_id")
+
+
+def _q_check_length(spark, d):
+    st = _star(spark, d)
+    g = constraints.check_length(st["genre"], "genre_name", constraints.GENRE_NAME_MAX)
+    s = constraints.check_length(st["studio"], "studio_name", constraints.STUDIO_NAME_MAX)
+    return (g.select(F.lit("genre").alias("kind"), F.col("genre_name").alias("name"))
+            .unionByName(s.select(F.lit("studio").alias("kind"), F.col("studio_name").alias("name")))
+            .withColumn("len", F.length("name")))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_titles": _q_clean_titles,
     "drop_blank_rows": _q_drop_blank_rows,
@@ -63,6 +94,30 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "impute_duration": _q_impute_duration,
     "collapse_rating": _q_collapse_rating,
     "dedupe_by_key": _q_dedupe_by_key,
+    # normalisation (star)
+    "project_core": lambda spark, d: N.project_core(_clean(spark, d)),
+    "project_stats": _star_table("statistic"),
+    "surrogate_key": lambda spark, d: dense_ids(_clean(spark, d).select("title_id"), ["title_id"], "id"),
+    "distinct_dimension": _star_table("premiered"),
+    "star_rating": _star_table("rating"),
+    "star_media_type": _star_table("media_type"),
+    "attach_dimension_key": _star_table("title"),
+    "split_distinct": _star_table("genre"),
+    "star_studio": _star_table("studio"),
+    "bridge_genres": _star_table("title_genre"),
+    "bridge_studios": _star_table("title_studio"),
+    "attach_stats_key": _q_attach_stats_key,
+    "star_titles": lambda spark, d: S.star_titles(_star(spark, d)),
+    # constraints
+    "check_score": lambda spark, d: constraints.check_score(fx.titles_with_violations(spark, d)),
+    "check_ranking": lambda spark, d: constraints.check_ranking(fx.titles_with_violations(spark, d)),
+    "check_counts": lambda spark, d: constraints.check_counts(fx.titles_with_violations(spark, d)),
+    "violations": lambda spark, d: constraints.violations(fx.titles_with_violations(spark, d)),
+    "check_primary_key": lambda spark, d: constraints.check_primary_key(
+        fx.titles_with_duplicates(spark, d), "title_id"),
+    "check_foreign_key": lambda spark, d: constraints.check_foreign_key(
+        fx.titles_changed(spark, d), "title_id", fx.titles_raw(spark, d), "title_id"),
+    "check_length": _q_check_length,
 }
 
 

@@ -52,9 +52,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc._jsc.sc().getCheckpointDir()
+    if not d and not current.isEmpty():
+        d = current.get()
     if not d:
         d = tempfile.mkdtemp(prefix="shelfwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - core conf may be read-only at runtime
+            pass
+    if current.isEmpty():
         sc.setCheckpointDir(d)
     return d
