@@ -21,6 +21,9 @@ from shelfwise.functions import parse  # noqa: E402
 from shelfwise.operators import clean, constraints  # noqa: E402
 from shelfwise.operators import normalize as N  # noqa: E402
 from shelfwise.operators.keys import dense_ids  # noqa: E402
+from shelfwise.operators import features as R  # noqa: E402
+from shelfwise.operators import recommend as REC  # noqa: E402
+from shelfwise.plans import recommender as RP  # noqa: E402
 from shelfwise.plans import star as S  # noqa: E402
 from shelfwise.plans.cleaning import clean_titles  # noqa: E402
 from shelfwise.sources import fixtures as fx  # noqa: E402
@@ -86,6 +89,55 @@ def _q_check_length(spark, d):
             .withColumn("len", F.length("name")))
 
 
+def _title_docs_norm(spark, d):
+    titles = S.star_titles(_star(spark, d))
+    return dense_ids(titles, list(S.COLLAPSE_KEYS), "doc_id").transform(R.normalise_list_text)
+
+
+def _corpus(spark, d):
+    return RP.title_corpus(_star(spark, d))
+
+
+def _doc_corpus(spark, d):
+    return RP.document_corpus(fx.table(spark, d, "documents"))
+
+
+def _round_weight(df, col="weight"):
+    return df.withColumn(col, F.round(col, 6))
+
+
+def _q_recommend_by_title(spark, d):
+    c = _corpus(spark, d)
+    title = c.docs.filter(F.col("doc_id") == 1).select("title_name").first()[0]
+    return REC.recommend_by_title(c.postings, c.docs, title, 10)
+
+
+def _list_names(c):
+    rows = c.docs.filter(F.col("doc_id").isin(1, 2, 3)).orderBy("doc_id").select("title_name").collect()
+    names = [r[0] for r in rows]
+    return names[:2] + names[1:2] + names[2:] + ["no such title"]
+
+
+def _q_recommend_by_list(spark, d):
+    c = _corpus(spark, d)
+    return REC.recommend_by_list(c.postings, c.docs, _list_names(c), 10)
+
+
+def _q_mean_vector(spark, d):
+    c = _corpus(spark, d)
+    wanted = spark.createDataFrame([(n,) for n in _list_names(c)], "title_name string")
+    ids = wanted.join(REC.title_lookup(c.docs), "title_name").select("doc_id")
+    return _round_weight(REC.mean_vector(c.postings, ids), "qw")
+
+
+def _q_cosine_one_vs_all(spark, d):
+    c = _doc_corpus(spark, d)
+    first = c.docs.agg(F.min("doc_id").alias("doc_id"))
+    query = c.postings.join(first, "doc_id").select("term", F.col("weight").alias("qw"))
+    scored = REC.cosine_one_vs_all(c.postings, query, c.docs.select("doc_id"), normalise_query=False)
+    return _round_weight(scored, "score")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_titles": _q_clean_titles,
     "drop_blank_rows": _q_drop_blank_rows,
@@ -118,6 +170,20 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_foreign_key": lambda spark, d: constraints.check_foreign_key(
         fx.titles_changed(spark, d), "title_id", fx.titles_raw(spark, d), "title_id"),
     "check_length": _q_check_length,
+    # text features and recommendations
+    "normalise_list_text": lambda spark, d: _title_docs_norm(spark, d).select(
+        "doc_id", "genre_names", "studio_names"),
+    "describe": lambda spark, d: RP.title_docs(_star(spark, d)),
+    "tfidf": lambda spark, d: _round_weight(_corpus(spark, d).postings),
+    "title_lookup": lambda spark, d: REC.title_lookup(RP.title_docs(_star(spark, d))),
+    "tokenize": lambda spark, d: R.tokenize(fx.table(spark, d, "documents"), text_col="text"),
+    "vocabulary_topn": lambda spark, d: R.vocabulary_topn(
+        R.tokenize(fx.table(spark, d, "documents"), text_col="text")),
+    "tfidf_documents": lambda spark, d: _round_weight(_doc_corpus(spark, d).postings),
+    "cosine_one_vs_all": _q_cosine_one_vs_all,
+    "recommend_by_title": _q_recommend_by_title,
+    "recommend_by_list": _q_recommend_by_list,
+    "mean_vector": _q_mean_vector,
 }
 
 
