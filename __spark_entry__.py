@@ -21,12 +21,15 @@ from shelfwise.functions import parse  # noqa: E402
 from shelfwise.operators import clean, constraints  # noqa: E402
 from shelfwise.operators import normalize as N  # noqa: E402
 from shelfwise.operators.keys import dense_ids  # noqa: E402
+from shelfwise.operators import extract as X  # noqa: E402
 from shelfwise.operators import features as R  # noqa: E402
+from shelfwise.operators import ingest, marts  # noqa: E402
 from shelfwise.operators import recommend as REC  # noqa: E402
 from shelfwise.plans import recommender as RP  # noqa: E402
 from shelfwise.plans import star as S  # noqa: E402
 from shelfwise.plans.cleaning import clean_titles  # noqa: E402
 from shelfwise.sources import fixtures as fx  # noqa: E402
+from shelfwise.sources import snapshots, tables  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -138,6 +141,23 @@ def _q_cosine_one_vs_all(spark, d):
     return _round_weight(scored, "score")
 
 
+def _pages(spark, d):
+    return fx.table(spark, d, "pages")
+
+
+def _kv(spark, d):
+    return X.kv_blocks(fx.info_blocks(spark, d))
+
+
+def _q_to_float_guarded(spark, d):
+    return _kv(spark, d).select("title_id", "pos", "value", parse.float_guarded("value").alias("as_float"),
+                                parse.int_digits("value").alias("as_int"))
+
+
+def _q_profile(spark, d):
+    return tables.profile_frame(fx.titles_raw(spark, d)).drop("data_type")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_titles": _q_clean_titles,
     "drop_blank_rows": _q_drop_blank_rows,
@@ -184,6 +204,29 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recommend_by_title": _q_recommend_by_title,
     "recommend_by_list": _q_recommend_by_list,
     "mean_vector": _q_mean_vector,
+    # dashboard marts
+    "popular_genres": lambda spark, d: marts.popular_genres(_star(spark, d)),
+    "studio_output": lambda spark, d: marts.studio_output(_star(spark, d)),
+    "score_distribution": lambda spark, d: marts.score_distribution(_star(spark, d)),
+    "episode_distribution": lambda spark, d: marts.episode_distribution(_star(spark, d)),
+    # page extraction
+    "rows_of_page": lambda spark, d: X.rows_of_page(_pages(spark, d)),
+    "links_of_page": lambda spark, d: X.links_of_page(_pages(spark, d)),
+    "first_text": lambda spark, d: X.page_fields(_pages(spark, d)),
+    "text_after_label": lambda spark, d: X.text_after_label(fx.info_blocks(spark, d)),
+    "digits_only": lambda spark, d: X.digits_after_label(fx.info_blocks(spark, d)),
+    "kv_blocks": _kv,
+    "pivot_blocks": lambda spark, d: X.pivot_blocks(_kv(spark, d)),
+    "to_int_commas": lambda spark, d: X.convert_counts(X.pivot_blocks(_kv(spark, d))),
+    "to_float_guarded": _q_to_float_guarded,
+    # ingestion, snapshots, profile
+    "insert_if_absent": lambda spark, d: ingest.insert_if_absent(
+        fx.titles_arriving(spark, d), fx.titles_stored(spark, d)),
+    "count_matches": lambda spark, d: ingest.count_matches(
+        fx.titles_stored(spark, d), fx.titles_arriving(spark, d)),
+    "differential_snapshot": lambda spark, d: snapshots.differential_snapshot(
+        fx.titles_raw(spark, d), fx.titles_changed(spark, d)),
+    "profile_frame": _q_profile,
 }
 
 

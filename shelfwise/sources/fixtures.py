@@ -53,7 +53,15 @@ FROM {titles_raw}
 # Stored vs arriving rows (incremental insert-if-absent): even ids are stored,
 # odd ids arrive, ids divisible by 10 are in both.
 TITLES_STORED_SQL = "SELECT * FROM {titles_raw} WHERE title_id % 2 = 0"
-TITLES_ARRIVING_SQL = "SELECT * FROM {titles_raw} WHERE title_id % 2 = 1 OR title_id % 10 = 0"
+# The arriving batch also re-sends the names of odd ids divisible by 3 under a
+# later id (first arrival must win).
+TITLES_ARRIVING_SQL = """
+SELECT * FROM {titles_raw} WHERE title_id % 2 = 1 OR title_id % 10 = 0
+UNION ALL
+SELECT title_id + 1000000 AS title_id, title_name, genres, studio, premiered, episodes, duration, rating,
+  media_type, status, score, ranking, popularity, members, favorites, synopsis
+FROM {titles_raw} WHERE title_id % 2 = 1 AND title_id % 3 = 0
+"""
 
 # Changed copy for the differential snapshot.
 TITLES_CHANGED_SQL = """

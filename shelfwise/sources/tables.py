@@ -81,7 +81,7 @@ def profile_frame(df: DataFrame) -> DataFrame:
                  *[F.count(F.col(c)).alias(f"__nn_{i}") for i, c in enumerate(cols)])
     types = dict(df.dtypes)
     stack = F.explode(F.array(*[
-        F.struct(F.lit(i + 1).alias("position"), F.lit(c).alias("column"), F.lit(types[c]).alias("type"),
+        F.struct(F.lit(i + 1).alias("position"), F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"),
                  F.col(f"__nn_{i}").alias("non_null"))
         for i, c in enumerate(cols)]))
     return agg.select(F.col("__rows").alias("rows"), stack.alias("s")).select("s.*", "rows")
