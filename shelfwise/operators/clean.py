@@ -100,9 +100,11 @@ def dedupe_by_key(df: DataFrame, key: str | Sequence[str] = "title_id",
     """One row per key; the survivor is the first by ``order_by``.
 
     Default order is all other columns, so the survivor is deterministic
-    (the reference keeps an arbitrary one). Implemented as an aggregate with
-    map-side partial combine: copies of a hot key collapse inside each map
-    task instead of forming one huge window partition.
+    (the reference keeps an arbitrary one). ``order_by`` entries are
+    ascending column names or expressions (negate a number for descending).
+    Implemented as an aggregate with map-side partial combine: copies of a hot
+    key collapse inside each map task instead of forming one huge window
+    partition.
     """
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in df.columns if c not in keys]

@@ -44,8 +44,8 @@ def insert_if_absent(batch: DataFrame, target: DataFrame, key: str = "title_name
         probe = F.collate(F.col(key), collation)
         firsts = firsts.withColumn("_k", probe)
         stored = stored.select(F.collate(F.col(key), collation).alias("_k")).distinct()
-        return firsts.join(stored, "_k", "left_anti").drop("_k")
-    return firsts.join(stored, key, "left_anti")
+        return firsts.join(stored, "_k", "left_anti").select(*batch.columns)
+    return firsts.join(stored, key, "left_anti").select(*batch.columns)
 
 
 def append_new(batch: DataFrame, target_path: str, key: str = "title_name",
