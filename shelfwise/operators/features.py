@@ -5,7 +5,8 @@ per non-zero entry - so every step is a join or an aggregate that Spark
 partitions and combines map-side:
 
 * term counts: ``groupBy(doc_id, term)``; a document never spans tasks at the
-  scan, so the partial aggregate already emits final counts per task.
+  scan, so the partial aggregate already emits final counts per task. The
+  counts are written once, so the text is read and tokenised in one pass.
 * vocabulary: ``groupBy(term).sum`` (a term found in every document is one
   row per map task after the partial combine), then a top-n of at most
   ``max_features`` rows - a proven bound, hence broadcast.
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import text
+from shelfwise.sources.tables import materialize, spread
 
 # --- fixed values that must equal the reference's -----------------------
 MAX_FEATURES = 1500          # vocabulary cap
@@ -61,6 +63,7 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "descripti
     """(doc_id, term, tf) - lower-cased word runs of ≥ 2 word characters,
     stop words removed (an in-set filter, no join), counted per document."""
     stops = list(text.default_stop_words() if stop_words is None else stop_words)
+    docs = spread(docs.select(id_col, text_col))
     toks = docs.select(id_col, F.explode(text.tokens(F.col(text_col))).alias("term"))
     if stops:
         toks = toks.filter(~F.col("term").isin(stops))
@@ -79,7 +82,11 @@ def vocabulary_topn(counts: DataFrame, max_features: int | None = MAX_FEATURES)
 def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "description",
           max_features: int | None = MAX_FEATURES, stop_words: Sequence[str] | None = None) -> DataFrame:
     """Unit-length TF-IDF postings (doc_id, term, tf, weight)."""
-    counts = tokenize(docs, id_col, text_col, stop_words)
+    # The text is tokenised once: the compact (doc, term, tf) counts are
+    # written to the checkpoint folder and every later step (vocabulary,
+    # document frequency, weights) reads them, instead of re-scanning and
+    # re-tokenising the text in each branch of the plan.
+    counts = materialize(tokenize(docs, id_col, text_col, stop_words), "term_counts")
     vocab = vocabulary_topn(counts, max_features).select("term")
     if max_features is not None:
         vocab = F.broadcast(vocab)  # at most max_features rows

@@ -23,9 +23,16 @@ _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: partition << 33 | inde
 
 
 def dense_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str = "id",
-              start: int = 1, num_partitions: int | None = None) -> DataFrame:
+              start: int = 1, num_partitions: int | None = None,
+              group_cols: Sequence[str] = ()) -> DataFrame:
     """Add ``id_col`` = 1-based rank of each row by ``order_cols`` (dense,
-    gap-free). ``order_cols`` must be unique per row for stable ids.
+    gap-free). ``order_cols`` must be unique per row (within a group) for
+    stable ids.
+
+    ``group_cols`` names a low-cardinality tag (e.g. which dimension a value
+    belongs to): ids then restart at ``start`` in every group, so several
+    small key spaces are numbered in one pass. The offsets table has one row
+    per (partition, group) - at most partitions × groups rows.
 
     The range-sorted rows with their (partition, index) tag are written once
     to the shared checkpoint folder before the per-partition counts are
@@ -34,19 +41,18 @@ def dense_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str = "
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    groups = list(group_cols)
+    cols = [F.col(c) for c in groups] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
     ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
               .withColumn("_mid", F.monotonically_increasing_id())
               .transform(lambda d: materialize(d, "dense_ids"))
               .withColumn("_part", F.shiftright(F.col("_mid"), 33))
               .withColumn("_idx", F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))))
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    # At most n rows: a single-task window over them is bounded by config.
-    offsets = counts.select(
-        "_part",
-        (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_off"))
-    return (ranged.join(F.broadcast(offsets), "_part", "left")
-            .withColumn(id_col, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_idx") + F.lit(start))
-                        .cast("bigint"))
-            .drop("_mid", "_part", "_idx", "_off"))
+    per_part = ranged.groupBy("_part", *groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_idx").alias("_lo"))
+    before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.select("_part", *groups, "_lo",
+                              F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    # offsets: ≤ partitions × groups rows - a proven bound, so broadcast.
+    return (ranged.join(F.broadcast(offsets), ["_part", *groups], "inner")
+            .withColumn(id_col, (F.col("_off") + F.col("_idx") - F.col("_lo") + F.lit(start)).cast("bigint"))
+            .drop("_mid", "_part", "_idx", "_off", "_lo"))

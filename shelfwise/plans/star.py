@@ -18,23 +18,58 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators import normalize as N
+from shelfwise.operators.keys import dense_ids
 from shelfwise.sources.tables import materialize
 
 STAR_TABLES = ("title", "statistic", "premiered", "rating", "media_type",
                "genre", "title_genre", "studio", "title_studio")
 
 DIMENSIONS = (("premiered", "premiered_id"), ("rating", "rating_id"), ("media_type", "media_type_id"))
+LIST_DIMS = (("genre", "genres"), ("studio", "studio"))   # (dimension, comma-list column)
 
 # The ten grouping keys of the collapse (A2), in the reference's order.
 COLLAPSE_KEYS = ("title_name", "synopsis", "episodes", "status", "duration_min", "rating",
                  "premiered", "media_type", "ranking", "popularity")
 
 
+def _tagged_values(clean: DataFrame) -> DataFrame:
+    """(dim, value) for every dimension: plain columns and split lists."""
+    parts = [clean.select(F.lit(name).alias("dim"), F.col(name).alias("value")).where(F.col(name).isNotNull())
+             for name, _ in DIMENSIONS]
+    parts += [N.split_values(clean, col).select(F.lit(dim).alias("dim"), "value") for dim, col in LIST_DIMS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def build_dimensions(clean: DataFrame) -> dict[str, DataFrame]:
-    star = {name: N.distinct_dimension(clean, name, id_col) for name, id_col in DIMENSIONS}
-    star["genre"] = N.split_distinct(clean, "genres", "genre_name", "genre_id")
-    star["studio"] = N.split_distinct(clean, "studio", "studio_name", "studio_id")
-    return star
+    """All five dimension tables from one distinct + one dense-id pass (ids
+    restart per dimension, ordered by value)."""
+    ided = dense_ids(_tagged_values(clean).distinct(), ["value"], "id", group_cols=["dim"])
+    dims = {}
+    for name, id_col in DIMENSIONS:
+        dims[name] = ided.filter(F.col("dim") == name).select(F.col("id").alias(id_col), F.col("value").alias(name))
+    for dim, _ in LIST_DIMS:
+        dims[dim] = ided.filter(F.col("dim") == dim).select(F.col("id").alias(f"{dim}_id"),
+                                                             F.col("value").alias(f"{dim}_name"))
+    return dims
+
+
+def build_bridges(clean: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Both title × list bridges in one dense-id pass (ids restart per bridge,
+    ordered by title and list position)."""
+    parts = []
+    for dim, col in LIST_DIMS:
+        d = dims[dim].select(F.col(f"{dim}_id").alias("ref_id"), F.col(f"{dim}_name").alias("value"))
+        parts.append(N.split_values(clean, col).join(d, "value").select(F.lit(dim).alias("dim"), "title_id",
+                                                                         "pos", "ref_id"))
+    ided = dense_ids(parts[0].unionByName(parts[1]), ["title_id", "pos"], "bridge_id", group_cols=["dim"])
+    out = {}
+    for dim, _ in LIST_DIMS:
+        out[f"title_{dim}"] = ided.filter(F.col("dim") == dim).select(
+            F.col("bridge_id").alias(f"title_{dim}_id"), "title_id", F.col("ref_id").alias(f"{dim}_id"))
+    return out
 
 
 def build_facts(clean: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -46,8 +81,7 @@ def build_facts(clean: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataF
     return {
         "statistic": stats.select("statistic_id", *N.STAT_COLS, "title_id"),
         "title": title.select(*N.CORE_COLS, "statistic_id", "premiered_id", "rating_id", "media_type_id"),
-        "title_genre": N.bridge_genres(clean, dims["genre"]),
-        "title_studio": N.bridge_studios(clean, dims["studio"]),
+        **build_bridges(clean, dims),
     }
 
 

@@ -87,6 +87,17 @@ def profile_frame(df: DataFrame) -> DataFrame:
     return agg.select(F.col("__rows").alias("rows"), stack.alias("s")).select("s.*", "rows")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over all task slots before CPU-heavy per-row work when the
+    scan yields fewer splits than the cluster's parallelism (e.g. one large
+    parquet row group that only one task can read). A round-robin
+    repartition; a no-op when there are already enough splits, as at scale."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and
     read it back: the lineage is cut, the input is computed once, and a lost
