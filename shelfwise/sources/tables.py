@@ -106,3 +106,15 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{base.rstrip('/')}/shelfwise/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def listing_urls(spark: SparkSession, base_url: str, start: int, end: int, step: int = 1,
+                 offset_per_page: int = 1) -> DataFrame:
+    """Listing-page URLs for ``page in range(start, end, step)``: the
+    page-0 URL has no query string, the others ``?limit=<page * offset_per_page>``
+    (crawl 1 uses pages 80-119 with 50 per page; crawl 2 steps the offset by 50
+    directly)."""
+    page = F.col("id")
+    limit = page * F.lit(offset_per_page)
+    url = F.when(page == 0, F.lit(base_url)).otherwise(F.format_string("%s?limit=%d", F.lit(base_url), limit))
+    return spark.range(start, end, step).select(page.alias("page"), url.alias("url"))

@@ -93,3 +93,24 @@ def test_csv_and_append(spark, tmp_path):
     tables.append_rows(raw, p)
     tables.append_rows(raw, p)
     assert spark.read.parquet(p).count() == 400
+
+
+def test_listing_urls(spark):
+    got = rows(tables.listing_urls(spark, "https://x.test/top", 0, 3, offset_per_page=50))
+    assert got == [(0, "https://x.test/top"), (1, "https://x.test/top?limit=50"), (2, "https://x.test/top?limit=100")]
+    got2 = rows(tables.listing_urls(spark, "https://x.test/top", 8900, 8950, step=50), "url")
+    assert got2 == [("https://x.test/top?limit=8900",)]
+
+
+def test_select_into_and_insert_select(spark, tmp_path):
+    from shelfwise.operators import clean, normalize
+    raw = fx.titles_raw(spark, SF_SMALL)
+    p = str(tmp_path / "t")
+    t = tables.select_into(raw.select("title_id", "title_name"), p)
+    tables.insert_select(raw.select("title_name", "title_id").filter("title_id < 10"), p)
+    assert spark.read.parquet(p).count() == 210 and t.columns == ["title_id", "title_name"]
+    full = clean.backfill(raw, clean.trim_column, clean.fill_missing)
+    assert full.filter("studio IS NULL OR premiered IS NULL OR episodes IS NULL").count() == 0
+    assert normalize.add_column(raw, "duration_min", "double").schema["duration_min"].dataType.simpleString() == "double"
+    snap = snapshots.full_snapshot(raw, str(tmp_path / "snap"))
+    assert snapshots.differential_snapshot(raw, snap).count() == 0
