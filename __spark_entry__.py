@@ -154,6 +154,12 @@ def _q_to_float_guarded(spark, d):
                                 parse.int_digits("value").alias("as_int"))
 
 
+def _q_avg_by_key(spark, d):
+    df = (fx.titles_with_duplicates(spark, d).transform(clean.drop_blank_rows).transform(clean.trim_column)
+          .transform(clean.fill_missing).transform(clean.parse_duration))
+    return clean.avg_by_key(df, "duration_min", "episodes", "avg_minutes")
+
+
 def _q_profile(spark, d):
     return tables.profile_frame(fx.titles_raw(spark, d)).drop("data_type")
 
@@ -227,6 +233,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "differential_snapshot": lambda spark, d: snapshots.differential_snapshot(
         fx.titles_raw(spark, d), fx.titles_changed(spark, d)),
     "profile_frame": _q_profile,
+    # single operators
+    "scan_table": lambda spark, d: tables.scan_table(spark, f"{d}/part.parquet")
+    .filter(F.col("p_size") > 25).select("p_partkey", "p_name", "p_size"),
+    "trim_column": lambda spark, d: clean.trim_column(fx.titles_raw(spark, d)).select("title_id", "studio"),
+    "avg_by_key": _q_avg_by_key,
 }
 
 

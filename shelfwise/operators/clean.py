@@ -74,6 +74,13 @@ def parse_duration(df: DataFrame, col: str = "duration", out: str = "duration_mi
     return res
 
 
+def avg_by_key(df: DataFrame, col: str, by: str, out: str, decimals: int = 2) -> DataFrame:
+    """A1: ROUND(AVG(col), decimals) per non-NULL ``by`` over non-NULL values
+    (partial aggregate, combined map-side)."""
+    return (df.filter(F.col(col).isNotNull() & F.col(by).isNotNull())
+            .groupBy(by).agg(F.round(F.avg(col), decimals).alias(out)))
+
+
 def impute_duration(df: DataFrame, col: str = "duration_min", by: str = "episodes") -> DataFrame:
     """NULL minutes → ROUND(AVG(minutes of rows with equal ``by``), 2).
 
@@ -82,8 +89,7 @@ def impute_duration(df: DataFrame, col: str = "duration_min", by: str = "episode
     combined map-side, so a hot ``by`` value never lands whole in one task, and
     AQE broadcasts the (small) per-key means when their real size allows.
     """
-    peers = (df.filter(F.col(col).isNotNull() & F.col(by).isNotNull())
-             .groupBy(by).agg(F.round(F.avg(col), 2).alias("_peer_avg")))
+    peers = avg_by_key(df, col, by, "_peer_avg")
     return (df.join(peers, on=by, how="left")
             .withColumn(col, F.coalesce(F.col(col), F.col("_peer_avg")))
             .drop("_peer_avg")

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,58 +69,60 @@ def top_k(scored: DataFrame, k: int, id_col: str = "doc_id") -> DataFrame:
 
 
 def _with_rank(best: DataFrame, id_col: str) -> DataFrame:
-    from pyspark.sql import Window
-
     w = Window.orderBy(F.col("score").desc(), F.col(id_col))  # ≤ k rows
     return best.withColumn("rank", F.row_number().over(w))
 
 
 def recommend_by_title(postings: DataFrame, docs: DataFrame, title: str, length: int = DEFAULT_LENGTH,
-                       id_col: str = "doc_id", name_col: str = "title_name",
-                       check: bool = True) -> DataFrame:
+                       id_col: str = "doc_id", name_col: str = "title_name") -> DataFrame:
     """The ``length`` titles most like ``title`` (itself excluded), as
-    (rank, doc_id, title_name, synopsis, score). Unknown title → ValueError."""
-    hits = docs.filter(F.col(name_col) == F.lit(title))
-    if check and hits.isEmpty():
+    (rank, doc_id, title_name, synopsis, score). Unknown title → ValueError.
+
+    The lookup is resolved once to a scalar id (one action), so the query
+    vector is a pushed-down filter on the postings and the exclusion a plain
+    filter. Postings are unit length, so the dot product is the cosine."""
+    qid = docs.filter(F.col(name_col) == F.lit(title)).agg(F.min(id_col)).first()[0]
+    if qid is None:
         raise ValueError(f"'{title}' does not exist in the data.")
-    qid = hits.agg(F.min(id_col).alias(id_col))
-    query = _query_vector(postings, qid, id_col)
-    scored = cosine_one_vs_all(postings, query, docs.select(id_col, name_col, "synopsis"), id_col)
-    scored = scored.join(F.broadcast(qid), id_col, "left_anti")
+    query = postings.filter(F.col(id_col) == F.lit(qid)).select("term", F.col("weight").alias("qw"))
+    scored = cosine_one_vs_all(postings, query, docs.select(id_col, name_col, "synopsis"), id_col,
+                               normalise_query=False)
+    scored = scored.filter(F.col(id_col) != F.lit(qid))
     return _with_rank(top_k(scored, length, id_col), id_col).select(
         "rank", id_col, name_col, "synopsis", "score")
 
 
 def recommend_by_list(postings: DataFrame, docs: DataFrame, titles: Sequence[str],
-                      length: int = DEFAULT_LENGTH, id_col: str = "doc_id", name_col: str = "title_name",
-                      check: bool = True) -> DataFrame:
+                      length: int = DEFAULT_LENGTH, id_col: str = "doc_id", name_col: str = "title_name") -> DataFrame:
     """Titles most like the mean vector of the listed titles. Unknown
     names are dropped; an empty list, or one where no name is known, raises
-    ValueError. Every title whose name is in the list is excluded."""
+    ValueError. Every title whose name is in the list is excluded.
+
+    The list is user input (a handful of names): its names are resolved to
+    first ids in one action over the documents that carry them (semi join
+    against the broadcast list), and the profile is built from a small
+    (id, times) frame - no step touches the corpus more than once."""
     if not titles:
         raise ValueError("The list of titles must not be empty.")
     spark = docs.sparkSession
-    wanted = spark.createDataFrame([(t,) for t in titles],
-                                   T.StructType([T.StructField(name_col, T.StringType())]))
-    return recommend_by_names(postings, docs, wanted, length, id_col, name_col, check)
-
-
-def recommend_by_names(postings: DataFrame, docs: DataFrame, wanted: DataFrame,
-                       length: int = DEFAULT_LENGTH, id_col: str = "doc_id", name_col: str = "title_name",
-                       check: bool = True) -> DataFrame:
-    """R10 with the list given as a frame of names (one row per list entry,
-    repeats allowed). The list is user input, a bounded handful of rows."""
-    first = title_lookup(docs, id_col, name_col)
-    ids = wanted.join(first, name_col).select(id_col)  # one row per known list entry
-    if check and ids.isEmpty():
-        names = [r[name_col] for r in wanted.limit(20).collect()]
-        raise ValueError(f"None of the titles is known: {names}")
-    query = mean_vector(postings, ids, id_col)
+    names = F.broadcast(spark.createDataFrame([(t,) for t in dict.fromkeys(titles)],
+                                              T.StructType([T.StructField(name_col, T.StringType())])))
+    first = dict(title_lookup(docs.join(names, name_col, "left_semi"), id_col, name_col).collect())
+    known = [first[t] for t in titles if t in first]   # repeats count, unknown names dropped
+    if not known:
+        raise ValueError(f"None of the titles is known: {list(titles)[:20]}")
+    times: dict[int, int] = {}
+    for i in known:
+        times[i] = times.get(i, 0) + 1
+    chosen = spark.createDataFrame(list(times.items()), T.StructType([
+        T.StructField(id_col, T.LongType()), T.StructField("_times", T.LongType())]))
+    query = (postings.filter(F.col(id_col).isin(list(times))).join(F.broadcast(chosen), id_col)
+             .groupBy("term").agg((F.sum(F.col("weight") * F.col("_times")) / F.lit(float(len(known)))).alias("qw")))
     scored = cosine_one_vs_all(postings, query, docs.select(id_col, name_col, "synopsis"), id_col)
-    scored = scored.join(F.broadcast(wanted.select(name_col).distinct()), name_col, "left_anti")
+    scored = scored.join(names, name_col, "left_anti")
     return _with_rank(top_k(scored, length, id_col), id_col).select(
         "rank", id_col, name_col, "synopsis", "score")
 
 
 __all__ = ["title_lookup", "mean_vector", "cosine_one_vs_all", "top_k", "recommend_by_title",
-           "recommend_by_list", "recommend_by_names", "MAX_FEATURES"]
+           "recommend_by_list", "MAX_FEATURES"]
