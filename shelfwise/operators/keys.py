@@ -39,11 +39,12 @@ def dense_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str = "
     taken: counts and indexes then come from the same stored rows, whatever
     the range sampler or a task retry does, and the input is computed once.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = list(group_cols)
     cols = [F.col(c) for c in groups] + [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    # Without an explicit count AQE may coalesce adjacent ranges (order kept),
+    # sizing partitions from the real data instead of a fixed number.
+    spread_out = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    ranged = (spread_out.sortWithinPartitions(*cols)
               .withColumn("_mid", F.monotonically_increasing_id())
               .transform(lambda d: materialize(d, "dense_ids"))
               .withColumn("_part", F.shiftright(F.col("_mid"), 33))

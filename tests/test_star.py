@@ -77,3 +77,19 @@ def test_validate_modes(spark):
     good, rejected = constraints.split_valid(bad)
     assert good.count() + rejected.count() == bad.count()
     assert constraints.validate(fx.titles_raw(spark, SF_SMALL), strict=True).count() == 200
+
+
+def test_dense_ids_with_coalesced_ranges(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5003).alias("k"),
+                                         (F.col("id") % 3).cast("string").alias("g")).repartition(9)
+        out = dense_ids(df, ["k"], "id", group_cols=["g"])
+        got = sorted(rows(out, "g", "k", "id"))
+        for g in ("0", "1", "2"):
+            part = [(k, i) for gg, k, i in got if gg == g]
+            assert [i for _, i in part] == list(range(1, len(part) + 1))
+            assert [k for k, _ in part] == sorted(k for k, _ in part)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
