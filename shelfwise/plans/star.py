@@ -43,36 +43,55 @@ def _tagged_values(clean: DataFrame) -> DataFrame:
     return out
 
 
-def build_dimensions(clean: DataFrame) -> dict[str, DataFrame]:
-    """All five dimension tables from one distinct + one dense-id pass (ids
-    restart per dimension, ordered by value)."""
-    ided = dense_ids(_tagged_values(clean).distinct(), ["value"], "id", group_cols=["dim"])
+def dimension_table(clean: DataFrame) -> DataFrame:
+    """(dim, id, value) for all five dimensions from one distinct + one
+    dense-id pass; ids restart per dimension, ordered by value."""
+    return dense_ids(_tagged_values(clean).distinct(), ["value"], "id", group_cols=["dim"]).select(
+        "dim", "id", "value")
+
+
+def split_dimensions(dimension: DataFrame) -> dict[str, DataFrame]:
+    """The five logical dimension tables of a (dim, id, value) table (a
+    partition filter each when the table is stored partitioned by dim)."""
     dims = {}
     for name, id_col in DIMENSIONS:
-        dims[name] = ided.filter(F.col("dim") == name).select(F.col("id").alias(id_col), F.col("value").alias(name))
+        dims[name] = dimension.filter(F.col("dim") == name).select(F.col("id").alias(id_col),
+                                                                   F.col("value").alias(name))
     for dim, _ in LIST_DIMS:
-        dims[dim] = ided.filter(F.col("dim") == dim).select(F.col("id").alias(f"{dim}_id"),
-                                                             F.col("value").alias(f"{dim}_name"))
+        dims[dim] = dimension.filter(F.col("dim") == dim).select(F.col("id").alias(f"{dim}_id"),
+                                                                 F.col("value").alias(f"{dim}_name"))
     return dims
 
 
-def build_bridges(clean: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Both title × list bridges in one dense-id pass (ids restart per bridge,
-    ordered by title and list position)."""
+def build_dimensions(clean: DataFrame) -> dict[str, DataFrame]:
+    return split_dimensions(dimension_table(clean))
+
+
+def bridge_table(clean: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """(dim, bridge_id, title_id, ref_id) for both title × list bridges in one
+    dense-id pass; ids restart per bridge, ordered by title and position."""
     parts = []
     for dim, col in LIST_DIMS:
         d = dims[dim].select(F.col(f"{dim}_id").alias("ref_id"), F.col(f"{dim}_name").alias("value"))
         parts.append(N.split_values(clean, col).join(d, "value").select(F.lit(dim).alias("dim"), "title_id",
                                                                          "pos", "ref_id"))
     ided = dense_ids(parts[0].unionByName(parts[1]), ["title_id", "pos"], "bridge_id", group_cols=["dim"])
+    return ided.select("dim", "bridge_id", "title_id", "ref_id")
+
+
+def split_bridges(bridges: DataFrame) -> dict[str, DataFrame]:
     out = {}
     for dim, _ in LIST_DIMS:
-        out[f"title_{dim}"] = ided.filter(F.col("dim") == dim).select(
+        out[f"title_{dim}"] = bridges.filter(F.col("dim") == dim).select(
             F.col("bridge_id").alias(f"title_{dim}_id"), "title_id", F.col("ref_id").alias(f"{dim}_id"))
     return out
 
 
-def build_facts(clean: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def build_bridges(clean: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return split_bridges(bridge_table(clean, dims))
+
+
+def build_title_stats(clean: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
     stats = N.project_stats(clean)
     title = clean.select(*N.CORE_COLS, *[n for n, _ in DIMENSIONS])
     for name, id_col in DIMENSIONS:
@@ -81,10 +100,13 @@ def build_facts(clean: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataF
     return {
         "statistic": stats.select("statistic_id", *N.STAT_COLS, "title_id"),
         "title": title.select(*N.CORE_COLS, "statistic_id", "premiered_id", "rating_id", "media_type_id"),
-        **build_bridges(clean, dims),
     }
 
 
+def build_facts(clean: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {**build_title_stats(clean, dims), **build_bridges(clean, dims)}
+
+
 def build_star(clean: DataFrame, materialize_input: bool = True) -> dict[str, DataFrame]:
     """The nine star tables. The cleaned input feeds ten branches, so it is
     materialised once (lineage cut) unless the caller already did."""
@@ -94,22 +116,34 @@ def build_star(clean: DataFrame, materialize_input: bool = True) -> dict[str, Da
     return {**dims, **build_facts(clean, dims)}
 
 
+STORED = ("clean", "dimension", "statistic", "title", "title_list")
+
+
 def write_star(clean: DataFrame, out_dir: str, mode: str = "overwrite") -> dict[str, DataFrame]:
-    """Materialise the star as parquet tables under ``out_dir``."""
+    """Materialise the star under ``out_dir`` (S6) and return its nine tables.
+
+    Stored as five parquet tables: the cleaned input, one dimension table
+    partitioned by ``dim`` (premiered, rating, media_type, genre, studio),
+    statistic, title, and one bridge table partitioned by ``dim`` (genre,
+    studio). Dimensions are written and read back before the title and
+    bridge tables join them, so every foreign key refers to stored ids."""
     spark = clean.sparkSession
     clean.write.mode(mode).parquet(f"{out_dir}/clean")
     clean = spark.read.parquet(f"{out_dir}/clean")
-    for name, df in build_dimensions(clean).items():
-        df.write.mode(mode).parquet(f"{out_dir}/{name}")
-    dims = {n: spark.read.parquet(f"{out_dir}/{n}")
-            for n in ("premiered", "rating", "media_type", "genre", "studio")}
-    for name, df in build_facts(clean, dims).items():
+    dimension_table(clean).write.mode(mode).partitionBy("dim").parquet(f"{out_dir}/dimension")
+    dims = split_dimensions(spark.read.parquet(f"{out_dir}/dimension"))
+    for name, df in build_title_stats(clean, dims).items():
         df.write.mode(mode).parquet(f"{out_dir}/{name}")
+    bridge_table(clean, dims).write.mode(mode).partitionBy("dim").parquet(f"{out_dir}/title_list")
     return read_star(spark, out_dir)
 
 
 def read_star(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{out_dir}/{n}") for n in STAR_TABLES}
+    """The nine logical star tables of a stored star."""
+    return {**split_dimensions(spark.read.parquet(f"{out_dir}/dimension")),
+            "statistic": spark.read.parquet(f"{out_dir}/statistic"),
+            "title": spark.read.parquet(f"{out_dir}/title"),
+            **split_bridges(spark.read.parquet(f"{out_dir}/title_list"))}
 
 
 def _ordered_distinct_join(pairs: DataFrame, keys: list[str], order_col: str, name_col: str,
