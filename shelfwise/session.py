@@ -50,17 +50,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
     (local tests) is a scratch folder created and set.
     """
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    current = sc._jsc.sc().getCheckpointDir()
-    if not d and not current.isEmpty():
-        d = current.get()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect): conf only
+        sc = None
+    current = None
+    if sc is not None:
+        d = d or sc.getConf().get("spark.checkpoint.dir", None)
+        current = sc._jsc.sc().getCheckpointDir()
+        if not d and not current.isEmpty():
+            d = current.get()
     if not d:
         d = tempfile.mkdtemp(prefix="shelfwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # noqa: BLE001 - core conf may be read-only at runtime
             pass
-    if current.isEmpty():
+    if current is not None and current.isEmpty():
         sc.setCheckpointDir(d)
     return d

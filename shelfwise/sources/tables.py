@@ -92,10 +92,12 @@ def spread(df: DataFrame) -> DataFrame:
     scan yields fewer splits than the cluster's parallelism (e.g. one large
     parquet row group that only one task can read). A round-robin
     repartition; a no-op when there are already enough splits, as at scale."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session)
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
