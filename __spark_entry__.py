@@ -30,6 +30,7 @@ from shelfwise.plans import star as S  # noqa: E402
 from shelfwise.plans.cleaning import clean_titles  # noqa: E402
 from shelfwise.sources import fixtures as fx  # noqa: E402
 from shelfwise.sources import snapshots, tables  # noqa: E402
+from shelfwise.streaming import incremental  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -238,6 +239,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     .filter(F.col("p_size") > 25).select("p_partkey", "p_name", "p_size"),
     "trim_column": lambda spark, d: clean.trim_column(fx.titles_raw(spark, d)).select("title_id", "studio"),
     "avg_by_key": _q_avg_by_key,
+    # micro-batch streaming, run to completion (available-now)
+    "incremental_clean": lambda spark, d: incremental.stream_clean(fx.titles_arriving(spark, d)),
+    "incremental_ingest": lambda spark, d: incremental.stream_ingest(
+        fx.titles_stored(spark, d), fx.titles_arriving(spark, d)),
 }
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import parse
+from shelfwise.functions.numeric import exact_mean
 
 
 def drop_blank_rows(df: DataFrame, col: str = "title_name") -> DataFrame:
@@ -76,9 +77,11 @@ def parse_duration(df: DataFrame, col: str = "duration", out: str = "duration_mi
 
 def avg_by_key(df: DataFrame, col: str, by: str, out: str, decimals: int = 2) -> DataFrame:
     """A1: ROUND(AVG(col), decimals) per non-NULL ``by`` over non-NULL values
-    (partial aggregate, combined map-side)."""
+    (partial aggregate, combined map-side). The mean is exact (integer sum of
+    values with ≤ ``decimals`` decimals), so a boundary value rounds the same
+    way for any partitioning."""
     return (df.filter(F.col(col).isNotNull() & F.col(by).isNotNull())
-            .groupBy(by).agg(F.round(F.avg(col), decimals).alias(out)))
+            .groupBy(by).agg(exact_mean(col, decimals, decimals).alias(out)))
 
 
 def impute_duration(df: DataFrame, col: str = "duration_min", by: str = "episodes") -> DataFrame:

@@ -2,10 +2,11 @@
 
 The reference names four dashboards (popular genres, scores, episode counts,
 studios) without shipping their formulas; these are the definitions used
-here. Every one is a join into the title/statistic rows and a ``groupBy``
-with map-side partial aggregation, so a genre or studio carried by a third
-of all titles is one partial row per task before the shuffle. Top-k reports
-use ``orderBy(...).limit(k)`` - a per-task top-k merged once.
+here. Means are exact (``exact_mean``). Every one is a join into the
+title/statistic rows and a ``groupBy`` with map-side partial aggregation, so
+a genre or studio carried by a third of all titles is one partial row per
+task before the shuffle. Top-k reports use ``orderBy(...).limit(k)`` - a
+per-task top-k merged once.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.functions.numeric import exact_mean
+
 TOP_K = 10
 # Episode buckets: (label, lowest episode count), ascending.
 EPISODE_BUCKETS = (("1", 1), ("2-12", 2), ("13-26", 13), ("27-52", 27), ("53+", 53))
@@ -28,7 +31,7 @@ def _per_list_value(star, bridge: str, dim: str, id_col: str, name_col: str, k:
     per = (pairs.join(_title_stats(star), "title_id")
            .groupBy(id_col)
            .agg(F.count(F.lit(1)).alias("n_titles"),
-                F.round(F.avg("score"), 4).alias("avg_score"),
+                exact_mean("score", 2, 4).alias("avg_score"),
                 F.sum("members").cast("bigint").alias("sum_members")))
     out = per.join(star[dim], id_col).select(name_col, "n_titles", "avg_score", "sum_members")
     if k is None:
@@ -66,4 +69,4 @@ def episode_distribution(star: dict[str, DataFrame]) -> DataFrame:
     """Titles and mean minutes per episode bucket and media type."""
     t = _title_stats(star).join(star["media_type"], "media_type_id", "left")
     return (t.groupBy(episode_bucket().alias("episode_bucket"), "media_type")
-            .agg(F.count(F.lit(1)).alias("n_titles"), F.round(F.avg("duration_min"), 2).alias("avg_minutes")))
+            .agg(F.count(F.lit(1)).alias("n_titles"), exact_mean("duration_min", 2, 2).alias("avg_minutes")))

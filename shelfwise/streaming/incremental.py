@@ -42,8 +42,7 @@ def impute_from_table(batch: DataFrame, stored: DataFrame | None, col: str = "du
     if stored is not None:
         parts.append(stored.select(by, col))
     pool = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    peers = (pool.filter(F.col(col).isNotNull() & F.col(by).isNotNull())
-             .groupBy(by).agg(F.round(F.avg(col), 2).alias("_peer")))
+    peers = clean.avg_by_key(pool, col, by, "_peer")
     return (batch.join(peers, by, "left")
             .withColumn(col, F.coalesce(F.col(col), F.col("_peer")))
             .drop("_peer").select(*batch.columns))
@@ -85,3 +84,42 @@ def start_incremental(spark: SparkSession, source_dir: str, schema, target_path:
         "checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
+
+
+def _workdir(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    from shelfwise.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/shelfwise/{name}-{uuid.uuid4().hex}"
+
+
+def stream_clean(arriving: DataFrame, timeout_s: int = 600) -> DataFrame:
+    """T1 end to end: the arriving rows land as parquet files, an
+    available-now stream cleans them into a parquet sink; returns the sink."""
+    spark = arriving.sparkSession
+    work = _workdir(spark, "stream-clean")
+    arriving.write.parquet(f"{work}/source")
+    q = (spark.readStream.schema(arriving.schema).parquet(f"{work}/source").transform(clean_stream)
+         .writeStream.format("parquet").option("path", f"{work}/sink")
+         .option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination(timeout_s)
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{work}/sink")
+
+
+def stream_ingest(stored_raw: DataFrame, arriving: DataFrame, timeout_s: int = 600) -> DataFrame:
+    """T1-T4 end to end: the stored rows are cleaned and written as the
+    target; the arriving rows land as files and an available-now stream runs
+    them through clean → guard → impute → insert-if-absent; returns the
+    target table afterwards."""
+    spark = arriving.sparkSession
+    work = _workdir(spark, "stream-ingest")
+    impute_from_table(clean_stream(stored_raw), None).write.parquet(f"{work}/target")
+    arriving.write.parquet(f"{work}/source")
+    q = start_incremental(spark, f"{work}/source", arriving.schema, f"{work}/target", f"{work}/checkpoint")
+    q.awaitTermination(timeout_s)
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{work}/target")

@@ -103,3 +103,13 @@ def test_clean_idempotent(spark):
                          .transform(clean.dedupe_by_key))
     assert sorted(rows(row_ops(once))) == sorted(rows(once))
     assert once.select("title_id").distinct().count() == once.count()
+
+
+def test_exact_mean_boundaries(spark):
+    from shelfwise.functions.numeric import exact_mean
+    df = spark.createDataFrame([("a", 36.92), ("a", 36.93), ("b", -0.01), ("b", -0.02), ("c", None),
+                                ("d", 0.1), ("d", 0.2), ("d", 0.2)], "k string, v double")
+    got = dict(rows(df.groupBy("k").agg(exact_mean("v", 2, 2).alias("m")), "k", "m"))
+    assert got == {"a": 36.93, "b": -0.02, "c": None, "d": 0.17}
+    got4 = dict(rows(df.groupBy("k").agg(exact_mean("v", 2, 4).alias("m")), "k", "m"))
+    assert got4["d"] == 0.1667 and got4["a"] == 36.925
