@@ -25,6 +25,7 @@ from shelfwise.operators import extract as X  # noqa: E402
 from shelfwise.operators import features as R  # noqa: E402
 from shelfwise.operators import ingest, marts  # noqa: E402
 from shelfwise.operators import recommend as REC  # noqa: E402
+from shelfwise.plans import crawl  # noqa: E402
 from shelfwise.plans import recommender as RP  # noqa: E402
 from shelfwise.plans import star as S  # noqa: E402
 from shelfwise.plans.cleaning import clean_titles  # noqa: E402
@@ -155,6 +156,12 @@ def _q_to_float_guarded(spark, d):
                                 parse.int_digits("value").alias("as_int"))
 
 
+def _q_union_crawls(spark, d):
+    listing = crawl.listing_rows(fx.titles_raw(spark, d))
+    blocks = fx.info_blocks(spark, d)
+    return crawl.union_crawls(crawl.crawl1_records(listing, blocks), crawl.crawl2_records(listing, blocks))
+
+
 def _q_avg_by_key(spark, d):
     df = (fx.titles_with_duplicates(spark, d).transform(clean.drop_blank_rows).transform(clean.trim_column)
           .transform(clean.fill_missing).transform(clean.parse_duration))
@@ -239,6 +246,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     .filter(F.col("p_size") > 25).select("p_partkey", "p_name", "p_size"),
     "trim_column": lambda spark, d: clean.trim_column(fx.titles_raw(spark, d)).select("title_id", "studio"),
     "avg_by_key": _q_avg_by_key,
+    "union_crawls": _q_union_crawls,
     # micro-batch streaming, run to completion (available-now)
     "incremental_clean": lambda spark, d: incremental.stream_clean(fx.titles_arriving(spark, d)),
     "incremental_ingest": lambda spark, d: incremental.stream_ingest(

@@ -168,11 +168,13 @@ def star_core(star: dict[str, DataFrame]) -> DataFrame:
             .select("title_id", *COLLAPSE_KEYS))
 
 
-def star_titles(star: dict[str, DataFrame]) -> DataFrame:
+def star_titles(star: dict[str, DataFrame], by_id: bool = False) -> DataFrame:
     """J1 + A2: one row per distinct 10-key tuple with its genre and studio
     names joined by ', '. Rows with a NULL key vanish (the reference's group-by
-    default); titles without any genre or studio drop out (inner joins)."""
-    keys = list(COLLAPSE_KEYS)
+    default); titles without any genre or studio drop out (inner joins).
+    ``by_id=True`` adds ``title_id`` to the keys, so equal-looking titles with
+    different ids are not merged (the reference merges them)."""
+    keys = (["title_id"] if by_id else []) + list(COLLAPSE_KEYS)
     tg = star["title_genre"].join(star["genre"], "genre_id")
     ts = star["title_studio"].join(star["studio"], "studio_id")
     core = (star_core(star).dropna(subset=keys)

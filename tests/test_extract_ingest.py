@@ -114,3 +114,28 @@ def test_select_into_and_insert_select(spark, tmp_path):
     assert normalize.add_column(raw, "duration_min", "double").schema["duration_min"].dataType.simpleString() == "double"
     snap = snapshots.full_snapshot(raw, str(tmp_path / "snap"))
     assert snapshots.differential_snapshot(raw, snap).count() == 0
+
+
+def test_crawl_shapes_differ_as_the_reference(spark):
+    from shelfwise.plans import crawl
+    listing = crawl.listing_rows(fx.titles_raw(spark, SF_SMALL))
+    blocks = fx.info_blocks(spark, SF_SMALL)
+    c1 = {r["title_id"]: r for r in crawl.crawl1_records(listing, blocks).collect()}
+    c2 = {r["title_id"]: r for r in crawl.crawl2_records(listing, blocks).collect()}
+    # id 31 has 'Type: <x>' first and 'Type: Special' later: crawl 1 takes the first, crawl 2 the last
+    assert c2[31]["media_type"] == "Special" and c1[31]["media_type"] != "Special"
+    # members with a thousands comma: crawl 1 keeps digits only, crawl 2 parses the comma form
+    assert c1[100]["members"] == 1300 and c2[100]["members"] == 1300
+    # episodes 'Unknown' (id 17: NULL episodes): both NULL
+    assert c1[17]["episodes"] is None and c2[17]["episodes"] is None
+    u = crawl.union_crawls(crawl.crawl1_records(listing, blocks), crawl.crawl2_records(listing, blocks))
+    assert u.count() == 400 and set(r[0] for r in u.select("source").distinct().collect()) == {1, 2}
+
+
+def test_star_titles_by_id(spark):
+    from shelfwise.plans import star as S
+    from shelfwise.plans.cleaning import clean_titles
+    st = S.build_star(clean_titles(fx.titles_with_duplicates(spark, SF_SMALL)))
+    a, b = S.star_titles(st), S.star_titles(st, by_id=True)
+    assert "title_id" in b.columns and b.count() >= a.count()
+    assert b.select("title_id").distinct().count() == b.count()
