@@ -70,9 +70,10 @@ class BatchWriter:
             constraints.validate(batch, strict=True)
         stored = self._stored(spark)
         batch = impute_from_table(batch, stored)
-        new = batch if stored is None else ingest.insert_if_absent(batch, stored, self.key, self.order_by)
-        if stored is None:
+        if stored is None:   # first batch: nothing stored, first arrival per name wins
             new = ingest.first_per_key(batch, self.key, self.order_by)
+        else:
+            new = ingest.insert_if_absent(batch, stored, self.key, self.order_by)
         new.write.mode("append").parquet(self.target_path)
 
 

@@ -25,6 +25,10 @@ def duck():
     return con
 
 
+DUCK_TO_SPARK = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean"}
+
+
 def _norm(v):
     return round(v, 6) if isinstance(v, float) else v
 
@@ -32,6 +36,9 @@ def _norm(v):
 @pytest.mark.parametrize("key", sorted(entry.queries()))
 def test_oracle_small(spark, duck, key):
     sdf = entry.queries()[key](spark, SF_SMALL)
+    rel = duck.sql(entry.oracle_sql()[key])
+    types = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert dict(sdf.dtypes) == types
     res = duck.execute(entry.oracle_sql()[key])
     dcols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(dcols)
