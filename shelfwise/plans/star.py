@@ -14,11 +14,14 @@ two are joined 1:1, so no per-title cross product is ever formed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators import normalize as N
 from shelfwise.operators.keys import dense_ids
+from shelfwise.session import ensure_checkpoint_dir
 from shelfwise.sources.tables import materialize
 
 STAR_TABLES = ("title", "statistic", "premiered", "rating", "media_type",
@@ -107,11 +110,19 @@ def build_facts(clean: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataF
     return {**build_title_stats(clean, dims), **build_bridges(clean, dims)}
 
 
-def build_star(clean: DataFrame, materialize_input: bool = True) -> dict[str, DataFrame]:
-    """The nine star tables. The cleaned input feeds ten branches, so it is
-    materialised once (lineage cut) unless the caller already did."""
-    if materialize_input:
-        clean = materialize(clean, "clean")
+def build_star(clean: DataFrame, stored: bool = True) -> dict[str, DataFrame]:
+    """The nine star tables.
+
+    By default the star is written under the session's checkpoint folder
+    (``write_star``) and read back: every table then is a plain scan, so a
+    query over the star plans and runs on stored tables instead of
+    re-expanding the id-assignment subtrees at each reference (one star
+    query went from 62 shuffles in its plan to a handful). ``stored=False``
+    gives the lazy plans (the cleaned input is still materialised once)."""
+    if stored:
+        base = ensure_checkpoint_dir(clean.sparkSession).rstrip("/")
+        return write_star(clean, f"{base}/shelfwise/star-{uuid.uuid4().hex}")
+    clean = materialize(clean, "clean")
     dims = build_dimensions(clean)
     return {**dims, **build_facts(clean, dims)}
 
@@ -146,17 +157,6 @@ def read_star(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
             **split_bridges(spark.read.parquet(f"{out_dir}/title_list"))}
 
 
-def _ordered_distinct_join(pairs: DataFrame, keys: list[str], order_col: str, name_col: str,
-                           out: str) -> DataFrame:
-    """', '.join of distinct names per key group, first occurrence by
-    ``order_col``. Reduced to one row per (group, name) first (partial
-    aggregate), so the final list per group is bounded by distinct names."""
-    first = pairs.groupBy(*keys, name_col).agg(F.min(order_col).alias("_first"))
-    ordered: Column = F.array_sort(F.collect_list(F.struct(F.col("_first"), F.col(name_col))))
-    return (first.groupBy(*keys)
-            .agg(F.array_join(F.transform(ordered, lambda s: s[name_col]), ", ").alias(out)))
-
-
 def star_core(star: dict[str, DataFrame]) -> DataFrame:
     """Title rows with their dimension values; inner joins, so a title with a
     NULL or dangling foreign key drops out (as in the reference's query)."""
@@ -173,14 +173,30 @@ def star_titles(star: dict[str, DataFrame], by_id: bool = False) -> DataFrame:
     names joined by ', '. Rows with a NULL key vanish (the reference's group-by
     default); titles without any genre or studio drop out (inner joins).
     ``by_id=True`` adds ``title_id`` to the keys, so equal-looking titles with
-    different ids are not merged (the reference merges them)."""
+    different ids are not merged (the reference merges them).
+
+    Plan: both lists as one tagged (kind, title, bridge id, name) frame; the
+    titles that have both kinds (the inner-join rule) from one small per-title
+    aggregate; the title core joined once; then per (kind, group, name) the
+    first bridge id (partial aggregate, so a list is bounded by the distinct
+    names), the ordered ', '-joined list per (kind, group), and the two kinds
+    folded into columns. The genre × studio product is never formed."""
     keys = (["title_id"] if by_id else []) + list(COLLAPSE_KEYS)
-    tg = star["title_genre"].join(star["genre"], "genre_id")
-    ts = star["title_studio"].join(star["studio"], "studio_id")
-    core = (star_core(star).dropna(subset=keys)
-            .join(tg.select("title_id"), "title_id", "left_semi")
-            .join(ts.select("title_id"), "title_id", "left_semi"))
-    g = _ordered_distinct_join(tg.join(core, "title_id"), keys, "title_genre_id", "genre_name", "genre_names")
-    s = _ordered_distinct_join(ts.join(core, "title_id"), keys, "title_studio_id", "studio_name",
-                               "studio_names")
-    return g.join(s, keys).select(*keys, "genre_names", "studio_names")
+    pairs = None
+    for dim, _ in LIST_DIMS:
+        p = (star[f"title_{dim}"].join(star[dim], f"{dim}_id")
+             .select(F.lit(dim).alias("kind"), "title_id", F.col(f"title_{dim}_id").alias("bid"),
+                     F.col(f"{dim}_name").alias("name")))
+        pairs = p if pairs is None else pairs.unionByName(p)
+    has = [F.max((F.col("kind") == dim).cast("int")).alias(f"_has_{dim}") for dim, _ in LIST_DIMS]
+    both = (pairs.groupBy("title_id").agg(*has)
+            .filter(" AND ".join(f"_has_{dim} = 1" for dim, _ in LIST_DIMS)).select("title_id"))
+    core = star_core(star).dropna(subset=list(COLLAPSE_KEYS))
+    rows = pairs.join(both, "title_id", "left_semi").join(core, "title_id")
+    first = rows.groupBy("kind", *keys, "name").agg(F.min("bid").alias("_first"))
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("_first"), F.col("name"))))
+    lists = first.groupBy("kind", *keys).agg(
+        F.array_join(F.transform(ordered, lambda x: x["name"]), ", ").alias("names"))
+    return lists.groupBy(*keys).agg(
+        F.max(F.when(F.col("kind") == "genre", F.col("names"))).alias("genre_names"),
+        F.max(F.when(F.col("kind") == "studio", F.col("names"))).alias("studio_names"))
