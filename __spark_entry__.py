@@ -269,4 +269,4 @@ def oracle_sql() -> dict[str, str]:
     return {k: v for k, v in ORACLE.items() if k in _QUERIES}
 
 
-__all__ = ["entry", "queries", "oracle_sql", "parse"]
+__all__ = ["entry", "queries", "oracle_sql"]

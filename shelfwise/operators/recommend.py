@@ -22,8 +22,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.operators.features import MAX_FEATURES
-
 SCORE_DECIMALS = 6
 DEFAULT_LENGTH = 10
 
@@ -101,7 +99,8 @@ def recommend_by_list(postings: DataFrame, docs: DataFrame, titles: Sequence[str
     The list is user input (a handful of names): its names are resolved to
     first ids in one action over the documents that carry them (semi join
     against the broadcast list), and the profile is built from a small
-    (id, times) frame - no step touches the corpus more than once."""
+    frame of resolved ids (repeats kept) - the postings are filtered by those
+    ids before anything is joined."""
     if not titles:
         raise ValueError("The list of titles must not be empty.")
     spark = docs.sparkSession
@@ -111,13 +110,8 @@ def recommend_by_list(postings: DataFrame, docs: DataFrame, titles: Sequence[str
     known = [first[t] for t in titles if t in first]   # repeats count, unknown names dropped
     if not known:
         raise ValueError(f"None of the titles is known: {list(titles)[:20]}")
-    times: dict[int, int] = {}
-    for i in known:
-        times[i] = times.get(i, 0) + 1
-    chosen = spark.createDataFrame(list(times.items()), T.StructType([
-        T.StructField(id_col, T.LongType()), T.StructField("_times", T.LongType())]))
-    query = (postings.filter(F.col(id_col).isin(list(times))).join(F.broadcast(chosen), id_col)
-             .groupBy("term").agg((F.sum(F.col("weight") * F.col("_times")) / F.lit(float(len(known)))).alias("qw")))
+    ids = spark.createDataFrame([(i,) for i in known], T.StructType([T.StructField(id_col, T.LongType())]))
+    query = mean_vector(postings.filter(F.col(id_col).isin(sorted(set(known)))), ids, id_col)
     scored = cosine_one_vs_all(postings, query, docs.select(id_col, name_col, "synopsis"), id_col)
     scored = scored.join(names, name_col, "left_anti")
     return _with_rank(top_k(scored, length, id_col), id_col).select(
@@ -125,4 +119,4 @@ def recommend_by_list(postings: DataFrame, docs: DataFrame, titles: Sequence[str
 
 
 __all__ = ["title_lookup", "mean_vector", "cosine_one_vs_all", "top_k", "recommend_by_title",
-           "recommend_by_list", "MAX_FEATURES"]
+           "recommend_by_list"]

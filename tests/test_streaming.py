@@ -1,6 +1,5 @@
 import time
 
-from shelfwise.plans.cleaning import clean_titles  # noqa: F401
 from shelfwise.sources import fixtures as fx
 from shelfwise.streaming import incremental as inc
 from shelfwise.operators import ingest
