@@ -226,6 +226,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # page extraction
     "rows_of_page": lambda spark, d: X.rows_of_page(_pages(spark, d)),
     "links_of_page": lambda spark, d: X.links_of_page(_pages(spark, d)),
+    "listing_links": lambda spark, d: X.listing_links(_pages(spark, d)),
     "first_text": lambda spark, d: X.page_fields(_pages(spark, d)),
     "text_after_label": lambda spark, d: X.text_after_label(fx.info_blocks(spark, d)),
     "digits_only": lambda spark, d: X.digits_after_label(fx.info_blocks(spark, d)),

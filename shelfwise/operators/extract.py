@@ -58,6 +58,22 @@ def links_of_page(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
                         .alias("pos", "href"))
 
 
+ROW_LINK_PATTERN = r"<a[^>]*href=\"([^\"]*)\""
+
+
+def listing_links(pages: DataFrame, block_pattern: str = BLOCK_PATTERN, id_col: str = "page_id") -> DataFrame:
+    """X1 + X2 (second crawler's rule): the link of each listing row, in page
+    order; the first row without a link ends that page (links already taken
+    stay). Evaluated on the page's own row with array functions - no shuffle:
+    (page_id, pos, href)."""
+    blocks = F.regexp_extract_all("html", F.lit(block_pattern), 1)
+    hrefs = F.transform(blocks, lambda b: F.when(b.rlike(ROW_LINK_PATTERN),
+                                                 F.regexp_extract(b, ROW_LINK_PATTERN, 1)))
+    stop = F.array_position(F.transform(hrefs, lambda h: h.isNull()), F.lit(True))   # 1-based, 0 = none
+    kept = F.when(stop == 0, hrefs).otherwise(F.slice(hrefs, 1, stop - 1))
+    return spread(pages).select(id_col, F.posexplode(kept).alias("pos", "href"))
+
+
 def first_text(c: Column | str, tag: str, missing: str | None = None) -> Column:
     """Visible text of the first ``<tag>`` element, trimmed; no element or
     empty text → ``missing`` (crawl 1 uses 'N/A', crawl 2 NULL)."""

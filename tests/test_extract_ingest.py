@@ -139,3 +139,13 @@ def test_star_titles_by_id(spark):
     a, b = S.star_titles(st), S.star_titles(st, by_id=True)
     assert "title_id" in b.columns and b.count() >= a.count()
     assert b.select("title_id").distinct().count() == b.count()
+
+
+def test_listing_links_stop_rule(spark):
+    pages = spark.createDataFrame(
+        [(1, "u", '<ul><li><a href="/a">A</a></li><li><a href="/b">B</a></li><li>no link</li>'
+                  '<li><a href="/c">C</a></li></ul>'),
+         (2, "u", '<li>first has none</li><li><a href="/x">X</a></li>'),
+         (3, "u", "<p>no rows</p>")], "page_id long, url string, html string")
+    got = rows(X.listing_links(pages), "page_id", "pos", "href")
+    assert got == [(1, 0, "/a"), (1, 1, "/b")]

@@ -98,3 +98,17 @@ def test_recommend_contracts(spark):
         REC.recommend_by_list(post, docs, ["Drangon Ball"])
     got = rows(REC.recommend_by_list(post, docs, ["One", "Drangon Ball"], 10), "title_name")
     assert ("One",) not in got and len(got) == 2
+
+
+def test_cosine_symmetric(spark, doc_corpus):
+    ids = [r[0] for r in doc_corpus.docs.select("doc_id").orderBy("doc_id").limit(3).collect()]
+
+    def row(q):
+        query = doc_corpus.postings.filter(F.col("doc_id") == q).select("term", F.col("weight").alias("qw"))
+        return dict(rows(REC.cosine_one_vs_all(doc_corpus.postings, query, doc_corpus.docs.select("doc_id"),
+                                               normalise_query=False), "doc_id", "score"))
+
+    sims = {q: row(q) for q in ids}
+    for a in ids:
+        for b in ids:
+            assert sims[a][b] == pytest.approx(sims[b][a], abs=1e-12)
