@@ -1,19 +1,25 @@
 """Micro-batch ingestion (T1-T4) with Structured Streaming.
 
 The reference reacts to each insert with AFTER INSERT/UPDATE triggers:
-row-level fixes (T1), duration parsing with imputation from the whole table
-(T2), a guard that rejects the whole statement on a bad row (T3) and, in the
-second crawler, insert-only-if-the-name-is-new (T4). Here:
-
-* T1 is the stateless part of the stream (``clean_stream``): the same
-  column functions as the batch job, applied per micro-batch by Spark.
-* T2-T4 run in ``foreachBatch`` (``BatchWriter``): validate the batch
-  before anything is written (an exception fails the micro-batch and the
-  query, nothing is appended), impute missing minutes from stored ∪ batch
-  per-episode means, keep only names not yet stored, append in one write.
+sentinel fills (T1: premiered, studio, episodes), duration parsing with
+imputation from the whole table (T2), and a guard that rejects the whole
+statement on a bad row (T3); the second crawler inserts a record only when its
+name is not stored yet (T4). Blank-row removal, trimming, rating collapse and
+de-duplication are procedures run by hand, not triggers, so they are not
+part of this path (the batch job ``plans.cleaning.clean_titles`` runs them).
+Here:
+
+* T1 and the parse half of T2 are the stateless part of the stream
+  (``clean_stream``) - the same column functions as the batch job.
+* ``foreachBatch`` (``BatchWriter``): validate the micro-batch before anything
+  is written (T3; an exception fails the batch and the query, nothing is
+  appended), keep the first row per new name (T4), impute missing minutes
+  from stored ∪ inserted rows (T2), append in one write.
 
 Re-running a micro-batch after a failure is harmless: its names are then
 already stored, so insert-if-absent writes nothing twice (NULL names aside).
+The per-episode means for T2 come from a column-pruned aggregate of the
+stored table (two columns) and the inserted rows.
 """
 
 from __future__ import annotations
@@ -26,18 +32,15 @@ from shelfwise.operators import clean, constraints, ingest
 
 
 def clean_stream(df: DataFrame) -> DataFrame:
-    """Row-level cleaning usable on a streaming or a batch frame."""
-    return (df.transform(clean.drop_blank_rows)
-            .transform(clean.trim_column)
-            .transform(clean.fill_missing)
-            .transform(clean.parse_duration)
-            .transform(clean.collapse_rating))
+    """T1 + the row-level half of T2: sentinel fills and duration parsing,
+    usable on a streaming or a batch frame."""
+    return df.transform(clean.fill_missing).transform(clean.parse_duration)
 
 
 def impute_from_table(batch: DataFrame, stored: DataFrame | None, col: str = "duration_min",
                       by: str = "episodes") -> DataFrame:
     """NULL minutes → round(mean of minutes with equal episodes over the
-    stored table and the batch, 2)."""
+    stored table and the inserted rows, 2) - exact, see ``avg_by_key``."""
     parts = [batch.select(by, col)]
     if stored is not None:
         parts.append(stored.select(by, col))
@@ -66,15 +69,14 @@ class BatchWriter:
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        if self.guard:
+        if self.guard:                                   # T3: reject the whole batch
             constraints.validate(batch, strict=True)
         stored = self._stored(spark)
-        batch = impute_from_table(batch, stored)
-        if stored is None:   # first batch: nothing stored, first arrival per name wins
+        if stored is None:                               # T4: first arrival per new name
             new = ingest.first_per_key(batch, self.key, self.order_by)
         else:
             new = ingest.insert_if_absent(batch, stored, self.key, self.order_by)
-        new.write.mode("append").parquet(self.target_path)
+        impute_from_table(new, stored).write.mode("append").parquet(self.target_path)   # T2
 
 
 def start_incremental(spark: SparkSession, source_dir: str, schema, target_path: str,
@@ -111,10 +113,10 @@ def stream_clean(arriving: DataFrame, timeout_s: int = 600) -> DataFrame:
 
 
 def stream_ingest(stored_raw: DataFrame, arriving: DataFrame, timeout_s: int = 600) -> DataFrame:
-    """T1-T4 end to end: the stored rows are cleaned and written as the
-    target; the arriving rows land as files and an available-now stream runs
-    them through clean → guard → impute → insert-if-absent; returns the
-    target table afterwards."""
+    """T1-T4 end to end: the stored rows go through the triggers (fills,
+    parse, impute) and are written as the target; the arriving rows land as
+    files and an available-now stream runs them through fills + parse →
+    guard → insert-if-absent → impute; returns the target table afterwards."""
     spark = arriving.sparkSession
     work = _workdir(spark, "stream-ingest")
     impute_from_table(clean_stream(stored_raw), None).write.parquet(f"{work}/target")
