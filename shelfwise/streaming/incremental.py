@@ -18,8 +18,8 @@ Here:
 
 Re-running a micro-batch after a failure is harmless: its names are then
 already stored, so insert-if-absent writes nothing twice (NULL names aside).
-The per-episode means for T2 come from a column-pruned aggregate of the
-stored table (two columns) and the inserted rows.
+The per-episode sums for T2 are kept as small per-batch deltas next to the
+target (see ``BatchWriter``), so a micro-batch never rescans the stored table.
 """
 
 from __future__ import annotations
@@ -28,7 +28,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfwise.functions.numeric import mean_from_sums, scaled_sum
 from shelfwise.operators import clean, constraints, ingest
+from shelfwise.sources.tables import materialize
 
 
 def clean_stream(df: DataFrame) -> DataFrame:
@@ -51,21 +53,73 @@ def impute_from_table(batch: DataFrame, stored: DataFrame | None, col: str = "du
             .drop("_peer").select(*batch.columns))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+    except Exception:  # noqa: BLE001 - no JVM view (Spark Connect): probe by reading
+        try:
+            spark.read.parquet(path).limit(0).collect()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
+
+
+def duration_sums(df: DataFrame, col: str = "duration_min", by: str = "episodes") -> DataFrame:
+    """(episodes, s, n): exact integer sum of minutes (in hundredths) and count
+    per episode count, over rows with both known."""
+    return (df.filter(F.col(col).isNotNull() & F.col(by).isNotNull())
+            .groupBy(by).agg(scaled_sum(col).alias("s"), F.count(F.lit(1)).alias("n")))
+
+
+def impute_from_sums(batch: DataFrame, sums: DataFrame | None, col: str = "duration_min",
+                     by: str = "episodes") -> DataFrame:
+    """T2 with the stored table summarised as (episodes, s, n): NULL minutes →
+    exact round(mean, 2) over the stored sums plus the batch's own values."""
+    pool = duration_sums(batch, col, by)
+    if sums is not None:
+        pool = pool.unionByName(sums.select(by, "s", "n"))
+    means = (pool.groupBy(by).agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+             .select(by, mean_from_sums(F.col("s"), F.col("n")).alias("_peer")))
+    return (batch.join(means, by, "left")
+            .withColumn(col, F.coalesce(F.col(col), F.col("_peer")))
+            .drop("_peer").select(*batch.columns))
+
+
 class BatchWriter:
-    """``foreachBatch`` sink: guard (T3) → impute (T2) → insert-if-absent (T4)."""
+    """``foreachBatch`` sink: guard (T3) → insert-if-absent (T4) → impute.
+
+    The per-episode sums the imputation needs are kept next to the target as
+    one small delta per micro-batch (``<target>_duration_sums/epoch=N``, plus
+    ``epoch=-1`` for rows stored before the stream started), so no batch
+    rescans the stored table. A delta is written before its rows are appended
+    and never overwritten: a replayed epoch reuses it, and recomputes the same
+    new rows from the unchanged target (or none, once they are stored)."""
 
     def __init__(self, target_path: str, key: str = "title_name", order_by: tuple[str, ...] = ("title_id",),
-                 guard: bool = True):
+                 guard: bool = True, sums_path: str | None = None):
         self.target_path = target_path
+        self.sums_path = sums_path or f"{target_path.rstrip('/')}_duration_sums"
         self.key = key
         self.order_by = order_by
         self.guard = guard
 
     def _stored(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            return spark.read.parquet(self.target_path)
-        except Exception:  # noqa: BLE001 - nothing stored yet
+        return spark.read.parquet(self.target_path) if _exists(spark, self.target_path) else None
+
+    def _sums_before(self, spark: SparkSession, stored: DataFrame | None, epoch_id: int) -> DataFrame | None:
+        base = f"{self.sums_path}/epoch=-1"
+        if not _exists(spark, base):
+            # once, at the first batch: the rows stored before the stream (none
+            # if there is no target yet); later batches only add deltas
+            if stored is None:
+                empty = "episodes int, s bigint, n bigint"
+                spark.createDataFrame([], empty).write.parquet(base)
+            else:
+                duration_sums(stored).write.parquet(base)
+        if not _exists(spark, self.sums_path):
             return None
+        return spark.read.parquet(self.sums_path).filter(F.col("epoch") < epoch_id).drop("epoch")
 
     def __call__(self, batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
@@ -76,7 +130,12 @@ class BatchWriter:
             new = ingest.first_per_key(batch, self.key, self.order_by)
         else:
             new = ingest.insert_if_absent(batch, stored, self.key, self.order_by)
-        impute_from_table(new, stored).write.mode("append").parquet(self.target_path)   # T2
+        rows = impute_from_sums(new, self._sums_before(spark, stored, epoch_id))   # T2
+        rows = materialize(rows, "ingest-batch")         # computed once: delta and append agree
+        delta = f"{self.sums_path}/epoch={epoch_id}"
+        if not _exists(spark, delta):
+            duration_sums(rows).write.parquet(delta)
+        rows.write.mode("append").parquet(self.target_path)
 
 
 def start_incremental(spark: SparkSession, source_dir: str, schema, target_path: str,
