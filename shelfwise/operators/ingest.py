@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.operators.clean import dedupe_by_key
+from shelfwise.sources.tables import materialize
 
 
 def count_matches(target: DataFrame, names: DataFrame, key: str = "title_name") -> DataFrame:
@@ -57,6 +58,8 @@ def append_new(batch: DataFrame, target_path: str, key: str = "title_name",
         target = spark.read.format(fmt).load(target_path)
     except Exception:  # noqa: BLE001 - first batch: nothing stored yet
         target = batch.limit(0)
-    new = insert_if_absent(batch, target, key, order_by)
+    # computed once (and before the append), so the returned rows are exactly
+    # the appended ones
+    new = materialize(insert_if_absent(batch, target, key, order_by), "append-new")
     new.write.mode("append").format(fmt).save(target_path)
     return new

@@ -149,3 +149,27 @@ def test_listing_links_stop_rule(spark):
          (3, "u", "<p>no rows</p>")], "page_id long, url string, html string")
     got = rows(X.listing_links(pages), "page_id", "pos", "href")
     assert got == [(1, 0, "/a"), (1, 1, "/b")]
+
+
+def test_clean_chain_guard_modes(spark):
+    import pytest
+    from shelfwise.plans.cleaning import clean_titles
+    bad = fx.titles_with_violations(spark, SF_SMALL)
+    with pytest.raises(ValueError):
+        clean_titles(bad, guard="strict")
+    kept = clean_titles(bad, guard="drop")
+    assert kept.filter("score > 10 OR ranking <= 0 OR favorites < 0").count() == 0
+    assert kept.count() < clean_titles(bad).count()
+
+
+def test_append_new_job(spark, tmp_path):
+    arr, sto = fx.titles_arriving(spark, SF_SMALL), fx.titles_stored(spark, SF_SMALL)
+    target = str(tmp_path / "target")
+    first = ingest.append_new(sto, target)                 # empty target: first per name
+    assert first.count() == spark.read.parquet(target).count()
+    n0 = spark.read.parquet(target).count()
+    ingest.append_new(arr, target)
+    ingest.append_new(arr, target)                         # replay: nothing new except NULL names
+    names = spark.read.parquet(target).filter("title_name IS NOT NULL")
+    assert names.select("title_name").distinct().count() == names.count()
+    assert spark.read.parquet(target).count() > n0
