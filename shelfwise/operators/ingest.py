@@ -19,11 +19,28 @@ from shelfwise.operators.clean import dedupe_by_key
 from shelfwise.sources.tables import materialize
 
 
-def count_matches(target: DataFrame, names: DataFrame, key: str = "title_name") -> DataFrame:
+BROADCAST_NAMES = 1_000_000   # distinct batch names broadcast at most
+
+
+def _batch_names(names: DataFrame, key: str, max_broadcast: int):
+    """Distinct non-NULL names of a batch, written once, and whether their
+    counted size allows a broadcast."""
+    distinct = materialize(names.select(key).filter(F.col(key).isNotNull()).distinct(), "batch-names")
+    return distinct, distinct.count() <= max_broadcast
+
+
+def count_matches(target: DataFrame, names: DataFrame, key: str = "title_name",
+                  max_broadcast: int = BROADCAST_NAMES) -> DataFrame:
     """A4 for a batch: per arriving name, how many stored rows carry it
-    (0 when none). NULL names count 0, as ``= NULL`` matches nothing."""
-    stored = target.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_stored"))
-    return (names.select(key).distinct().join(stored, key, "left")
+    (0 when none). NULL names count 0, as ``= NULL`` matches nothing.
+    With a bounded batch the stored table is only scanned (semi join against
+    the broadcast batch names), never shuffled as a whole."""
+    wanted, small = _batch_names(names, key, max_broadcast)
+    stored = target.select(key).filter(F.col(key).isNotNull())
+    if small:
+        stored = stored.join(F.broadcast(wanted), key, "left_semi")
+    per_name = stored.groupBy(key).agg(F.count(F.lit(1)).alias("n_stored"))
+    return (names.select(key).distinct().join(per_name, key, "left")
             .withColumn("n_stored", F.coalesce(F.col("n_stored"), F.lit(0)).cast("bigint")))
 
 
@@ -35,18 +52,27 @@ def first_per_key(batch: DataFrame, key: str = "title_name", order_by: Sequence[
 
 
 def insert_if_absent(batch: DataFrame, target: DataFrame, key: str = "title_name",
-                     order_by: Sequence[str] = ("title_id",), collation: str | None = None) -> DataFrame:
+                     order_by: Sequence[str] = ("title_id",), collation: str | None = None,
+                     max_broadcast: int = BROADCAST_NAMES) -> DataFrame:
     """Rows of ``batch`` to insert - first per name, and only names not
     yet stored. ``collation`` (e.g. ``'utf8_lcase'``) sets how names compare;
-    by default the comparison is binary."""
+    by default the comparison is binary.
+
+    The batch's distinct names are counted first: when at most
+    ``max_broadcast``, they are broadcast and the stored names are only
+    scanned (semi join) to find the few that collide, which are then
+    broadcast back for the anti join - the stored table is never shuffled.
+    Beyond the bound, stored names are de-duplicated and anti-joined with a
+    shuffle."""
     firsts = first_per_key(batch, key, order_by)
-    stored = target.select(key).filter(F.col(key).isNotNull()).distinct()
-    if collation:
-        probe = F.collate(F.col(key), collation)
-        firsts = firsts.withColumn("_k", probe)
-        stored = stored.select(F.collate(F.col(key), collation).alias("_k")).distinct()
-        return firsts.join(stored, "_k", "left_anti").select(*batch.columns)
-    return firsts.join(stored, key, "left_anti").select(*batch.columns)
+    probe = F.collate(F.col(key), collation) if collation else F.col(key)
+    keyed = firsts.withColumn("_k", probe)
+    stored = target.select(probe.alias("_k")).filter(F.col("_k").isNotNull())
+    wanted, small = _batch_names(keyed.select("_k"), "_k", max_broadcast)
+    if small:
+        present = stored.join(F.broadcast(wanted), "_k", "left_semi").distinct()   # ≤ batch names
+        return keyed.join(F.broadcast(present), "_k", "left_anti").select(*batch.columns)
+    return keyed.join(stored.distinct(), "_k", "left_anti").select(*batch.columns)
 
 
 def append_new(batch: DataFrame, target_path: str, key: str = "title_name",

@@ -173,3 +173,13 @@ def test_append_new_job(spark, tmp_path):
     names = spark.read.parquet(target).filter("title_name IS NOT NULL")
     assert names.select("title_name").distinct().count() == names.count()
     assert spark.read.parquet(target).count() > n0
+
+
+def test_ingest_paths_agree(spark):
+    arr, sto = fx.titles_arriving(spark, SF_SMALL), fx.titles_stored(spark, SF_SMALL)
+    a = sorted(rows(ingest.insert_if_absent(arr, sto)), key=repr)
+    b = sorted(rows(ingest.insert_if_absent(arr, sto, max_broadcast=0)), key=repr)
+    assert a == b and len(a) > 0
+    c = sorted(rows(ingest.count_matches(sto, arr)), key=repr)
+    d = sorted(rows(ingest.count_matches(sto, arr, max_broadcast=0)), key=repr)
+    assert c == d
