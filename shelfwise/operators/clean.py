@@ -7,8 +7,10 @@ keeps the old value in both); ``DELETE WHERE p`` becomes
 
 Scale notes: no operator here puts a whole key group into one task. The
 per-episode mean (C7) is a partial (map-side) aggregate joined back, and the
-de-duplication (C9) is an aggregate too, so a key that holds a third of all
-rows is reduced inside every map task before anything is shuffled.
+de-duplication (C9) picks survivors with an aggregate too, so a key that holds
+a third of all rows is reduced inside every map task before anything is
+shuffled; C9 first counts the duplicated keys and, when they are few enough to
+broadcast, shuffles only the duplicated rows.
 """
 
 from __future__ import annotations

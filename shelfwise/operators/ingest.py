@@ -4,8 +4,10 @@ The reference asks ``SELECT COUNT(*) … WHERE name = ?`` per crawled record
 and inserts only when the count is 0, so the first record with a name wins
 and a NULL name (``= NULL`` is never true) always inserts. Here a whole batch
 is handled at once: first-wins inside the batch is an aggregate (a hot name
-collapses map-side), the existence test is a ``left_anti`` join against the
-stored names, and the survivors are appended in one bulk write.
+collapses map-side); for the existence test the batch's distinct names are
+counted and, when bounded, broadcast so the stored table is only scanned
+(semi join) for the names that collide - otherwise a shuffled ``left_anti``
+join; the survivors are appended in one bulk write.
 """
 
 from __future__ import annotations

@@ -1,15 +1,16 @@
 """Build the normalised star from the cleaned wide table, and read it back.
 
-``build_star`` returns the nine tables as lazy DataFrames (one Catalyst plan
-each). ``write_star`` is the batch job: the cleaned table is written once
-(lineage cut, executor loss only recomputes from that table), dimensions are
+``write_star`` is the batch job: the cleaned table is written once (lineage
+cut, executor loss only recomputes from that table), the dimensions are
 written and read back before the title and bridge tables join them, so every
-foreign key refers to ids that exist on storage.
+foreign key refers to ids that exist on storage. ``build_star`` does the same
+under the session's checkpoint folder (or returns lazy plans on request) and
+``read_star`` gives the nine logical tables of a stored star.
 
 ``star_titles`` is the star join (J1) followed by the per-title collapse (A2)
 the recommender reads. The reference's join fans out genres × studios per
-title and then groups it back; here each list is aggregated on its own and the
-two are joined 1:1, so no per-title cross product is ever formed.
+title and then groups it back; here both lists are aggregated in one tagged
+pass and folded into two columns, so no per-title cross product is formed.
 """
 
 from __future__ import annotations
