@@ -31,12 +31,6 @@ def title_lookup(docs: DataFrame, id_col: str = "doc_id", name_col: str = "title
     return docs.groupBy(name_col).agg(F.min(id_col).alias(id_col))
 
 
-def _query_vector(postings: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """Terms and weights of the chosen documents (≤ vocabulary size rows per
-    distinct document)."""
-    return postings.join(F.broadcast(ids), id_col).select("term", F.col("weight").alias("qw"))
-
-
 def mean_vector(postings: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """A5: element-wise mean of the chosen documents' vectors. ``ids`` may
     repeat a document (it then counts twice); missing terms count as 0."""

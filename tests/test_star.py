@@ -93,3 +93,14 @@ def test_dense_ids_with_coalesced_ranges(spark):
             assert [k for k, _ in part] == sorted(k for k, _ in part)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_standalone_dimension_operators_match_star(spark):
+    from shelfwise.operators import normalize as N
+    clean = clean_titles(fx.titles_with_duplicates(spark, SF_SMALL))
+    star = S.build_star(clean)
+    assert sorted(rows(N.distinct_dimension(clean, "premiered", "premiered_id"))) == sorted(rows(star["premiered"]))
+    assert sorted(rows(N.split_distinct(clean, "genres", "genre_name", "genre_id"))) == sorted(rows(star["genre"]))
+    assert sorted(rows(N.bridge_studios(clean, star["studio"]))) == sorted(rows(star["title_studio"]))
+    lazy = S.build_star(clean, stored=False)
+    assert sorted(rows(S.star_titles(lazy))) == sorted(rows(S.star_titles(star)))
