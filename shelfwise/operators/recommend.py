@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.sources.tables import materialize
+
 SCORE_DECIMALS = 6
 DEFAULT_LENGTH = 10
 
@@ -54,10 +56,9 @@ def cosine_one_vs_all(postings: DataFrame, query: DataFrame, docs: DataFrame,
 
 
 def top_k(scored: DataFrame, k: int, id_col: str = "doc_id") -> DataFrame:
-    """O1: the k best by rounded score, ties by id, with their rank."""
+    """O1: the k best by rounded score, ties by id."""
     ranked = scored.withColumn("score", F.round("score", SCORE_DECIMALS))
-    best = ranked.orderBy(F.col("score").desc(), F.col(id_col)).limit(k)
-    return best  # rank is assigned by the caller over these ≤ k rows
+    return ranked.orderBy(F.col("score").desc(), F.col(id_col)).limit(k)
 
 
 def _with_rank(best: DataFrame, id_col: str) -> DataFrame:
@@ -65,6 +66,39 @@ def _with_rank(best: DataFrame, id_col: str) -> DataFrame:
     return best.withColumn("rank", F.row_number().over(w))
 
 
+def top_k_with_zeros(postings: DataFrame, query: DataFrame, candidates: DataFrame, k: int,
+                     id_col: str = "doc_id", normalise_query: bool = True) -> DataFrame:
+    """R7 + O1 without joining every document to the scores.
+
+    ``candidates`` are the documents allowed in the result (ids only). The
+    top-k is taken from the documents that share a term with the query; if
+    fewer than k of them score above 0 (after rounding), every positive one
+    is already in that top-k, and the rest are the smallest-id candidates
+    outside that (< k) positive set, with score 0 - as a full ranking would
+    give. Documents are only scanned: the positive set is broadcast."""
+    q = F.broadcast(query.select("term", "qw"))  # ≤ MAX_FEATURES rows
+    dots = (postings.join(q, "term").groupBy(id_col).agg(F.sum(F.col("weight") * F.col("qw")).alias("score"))
+            .join(candidates, id_col, "left_semi"))
+    if normalise_query:
+        qnorm = query.agg(F.sqrt(F.sum(F.col("qw") * F.col("qw")))).scalar()
+        dots = dots.withColumn("score", F.when(qnorm > 0, F.col("score") / qnorm).otherwise(F.lit(0.0)))
+    best = materialize(top_k(dots, k, id_col), "top-k")               # ≤ k rows, computed once
+    positive = best.filter(F.col("score") > 0)
+    n_pos = positive.count()
+    if n_pos >= k:
+        return best
+    fill = (candidates.join(F.broadcast(positive.select(id_col)), id_col, "left_anti")
+            .orderBy(id_col).limit(k - n_pos).select(id_col, F.lit(0.0).alias("score")))
+    return positive.unionByName(fill)
+
+
+def _with_names(best: DataFrame, docs: DataFrame, id_col: str, name_col: str) -> DataFrame:
+    """Rank the ≤ k best and attach name and synopsis (broadcast of ≤ k rows
+    against a scan of the documents)."""
+    named = docs.select(id_col, name_col, "synopsis").join(F.broadcast(best), id_col)
+    return _with_rank(named, id_col).select("rank", id_col, name_col, "synopsis", "score").orderBy("rank")
+
+
 def recommend_by_title(postings: DataFrame, docs: DataFrame, title: str, length: int = DEFAULT_LENGTH,
                        id_col: str = "doc_id", name_col: str = "title_name") -> DataFrame:
     """The ``length`` titles most like ``title`` (itself excluded), as
@@ -77,11 +111,9 @@ def recommend_by_title(postings: DataFrame, docs: DataFrame, title: str, length:
     if qid is None:
         raise ValueError(f"'{title}' does not exist in the data.")
     query = postings.filter(F.col(id_col) == F.lit(qid)).select("term", F.col("weight").alias("qw"))
-    scored = cosine_one_vs_all(postings, query, docs.select(id_col, name_col, "synopsis"), id_col,
-                               normalise_query=False)
-    scored = scored.filter(F.col(id_col) != F.lit(qid))
-    return _with_rank(top_k(scored, length, id_col), id_col).select(
-        "rank", id_col, name_col, "synopsis", "score")
+    candidates = docs.select(id_col).filter(F.col(id_col) != F.lit(qid))
+    best = top_k_with_zeros(postings, query, candidates, length, id_col, normalise_query=False)
+    return _with_names(best, docs, id_col, name_col)
 
 
 def recommend_by_list(postings: DataFrame, docs: DataFrame, titles: Sequence[str],
@@ -106,10 +138,9 @@ def recommend_by_list(postings: DataFrame, docs: DataFrame, titles: Sequence[str
         raise ValueError(f"None of the titles is known: {list(titles)[:20]}")
     ids = spark.createDataFrame([(i,) for i in known], T.StructType([T.StructField(id_col, T.LongType())]))
     query = mean_vector(postings.filter(F.col(id_col).isin(sorted(set(known)))), ids, id_col)
-    scored = cosine_one_vs_all(postings, query, docs.select(id_col, name_col, "synopsis"), id_col)
-    scored = scored.join(names, name_col, "left_anti")
-    return _with_rank(top_k(scored, length, id_col), id_col).select(
-        "rank", id_col, name_col, "synopsis", "score")
+    candidates = docs.join(names, name_col, "left_anti").select(id_col)
+    best = top_k_with_zeros(postings, query, candidates, length, id_col)
+    return _with_names(best, docs, id_col, name_col)
 
 
 __all__ = ["title_lookup", "mean_vector", "cosine_one_vs_all", "top_k", "recommend_by_title",
