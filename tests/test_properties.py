@@ -56,3 +56,56 @@ def test_number_parsers_match_python_rules(spark, values):
         assert b == _py_float_guarded(v)
         if v is None or len(v) < 10:
             assert c == _py_int_digits(v)
+
+
+def _py_duration(d):
+    """The duration rule stated in plain Python: first matching shape wins;
+    1-based CHARINDEX/SUBSTRING; an empty or non-integer piece gives NULL."""
+    import re
+
+    if d is None:
+        return None
+
+    def idx(tok):                       # CHARINDEX: 1-based, 0 when absent
+        return d.find(tok) + 1
+
+    def sub(start, length):             # SUBSTRING(d, start, length); length <= 0 -> ''
+        return d[start - 1:start - 1 + length] if length > 0 else ""
+
+    def to_int(s):
+        s = s.strip()
+        return int(s) if re.fullmatch(r"[+-]?[0-9]+", s) else None
+
+    if re.search(r"hr\. .*min\.", d, re.S):
+        h, m = to_int(sub(1, idx("hr.") - 1)), to_int(sub(idx("hr.") + 4, idx("min.") - idx("hr.") - 4))
+        return None if h is None or m is None else float(h * 60 + m)
+    if "min. per ep." in d:
+        v = to_int(sub(1, idx(" min.") - 1))
+        return None if v is None else float(v)
+    if "min" in d:
+        v = to_int(sub(1, idx(" min") - 1))
+        return None if v is None else float(v)
+    if "hr" in d:
+        v = to_int(sub(1, idx(" hr") - 1))
+        return None if v is None else float(v * 60)
+    if "sec" in d:
+        s = sub(1, idx(" sec") - 1).strip()
+        if not re.fullmatch(r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)", s):
+            return None
+        x = float(s) / 60.0
+        q = abs(Decimal(repr(x))).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+        return float(q if x >= 0 else -q)
+    return None
+
+
+pieces = st.sampled_from(["1", "2", "12", "24", "45", "30", " ", " ", "hr.", "min.", "per ep.", "sec.",
+                          "sec", "min", "hr", "Unknown", "x", "."])
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(pieces, min_size=1, max_size=7).map("".join)),
+                min_size=1, max_size=80))
+def test_duration_rule_matches_python_statement(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    for i, m in rows(df.select("i", parse.duration_minutes("v").alias("m"))):
+        assert m == _py_duration(values[i]), values[i]
