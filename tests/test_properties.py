@@ -157,3 +157,33 @@ def test_label_block_rules_match_python_statements(spark, titles):
             continue
         assert (got["media_type"], got["ranking"], got["genres"]) == (want["media_type"], want["ranking"],
                                                                       want["genres"])
+
+
+def _py_sequential_insert(stored, arriving):
+    """The per-record loop: COUNT(*) WHERE name = ? then insert if 0."""
+    seen = {n for n in stored if n is not None}
+    out = []
+    for tid, name in sorted(arriving):
+        if name is None or name not in seen:
+            out.append((tid, name))
+            if name is not None:
+                seen.add(name)
+    return out
+
+
+names = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d", "A", "a "]))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(names, max_size=6), st.lists(names, min_size=1, max_size=25))
+def test_insert_if_absent_matches_sequential_loop(spark, stored_names, arriving_names):
+    from shelfwise.operators import ingest
+
+    stored = spark.createDataFrame([(i, n) for i, n in enumerate(stored_names)] or [(0, None)],
+                                   "title_id long, title_name string")
+    if not stored_names:
+        stored = stored.limit(0)
+    arriving = [(100 + i, n) for i, n in enumerate(arriving_names)]
+    batch = spark.createDataFrame(arriving, "title_id long, title_name string")
+    got = sorted(rows(ingest.insert_if_absent(batch, stored)), key=repr)
+    assert got == sorted(_py_sequential_insert(stored_names, arriving), key=repr)
