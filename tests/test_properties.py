@@ -187,3 +187,18 @@ def test_insert_if_absent_matches_sequential_loop(spark, stored_names, arriving_
     batch = spark.createDataFrame(arriving, "title_id long, title_name string")
     got = sorted(rows(ingest.insert_if_absent(batch, stored)), key=repr)
     assert got == sorted(_py_sequential_insert(stored_names, arriving), key=repr)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.sets(st.tuples(st.sampled_from(["g1", "g2", "g3"]), st.integers(-10**6, 10**6)), min_size=1, max_size=300),
+       st.integers(min_value=1, max_value=9))
+def test_dense_ids_equal_python_rank(spark, pairs, parts):
+    from shelfwise.operators.keys import dense_ids
+
+    df = spark.createDataFrame(sorted(pairs, key=repr), "g string, k long").repartition(parts)
+    got = {(g, k): i for g, k, i in rows(dense_ids(df, ["k"], "id", group_cols=["g"]), "g", "k", "id")}
+    want = {}
+    for g in {g for g, _ in pairs}:
+        for rank, k in enumerate(sorted(k for gg, k in pairs if gg == g), start=1):
+            want[(g, k)] = rank
+    assert got == want
