@@ -8,6 +8,7 @@ tables (or fixture views Spark derives from them), whole.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -260,14 +261,30 @@ def entry(spark: SparkSession) -> DataFrame:
     return _q_clean_titles(spark, SMOKE_DIR)
 
 
+def _has_llm() -> bool:
+    """Whether the optional subpackage and its pipeline are there (both can be deleted)."""
+    return bool(importlib.util.find_spec("shelfwise.llm") and importlib.util.find_spec("corpus_pipeline"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    found = dict(_QUERIES)
+    if _has_llm():
+        import corpus_pipeline
+        from shelfwise.llm.queries import QUERIES
+
+        found |= QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle_queries import ORACLE
 
-    return {k: v for k, v in ORACLE.items() if k in _QUERIES}
+    found = {k: v for k, v in ORACLE.items() if k in _QUERIES}
+    if _has_llm():
+        from shelfwise.llm.queries import ORACLE_SQL
+
+        found |= ORACLE_SQL
+    return found
 
 
 __all__ = ["entry", "queries", "oracle_sql"]
