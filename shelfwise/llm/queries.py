@@ -4,17 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import simhash
+from shelfwise.llm import decontaminate, simhash
 from shelfwise.llm.common import bucket, table
 
 
+def op4_decontaminate(spark, d):
+    found = decontaminate.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
 def op6_simhash(spark, d):
     return simhash.near_duplicates(table(spark, d, "documents"))
 
 
 QUERIES = {
+    "op4_decontaminate": op4_decontaminate,
     "op6_simhash": op6_simhash,
 }
 
 #: DuckDB SQL of those queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_decontaminate": r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+           FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM benchmark),
+t AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[s:s + 9], ' ') AS x
+      FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS s FROM b WHERE len(w) > 0)),
+p AS (SELECT k, n, s, array_to_string(w[s:s + n - 1], ' ') AS x
+      FROM (SELECT k, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM t))),
+h AS (SELECT k, s, n, item_id FROM p JOIN t USING (n, x)),
+c AS (SELECT k, count(DISTINCT q) AS n_hit FROM (SELECT k, unnest(range(s, s + n)) AS q FROM h) GROUP BY k),
+i AS (SELECT k, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+      FROM (SELECT DISTINCT k, CAST(item_id AS VARCHAR) AS id FROM h) GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (k) LEFT JOIN i USING (k)""",
+}
