@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import decontaminate, simhash
-from shelfwise.llm.common import bucket, table
+from shelfwise.llm import decontaminate, langid, simhash
+from shelfwise.llm.common import table
+
+
+def op3_language(spark, d):
+    return langid.predict(table(spark, d, "documents"))
 
 
 def op4_decontaminate(spark, d):
@@ -19,6 +23,7 @@ def op6_simhash(spark, d):
 
 
 QUERIES = {
+    "op3_language": op3_language,
     "op4_decontaminate": op4_decontaminate,
     "op6_simhash": op6_simhash,
 }
