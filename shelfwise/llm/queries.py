@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import decontaminate, langid, simhash
+from shelfwise.llm import decontaminate, langid, packing, simhash
 from shelfwise.llm.common import table
 
 
@@ -18,6 +18,14 @@ def op4_decontaminate(spark, d):
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op5_packing(spark, d):
+    import public_tokenizers
+
+    pieces = packing.pack(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
 def op6_simhash(spark, d):
     return simhash.near_duplicates(table(spark, d, "documents"))
 
@@ -25,6 +33,7 @@ def op6_simhash(spark, d):
 QUERIES = {
     "op3_language": op3_language,
     "op4_decontaminate": op4_decontaminate,
+    "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
 }
 
