@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import decontaminate, langid, packing, simhash
+from shelfwise.llm import decontaminate, langid, packing, simhash, topk, toxicity
 from shelfwise.llm.common import table
 
 
+def op1_toxicity(spark, d):
+    return toxicity.predict(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def op3_language(spark, d):
     return langid.predict(table(spark, d, "documents"))
 
@@ -30,11 +34,17 @@ def op6_simhash(spark, d):
     return simhash.near_duplicates(table(spark, d, "documents"))
 
 
+def op10_topk(spark, d):
+    return topk.search(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op3_language": op3_language,
     "op4_decontaminate": op4_decontaminate,
     "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
+    "op10_topk": op10_topk,
 }
 
 #: DuckDB SQL of those queries that SQL can express.
@@ -57,4 +67,12 @@ i AS (SELECT k, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN c USING (k) LEFT JOIN i USING (k)""",
+    "op10_topk": """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+      FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10""",
 }
