@@ -6,6 +6,7 @@ import numpy as np
 
 _P = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_P, -1, 1 << 64)
+STRETCH = 1 << 18
 
 
 class _Powers:
@@ -24,16 +25,22 @@ class _Powers:
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit polynomial hash of each byte span of ``buf``: equal bytes, equal hash, wherever they stand.
-
-    Different words collide with a chance of about 2**-64 a pair.
-    """
-    up, down = _Powers.to(len(buf) + 1)
-    total = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * up[: len(buf)], out=total[1:])
-    h = (total[ends] - total[starts]) * down[starts]
-    h ^= h >> np.uint64(31)
-    return h * np.uint64(0xD6E8FEB86659FD93)
+    """64-bit polynomial hash of each byte span of ``buf`` (spans ascending): equal bytes, equal hash,
+    wherever they stand. Different words collide with a chance of about 2**-64 a pair. The buffer is
+    worked through in stretches of ``STRETCH`` bytes or one longer span."""
+    out, i = np.empty(len(starts), np.uint64), 0
+    while i < len(starts):
+        at = starts[i]
+        j = max(int(np.searchsorted(ends, at + STRETCH, side="right")), i + 1)
+        part = buf[at: ends[j - 1]]
+        up, down = _Powers.to(len(part) + 1)
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: len(part)], out=total[1:])
+        s, e = starts[i:j] - at, ends[i:j] - at
+        out[i:j] = (total[e] - total[s]) * down[s]
+        i = j
+    out ^= out >> np.uint64(31)
+    return out * np.uint64(0xD6E8FEB86659FD93)
 
 
 def word_spans(buf: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -203,20 +203,21 @@ class Network:
 def _telling(net: Network, words: Words, doc_of_word: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Start the first component of both vector tables at the log odds of the labels of the documents
     that hold the word or n-gram; returns the sum of both for each distinct word."""
-    n1, n0 = toxic.sum(), (~toxic).sum()
-
-    def odds(rows: int, row: np.ndarray, doc: np.ndarray) -> np.ndarray:
-        pair = np.unique(row * len(toxic) + doc)
-        row, doc = pair // len(toxic), pair % len(toxic)
-        c1 = np.bincount(row[toxic[doc]], minlength=rows)
-        c0 = np.bincount(row[~toxic[doc]], minlength=rows)
-        return np.clip(np.log((c1 + 0.5) / (n1 + 1)) - np.log((c0 + 0.5) / (n0 + 1)), -4, 4) * (c1 + c0 >= 3)
-
-    pairs = np.unique(words.word * len(toxic) + doc_of_word)
-    word, doc = pairs // len(toxic), pairs % len(toxic)
-    by_word = odds(WORD_ROWS, words.rows[word], doc)
-    grams, size = words.gram_rows(word)
-    by_gram = odds(GRAM_ROWS, grams, np.repeat(doc, size))
+    held = {"word": np.zeros((2, WORD_ROWS)), "gram": np.zeros((2, GRAM_ROWS))}
+    for first in range(0, len(toxic), 100):  # a hundred documents at a time: this runs on the driver
+        part = (doc_of_word >= first) & (doc_of_word < first + 100)
+        pairs = np.unique(words.word[part] * 100 + doc_of_word[part] - first)
+        word, doc = pairs // 100, pairs % 100
+        grams, size = words.gram_rows(word)
+        for name, row, of in (("word", words.rows[word], doc), ("gram", grams, np.repeat(doc, size))):
+            pair = np.unique(row * 100 + of)
+            np.add.at(held[name], (toxic[first + pair % 100].astype(int), pair // 100), 1)
+
+    def odds(count: np.ndarray) -> np.ndarray:
+        share = (count + 0.5) / (np.array([[(~toxic).sum()], [toxic.sum()]]) + 1)
+        return np.clip(np.log(share[1] / share[0]), -4, 4) * (count.sum(axis=0) >= 3)
+
+    by_word, by_gram = odds(held["word"]), odds(held["gram"])
     net.word[:, 0], net.gram[:, 0] = 0.5 * by_word, 0.5 * by_gram
     at = np.cumsum(words.per_word) - words.per_word
     return by_word[words.rows] + np.maximum.reduceat(by_gram[words.grams], at)
