@@ -19,13 +19,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.llm.common import bucket, free_name, slices
 
-#: Bounds of the labelled sample: texts a language, and letters of one text.
+#: Bounds of the labelled sample: texts a language (on average), and characters of one text.
 SAMPLE_TEXTS = 48
 SAMPLE_CHARS = 1000
 LANE = 1024
@@ -34,16 +34,17 @@ UNKNOWN = "und"
 
 
 def sample(labelled: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> dict[str, str]:
-    """At most ``texts`` texts a language (text, lang), spread by a hash, each a stretch of at most
-    ``chars`` characters, joined. Counts are taken first, so that only a few rows a language meet in
-    one task however many there are."""
+    """About ``texts`` texts a language (text, lang), spread by a hash, each a stretch of at most ``chars``
+    characters, joined. Languages are counted first; a row's place among its language's rows is then
+    known from its hash, so the few rows that fit are met by the filter, and no text is shuffled."""
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    share = F.xxhash64("text", "doc_id") / F.lit(2.0**64) + 0.5
-    few = rows.select("lang", "text", share.alias("u")).join(counts, "lang").filter(F.col("u") * F.col("n") < 4 * texts + 64)
-    first = Window.partitionBy("lang").orderBy("u", "text")
-    got = (few.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= texts)
-           .select("lang", "r", F.expr(f"substr(text, 1, {chars})").alias("text")).orderBy("lang", "r").collect())
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return {}
+    pairs = [F.lit(x) for k, n in sorted(counts.items()) for x in (k, float(n))]
+    place = (F.xxhash64("text", "doc_id") / F.lit(2.0**64) + 0.5) * F.element_at(F.create_map(*pairs), F.col("lang"))
+    got = (rows.select("lang", place.alias("place"), F.expr(f"substr(text, 1, {chars})").alias("text"))
+           .filter(F.col("place") < 2 * texts + 8).orderBy("place", "lang", "text").limit(texts * len(counts)).collect())
     out: dict[str, list[str]] = {}
     for r in got:
         out.setdefault(r["lang"], []).append(r["text"])

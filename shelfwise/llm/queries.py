@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import decontaminate, langid, packing, simhash, topk, toxicity
+from shelfwise.llm import chat, decontaminate, extract, langid, licenses, packing, simhash, topk, toxicity, urlfilter
 from shelfwise.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op1_toxicity(spark, d):
     return toxicity.predict(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+def op2_urlfilter(spark, d):
+    return urlfilter.judge(table(spark, d, "pages"))
+
+
 def op3_language(spark, d):
     return langid.predict(table(spark, d, "documents"))
 
@@ -34,16 +38,32 @@ def op6_simhash(spark, d):
     return simhash.near_duplicates(table(spark, d, "documents"))
 
 
+def op7_licenses(spark, d):
+    return licenses.scan(table(spark, d, "documents"))
+
+
+def op8_extract(spark, d):
+    return extract.extract(table(spark, d, "pages"))
+
+
+def op9_chat(spark, d):
+    return chat.repair(table(spark, d, "conversations"))
+
+
 def op10_topk(spark, d):
     return topk.search(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_urlfilter": op2_urlfilter,
     "op3_language": op3_language,
     "op4_decontaminate": op4_decontaminate,
     "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
+    "op7_licenses": op7_licenses,
+    "op8_extract": op8_extract,
+    "op9_chat": op9_chat,
     "op10_topk": op10_topk,
 }
 

@@ -267,7 +267,8 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
                   .groupBy("doc_id", "root").agg(F.count(F.lit(1)).alias("n")), "simhash-stay")
     per_id = stay.groupBy("doc_id").agg(F.sum("n").alias("n"))
     once = per_id.filter("n = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__stay"))
-    kept = docs.join(once, F.col("doc_id").cast("long").eqNullSafe(F.col("__stay")), "left_semi")
+    # as many ids as documents stay: a merge join at every size, never a broadcast
+    kept = docs.join(once.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("__stay")), "left_semi")
     again = stored(per_id.filter("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("__stay")), "simhash-again")
     if again.isEmpty():
         return kept

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,7 @@ from shelfwise.llm.bytewords import join_texts, span_hashes, word_spans
 from shelfwise.llm.common import bucket, free_name, slices
 
 WINDOW, STRIDE = 24, 16
-#: Bounds of the labelled sample: texts of each kind, and bytes of one text.
+#: Bounds of the labelled sample: texts of each kind (their sum is never passed), and bytes of one text.
 MAX_TOXIC, MAX_OTHER, MAX_BYTES = 1200, 2400, 8000
 WORD_ROWS, GRAM_ROWS, WORD_DIM, GRAM_DIM, HIDDEN, ATTEND = 1 << 15, 1 << 16, 8, 8, 8, 8
 #: Lengths in bytes of the word beginnings that count beside the n-grams.
@@ -285,17 +285,18 @@ def _calibrate(net: Network, logit: np.ndarray, y: np.ndarray) -> None:
 
 def sample(docs: DataFrame, labels: DataFrame) -> tuple[list[bytes], list[int]]:
     """Texts and labels of a bounded sample of the rows that ``docs`` and ``labels`` (doc_id, toxic) share,
-    spread by a hash. The labels are counted first, so that only few rows meet in one task."""
-    rows = labels.filter(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    counts = rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n"))
-    most = F.when(F.col("toxic") == 1, MAX_TOXIC).otherwise(MAX_OTHER)
+    spread by a hash: about ``MAX_TOXIC`` and ``MAX_OTHER`` rows, never more than both together. The labels are
+    counted first; the ids that the hash puts in front, a bounded number, are broadcast to the texts."""
+    most = MAX_TOXIC + MAX_OTHER
+    rows = (labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
+            .select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct())
+    n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.xxhash64("doc_id", F.lit("toxicity")) / F.lit(2.0**64) + 0.5
-    few = (rows.withColumn("u", share).join(counts, "toxic").filter(F.col("u") * F.col("n") < 2 * most + 200)
-           .select("doc_id", "toxic", "u"))
+    place = share * F.when(F.col("toxic") == 1, n.get(1, 0) / MAX_TOXIC).otherwise(n.get(0, 0) / MAX_OTHER)
+    few = rows.withColumn("place", place).filter("place < 2").orderBy("place", "doc_id").limit(2 * most)
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).filter(F.octet_length("text") <= MAX_BYTES)
-    order = Window.partitionBy("toxic").orderBy("u", "text")
-    got = (texts.join(few, "doc_id").withColumn("r", F.row_number().over(order)).filter(F.col("r") <= most)
-           .orderBy("toxic", "r").select("text", "toxic").collect())
+    got = (texts.join(F.broadcast(few), "doc_id").orderBy("place", "doc_id", "text").limit(most)
+           .select("text", "toxic").collect())
     return [bytes(r["text"]) for r in got], [r["toxic"] for r in got]
 
 
