@@ -23,8 +23,8 @@ from shelfwise.llm.common import stored
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
          ("block", "net/fr/"))
 #: Words that mark a host as an example to block (a parameter).
-SEEDS = ("adult", "bet", "bets", "betting", "casino", "escort", "gambling", "jackpot", "pharma", "pills", "poker",
-         "porn", "replica", "sex", "slots", "spam", "torrent", "viagra", "warez", "xxx")
+SEEDS = ("ads", "adult", "bet", "bets", "betting", "casino", "escort", "gambling", "jackpot", "pharma", "pills", "poker",
+         "porn", "replica", "sex", "slots", "spam", "torrent", "track", "tracker", "viagra", "warez", "xxx")
 #: A DNS label has at most 63 characters; longer ones are one token. Longest word that is looked for.
 LABEL, WORD = 63, 20
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
