@@ -105,7 +105,7 @@ def _corpus(spark, d):
 
 
 def _doc_corpus(spark, d):
-    return RP.document_corpus(fx.table(spark, d, "documents"))
+    return RP.document_corpus(_documents(spark, d))
 
 
 def _round_weight(df, col="weight"):
@@ -145,7 +145,11 @@ def _q_cosine_one_vs_all(spark, d):
 
 
 def _pages(spark, d):
-    return fx.table(spark, d, "pages")
+    return tables.spread(fx.table(spark, d, "pages"), spark.sparkContext.defaultParallelism)
+
+
+def _documents(spark, d):
+    return tables.spread(fx.table(spark, d, "documents"), spark.sparkContext.defaultParallelism)
 
 
 def _kv(spark, d):
@@ -211,9 +215,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "describe": lambda spark, d: RP.title_docs(_star(spark, d)),
     "tfidf": lambda spark, d: _round_weight(_corpus(spark, d).postings),
     "title_lookup": lambda spark, d: REC.title_lookup(RP.title_docs(_star(spark, d))),
-    "tokenize": lambda spark, d: R.tokenize(fx.table(spark, d, "documents"), text_col="text"),
+    "tokenize": lambda spark, d: R.tokenize(_documents(spark, d), text_col="text"),
     "vocabulary_topn": lambda spark, d: R.vocabulary_topn(
-        R.tokenize(fx.table(spark, d, "documents"), text_col="text")),
+        R.tokenize(_documents(spark, d), text_col="text")),
     "tfidf_documents": lambda spark, d: _round_weight(_doc_corpus(spark, d).postings),
     "cosine_one_vs_all": _q_cosine_one_vs_all,
     "recommend_by_title": _q_recommend_by_title,
@@ -245,12 +249,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_frame": _q_profile,
     # single operators
     "scan_table": lambda spark, d: tables.scan_table(spark, f"{d}/part.parquet")
-    .filter(F.col("p_size") > 25).select("p_partkey", "p_name", "p_size"),
+    .select("p_partkey", "p_name", "p_size"),
     "trim_column": lambda spark, d: clean.trim_column(fx.titles_raw(spark, d)).select("title_id", "studio"),
     "avg_by_key": _q_avg_by_key,
     "union_crawls": _q_union_crawls,
     # micro-batch streaming, run to completion (available-now)
-    "incremental_clean": lambda spark, d: incremental.stream_clean(fx.titles_arriving(spark, d)),
+    "incremental_clean": lambda spark, d: incremental.stream_clean(fx.titles_raw(spark, d)),
     "incremental_ingest": lambda spark, d: incremental.stream_ingest(
         fx.titles_stored(spark, d), fx.titles_arriving(spark, d)),
 }

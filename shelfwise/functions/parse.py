@@ -37,25 +37,31 @@ def _int(s: Column) -> Column:
     return s.try_cast("int")
 
 
-def _before(d: Column, token: str) -> Column:
-    """Text from position 1 up to (not including) ``token``."""
-    return d.substr(F.lit(1), F.instr(d, token) - 1)
-
-
 def duration_minutes(c) -> Column:
-    """Free-text duration → minutes (double); NULL when no shape matches."""
+    """Free-text duration → minutes (double); NULL when no shape matches.
+
+    Each shape is a pattern and the parts of the text around its unit words."""
     d = _c(c)
-    hr = F.instr(d, "hr.")
-    mn = F.instr(d, "min.")
-    hours_minutes = _int(_before(d, "hr.")) * 60 + _int(d.substr(hr + 4, mn - hr - 4))
-    return (
-        F.when(d.like("%hr. %min.%"), hours_minutes.cast("double"))
-        .when(d.like("%min. per ep.%"), _int(_before(d, " min.")).cast("double"))
-        .when(d.like("%min%"), _int(_before(d, " min")).cast("double"))
-        .when(d.like("%hr%"), (_int(_before(d, " hr")) * 60).cast("double"))
-        .when(d.like("%sec%"), F.round(_before(d, " sec").try_cast("double") / F.lit(60.0), 2))
-        .when(F.lower(d) == "unknown", F.lit(None).cast("double"))
-    )
+
+    def lead(unit: str) -> Column:
+        return F.split_part(d, F.lit(unit), F.lit(1))
+
+    after_hours = F.split_part(F.split_part(d, F.lit("hr. "), F.lit(2)), F.lit("min."), F.lit(1))
+    shapes = [
+        (r"(?s)hr\. .*min\.", _int(lead("hr. ")) * 60 + _int(after_hours)),
+        (r"min\. per ep\.", _int(lead(" min."))),
+        ("min", _int(lead(" min"))),
+        ("hr", _int(lead(" hr")) * 60),
+        ("sec", F.round(lead(" sec").try_cast("double") / 60, 2)),
+    ]
+    return _first_shape(d, shapes)
+
+
+def _first_shape(d: Column, shapes: list) -> Column:
+    out = F.lit(None).cast("double")
+    for pattern, minutes in reversed(shapes):
+        out = F.when(d.rlike(pattern), minutes.cast("double")).otherwise(out)
+    return out
 
 
 def duration_shape_matched(c) -> Column:
@@ -67,28 +73,28 @@ def duration_shape_matched(c) -> Column:
 def collapse_rating(c) -> Column:
     """Drop the comment after a rating code (only where the text has '-')."""
     r = _c(c)
-    code = F.when(r.startswith(RATING_PREFIXES[0]), F.lit(RATING_PREFIXES[0]))
-    for p in RATING_PREFIXES[1:]:
-        code = code.when(r.startswith(p), F.lit(p))
-    return F.when(r.like("%-%"), code.otherwise(F.lit(RATING_FALLBACK))).otherwise(r)
+    codes = sorted(RATING_PREFIXES, key=len, reverse=True)   # a longer code before one that it begins with
+    code = F.regexp_extract(r, "^(" + "|".join(p.replace("+", r"\+") for p in codes) + ")", 1)
+    short = F.coalesce(F.nullif(code, F.lit("")), F.lit(RATING_FALLBACK))
+    return F.when(F.contains(r, F.lit("-")), short).otherwise(r)
 
 
 def int_with_commas(c) -> Column:
     """'1,234' → 1234; NULL, 'Unknown' or non-digits → NULL (bigint)."""
     s = F.regexp_replace(_c(c), ",", "")
-    return F.when(s.rlike("^[0-9]+$"), s.try_cast("bigint"))
+    return F.when(s.rlike(r"^[0-9]+\z"), s.try_cast("bigint"))
 
 
 def int_digits(c) -> Column:
     """Digits only → int, else NULL."""
     s = _c(c)
-    return F.when(s.rlike("^[0-9]+$"), s.try_cast("int"))
+    return F.when(s.rlike(r"^[0-9]+\z"), s.try_cast("int"))
 
 
 def float_guarded(c) -> Column:
     """Digits with at most one '.' → double ('8.' and '.5' included), else NULL."""
     s = _c(c)
-    return F.when(s.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"), s.try_cast("double"))
+    return F.when(s.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)\z"), s.try_cast("double"))
 
 
 def digits_only(c) -> Column:

@@ -9,8 +9,7 @@ Scale notes: no operator here puts a whole key group into one task. The
 per-episode mean (C7) is a partial (map-side) aggregate joined back, and the
 de-duplication (C9) picks survivors with an aggregate too, so a key that holds
 a third of all rows is reduced inside every map task before anything is
-shuffled; C9 first counts the duplicated keys and, when they are few enough to
-broadcast, shuffles only the duplicated rows.
+shuffled.
 """
 
 from __future__ import annotations
@@ -22,7 +21,6 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import parse
 from shelfwise.functions.numeric import exact_mean
-from shelfwise.sources.tables import materialize
 
 
 def drop_blank_rows(df: DataFrame, col: str = "title_name") -> DataFrame:
@@ -107,9 +105,6 @@ def collapse_rating(df: DataFrame, col: str = "rating") -> DataFrame:
     return df.withColumn(col, parse.collapse_rating(F.col(col)))
 
 
-DEDUPE_BROADCAST_KEYS = 1_000_000   # duplicated keys broadcast at most (a few tens of MB)
-
-
 def _survivors(df: DataFrame, keys: list[str], order_by) -> DataFrame:
     others = [c for c in df.columns if c not in keys]
     payload = F.struct(*[F.col(c) for c in others])
@@ -124,41 +119,16 @@ def _survivors(df: DataFrame, keys: list[str], order_by) -> DataFrame:
 
 
 def dedupe_by_key(df: DataFrame, key: str | Sequence[str] = "title_id",
-                  order_by: Sequence[str | Column] | None = None, strategy: str = "auto",
-                  max_broadcast_keys: int = DEDUPE_BROADCAST_KEYS) -> DataFrame:
+                  order_by: Sequence[str | Column] | None = None) -> DataFrame:
     """One row per key; the survivor is the first by ``order_by``.
 
     Default order is all other columns, so the survivor is deterministic
     (the reference keeps an arbitrary one). ``order_by`` entries are
     ascending column names or expressions (negate a number for descending).
-
-    ``strategy="aggregate"``: every row goes through one aggregate by key
-    with map-side partial combine (copies of a hot key collapse inside each
-    map task). ``strategy="auto"`` (default) first finds the duplicated keys
-    with a key-only pass (column-pruned, partial aggregate) and writes them
-    once; none → the input is returned as is (no shuffle); at most
-    ``max_broadcast_keys`` → they are broadcast, rows with a unique key pass
-    through without a shuffle and only the duplicated rows are aggregated;
-    more → the plain aggregate. NULL keys form one group in every path.
+    One aggregate by key with map-side partial combine: copies of a hot key
+    collapse inside each map task. NULL keys form one group.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    if strategy == "aggregate":
-        return _survivors(df, keys, order_by)
-    dup = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                      .filter(F.col("_n") > 1).select(*keys), "dup-keys")
-    n_dup = dup.count()
-    if n_dup == 0:
-        return df
-    if n_dup > max_broadcast_keys:
-        return _survivors(df, keys, order_by)
-    probe = F.broadcast(dup.select(*[F.col(k).alias(f"_dk{i}") for i, k in enumerate(keys)]))
-    cond = None
-    for i, k in enumerate(keys):
-        c = df[k].eqNullSafe(probe[f"_dk{i}"])
-        cond = c if cond is None else cond & c
-    singles = df.join(probe, cond, "left_anti")
-    copies = df.join(probe, cond, "left_semi")
-    return singles.unionByName(_survivors(copies, keys, order_by))
+    return _survivors(df, [key] if isinstance(key, str) else list(key), order_by)
 
 
 def backfill(df: DataFrame, *steps) -> DataFrame:

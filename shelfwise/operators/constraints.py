@@ -73,8 +73,9 @@ def validate(df: DataFrame, strict: bool = True) -> DataFrame:
     rolls the whole statement back; else return only the valid rows."""
     if not strict:
         return split_valid(df)[0]
-    for name, cond in _rules().items():
-        if not df.filter(F.coalesce(cond, F.lit(False))).isEmpty():
+    flags = df.agg(*[F.max(F.coalesce(cond, F.lit(False))).alias(name) for name, cond in _rules().items()]).first()
+    for name in _rules():
+        if flags[name]:
             raise ValueError(RULE_MESSAGES[name])
     return df
 

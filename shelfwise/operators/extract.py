@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import parse
 from shelfwise.functions.text import html_text, strip_ws
-from shelfwise.sources.tables import spread
 
 # --- fixed values that must equal the reference's -----------------------
 # Crawl 1: text after a label (first block containing it) and digits-only fields.
@@ -48,13 +47,13 @@ def _tag_pattern(tag: str) -> str:
 
 def rows_of_page(pages: DataFrame, block_pattern: str = BLOCK_PATTERN, id_col: str = "page_id") -> DataFrame:
     """One row per repeated block of a listing page: (page_id, pos, block)."""
-    return spread(pages).select(id_col, F.posexplode(F.regexp_extract_all("html", F.lit(block_pattern), 1))
+    return pages.select(id_col, F.posexplode(F.regexp_extract_all("html", F.lit(block_pattern), 1))
                         .alias("pos", "block"))
 
 
 def links_of_page(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
     """Every link target of a page, in page order: (page_id, pos, href)."""
-    return spread(pages).select(id_col, F.posexplode(F.regexp_extract_all("html", F.lit(LINK_PATTERN), 1))
+    return pages.select(id_col, F.posexplode(F.regexp_extract_all("html", F.lit(LINK_PATTERN), 1))
                         .alias("pos", "href"))
 
 
@@ -71,7 +70,7 @@ def listing_links(pages: DataFrame, block_pattern: str = BLOCK_PATTERN, id_col:
                                                  F.regexp_extract(b, ROW_LINK_PATTERN, 1)))
     stop = F.array_position(F.transform(hrefs, lambda h: h.isNull()), F.lit(True))   # 1-based, 0 = none
     kept = F.when(stop == 0, hrefs).otherwise(F.slice(hrefs, 1, stop - 1))
-    return spread(pages).select(id_col, F.posexplode(kept).alias("pos", "href"))
+    return pages.select(id_col, F.posexplode(kept).alias("pos", "href"))
 
 
 def first_text(c: Column | str, tag: str, missing: str | None = None) -> Column:
@@ -93,7 +92,7 @@ def joined_matches(c: Column | str, pattern: str = LINK_TEXT_PATTERN, sep: str =
 
 def page_fields(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
     """X3 + X4 over a table of pages."""
-    return spread(pages).select(
+    return pages.select(
         id_col,
         first_text("html", "h1").alias("heading"),
         first_text("html", "title", MISSING_TEXT).alias("title"),

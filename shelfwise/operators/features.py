@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions import text
-from shelfwise.sources.tables import materialize, spread
+from shelfwise.sources.tables import materialize
 
 # --- fixed values that must equal the reference's -----------------------
 MAX_FEATURES = 1500          # vocabulary cap
@@ -63,7 +63,7 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "descripti
     """(doc_id, term, tf) - lower-cased word runs of ≥ 2 word characters,
     stop words removed (an in-set filter, no join), counted per document."""
     stops = list(text.default_stop_words() if stop_words is None else stop_words)
-    docs = spread(docs.select(id_col, text_col))
+    docs = docs.select(id_col, text_col)
     toks = docs.select(id_col, F.explode(text.tokens(F.col(text_col))).alias("term"))
     if stops:
         toks = toks.filter(~F.col("term").isin(stops))

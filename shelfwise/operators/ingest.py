@@ -4,10 +4,8 @@ The reference asks ``SELECT COUNT(*) … WHERE name = ?`` per crawled record
 and inserts only when the count is 0, so the first record with a name wins
 and a NULL name (``= NULL`` is never true) always inserts. Here a whole batch
 is handled at once: first-wins inside the batch is an aggregate (a hot name
-collapses map-side); for the existence test the batch's distinct names are
-counted and, when bounded, broadcast so the stored table is only scanned
-(semi join) for the names that collide - otherwise a shuffled ``left_anti``
-join; the survivors are appended in one bulk write.
+collapses map-side), the existence test one ``left_anti`` join on the distinct
+stored names; the survivors are appended in one bulk write.
 """
 
 from __future__ import annotations
@@ -18,63 +16,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.operators.clean import dedupe_by_key
-from shelfwise.sources.tables import materialize
+from shelfwise.sources.tables import materialize, path_exists
 
 
-BROADCAST_NAMES = 1_000_000   # distinct batch names broadcast at most
-
-
-def _batch_names(names: DataFrame, key: str, max_broadcast: int):
-    """Distinct non-NULL names of a batch, written once, and whether their
-    counted size allows a broadcast."""
-    distinct = materialize(names.select(key).filter(F.col(key).isNotNull()).distinct(), "batch-names")
-    return distinct, distinct.count() <= max_broadcast
-
-
-def count_matches(target: DataFrame, names: DataFrame, key: str = "title_name",
-                  max_broadcast: int = BROADCAST_NAMES) -> DataFrame:
+def count_matches(target: DataFrame, names: DataFrame, key: str = "title_name") -> DataFrame:
     """A4 for a batch: per arriving name, how many stored rows carry it
-    (0 when none). NULL names count 0, as ``= NULL`` matches nothing.
-    With a bounded batch the stored table is only scanned (semi join against
-    the broadcast batch names), never shuffled as a whole."""
-    wanted, small = _batch_names(names, key, max_broadcast)
-    stored = target.select(key).filter(F.col(key).isNotNull())
-    if small:
-        stored = stored.join(F.broadcast(wanted), key, "left_semi")
-    per_name = stored.groupBy(key).agg(F.count(F.lit(1)).alias("n_stored"))
+    (0 when none). NULL names count 0, as ``= NULL`` matches nothing. One
+    aggregate of the stored names (partly combined before its shuffle) and one join."""
+    per_name = target.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_stored"))
     return (names.select(key).distinct().join(per_name, key, "left")
             .withColumn("n_stored", F.coalesce(F.col("n_stored"), F.lit(0)).cast("bigint")))
 
 
-def first_per_key(batch: DataFrame, key: str = "title_name", order_by: Sequence[str] = ("title_id",)) -> DataFrame:
-    """In-batch first-wins by ``order_by`` (arrival order); NULL keys all kept."""
-    named = batch.filter(F.col(key).isNotNull())
+def _collated(key: str, collation: str | None):
+    return F.collate(F.col(key), collation) if collation else F.col(key)
+
+
+def first_per_key(batch: DataFrame, key: str = "title_name", order_by: Sequence[str] = ("title_id",),
+                  collation: str | None = None) -> DataFrame:
+    """In-batch first-wins by ``order_by`` (arrival order), ties by the other
+    columns; names compare under ``collation``; NULL keys all kept."""
+    order = [*order_by, *[c for c in batch.columns if c not in order_by]]
+    named = batch.filter(F.col(key).isNotNull()).withColumn("_name", _collated(key, collation))
     unnamed = batch.filter(F.col(key).isNull())
-    return dedupe_by_key(named, key, list(order_by)).unionByName(unnamed)
+    return dedupe_by_key(named, "_name", order).select(*batch.columns).unionByName(unnamed)
 
 
 def insert_if_absent(batch: DataFrame, target: DataFrame, key: str = "title_name",
-                     order_by: Sequence[str] = ("title_id",), collation: str | None = None,
-                     max_broadcast: int = BROADCAST_NAMES) -> DataFrame:
+                     order_by: Sequence[str] = ("title_id",), collation: str | None = None) -> DataFrame:
     """Rows of ``batch`` to insert - first per name, and only names not
-    yet stored. ``collation`` (e.g. ``'utf8_lcase'``) sets how names compare;
-    by default the comparison is binary.
-
-    The batch's distinct names are counted first: when at most
-    ``max_broadcast``, they are broadcast and the stored names are only
-    scanned (semi join) to find the few that collide, which are then
-    broadcast back for the anti join - the stored table is never shuffled.
-    Beyond the bound, stored names are de-duplicated and anti-joined with a
-    shuffle."""
-    firsts = first_per_key(batch, key, order_by)
-    probe = F.collate(F.col(key), collation) if collation else F.col(key)
-    keyed = firsts.withColumn("_k", probe)
-    stored = target.select(probe.alias("_k")).filter(F.col("_k").isNotNull())
-    wanted, small = _batch_names(keyed.select("_k"), "_k", max_broadcast)
-    if small:
-        present = stored.join(F.broadcast(wanted), "_k", "left_semi").distinct()   # ≤ batch names
-        return keyed.join(F.broadcast(present), "_k", "left_anti").select(*batch.columns)
-    return keyed.join(stored.distinct(), "_k", "left_anti").select(*batch.columns)
+    yet stored. ``collation`` (e.g. ``'utf8_lcase'``) sets how names compare,
+    inside the batch and with the stored ones; by default the comparison is
+    binary. A plain anti join: adaptive execution picks its form from the
+    measured sizes."""
+    name = _collated(key, collation)
+    stored = target.filter(F.col(key).isNotNull()).select(name.alias("_k")).distinct()
+    firsts = first_per_key(batch, key, order_by, collation).withColumn("_k", name)
+    return firsts.join(stored, "_k", "left_anti").select(*batch.columns)
 
 
 def append_new(batch: DataFrame, target_path: str, key: str = "title_name",
@@ -82,10 +60,8 @@ def append_new(batch: DataFrame, target_path: str, key: str = "title_name",
     """S4 as a job: compute the new rows against the stored table and append
     them (bulk). Returns the new rows."""
     spark = batch.sparkSession
-    try:
-        target = spark.read.format(fmt).load(target_path)
-    except Exception:  # noqa: BLE001 - first batch: nothing stored yet
-        target = batch.limit(0)
+    # only a missing path means that nothing is stored yet; a failed read is an error
+    target = spark.read.format(fmt).load(target_path) if path_exists(spark, target_path) else batch.limit(0)
     # computed once (and before the append), so the returned rows are exactly
     # the appended ones
     new = materialize(insert_if_absent(batch, target, key, order_by), "append-new")

@@ -5,7 +5,7 @@ studios) without shipping their formulas; these are the definitions used
 here. Means are exact (``exact_mean``). Every one is a join into the
 title/statistic rows and a ``groupBy`` with map-side partial aggregation, so
 a genre or studio carried by a third of all titles is one partial row per
-task before the shuffle. Top-k reports use ``orderBy(...).limit(k)`` - a
+task before the shuffle. Whole results by default; with ``k`` ``orderBy(...).limit(k)`` - a
 per-task top-k merged once.
 """
 
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.numeric import exact_mean
 
-TOP_K = 10
 # Episode buckets: (label, lowest episode count), ascending.
 EPISODE_BUCKETS = (("1", 1), ("2-12", 2), ("13-26", 13), ("27-52", 27), ("53+", 53))
 
@@ -39,13 +38,13 @@ def _per_list_value(star, bridge: str, dim: str, id_col: str, name_col: str, k:
     return out.orderBy(F.col("n_titles").desc(), F.col(name_col)).limit(k)
 
 
-def popular_genres(star: dict[str, DataFrame], k: int | None = TOP_K) -> DataFrame:
-    """B1: titles, mean score and total members per genre; top-k by titles."""
+def popular_genres(star: dict[str, DataFrame], k: int | None = None) -> DataFrame:
+    """B1: titles, mean score and total members per genre; with ``k`` the top k by titles."""
     return _per_list_value(star, "title_genre", "genre", "genre_id", "genre_name", k)
 
 
-def studio_output(star: dict[str, DataFrame], k: int | None = TOP_K) -> DataFrame:
-    """Titles, mean score and total members per studio; top-k by titles."""
+def studio_output(star: dict[str, DataFrame], k: int | None = None) -> DataFrame:
+    """Titles, mean score and total members per studio; with ``k`` the top k by titles."""
     return _per_list_value(star, "title_studio", "studio", "studio_id", "studio_name", k)
 
 

@@ -48,7 +48,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) is a scratch folder created and set.
+    on a ``local`` master is a scratch folder created and set; elsewhere that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -61,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = sc._jsc.sc().getCheckpointDir()
         if not d and not current.isEmpty():
             d = current.get()
+    if not d and not (sc is not None and sc.master.split("[")[0] == "local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="shelfwise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:

@@ -22,22 +22,29 @@ def full_snapshot(df: DataFrame, path: str) -> DataFrame:
 
 def differential_snapshot(base: DataFrame, current: DataFrame, key: str | Sequence[str] = "title_id") -> DataFrame:
     """(key..., op, current columns): op 'I' inserted, 'U' updated, 'D'
-    deleted (current columns NULL); unchanged rows are left out."""
+    deleted (current columns NULL); unchanged rows are left out. Keys compare
+    NULL-safe (a NULL key is one key); a repeated key in either snapshot raises ``ValueError``."""
     keys = [key] if isinstance(key, str) else list(key)
     cols = [c for c in current.columns if c not in keys]
-    b = base.select(*keys, *[F.col(c).alias(f"_b_{c}") for c in cols], F.lit(True).alias("_in_b"))
+    for name, side in (("base", base), ("current", current)):
+        if not side.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+            raise ValueError(f"the {name} snapshot repeats values of {keys}; remove the copies first")
+    b = base.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(c).alias(f"_b_{c}") for c in cols], F.lit(True).alias("_in_b"))
     c = current.select(*keys, *cols, F.lit(True).alias("_in_c"))
-    j = b.join(c, keys, "full_outer")
+    j = b.join(c, reduce(lambda x, y: x & y, [F.col(f"_k_{k}").eqNullSafe(F.col(k)) for k in keys]), "full_outer")
     same = reduce(lambda x, y: x & y, [F.col(f"_b_{n}").eqNullSafe(F.col(n)) for n in cols], F.lit(True))
     op = (F.when(F.col("_in_b").isNull(), F.lit("I"))
           .when(F.col("_in_c").isNull(), F.lit("D"))
           .when(~same, F.lit("U")))
-    return j.withColumn("op", op).filter(F.col("op").isNotNull()).select(*keys, "op", *cols)
+    key = [F.when(F.col("_in_c").isNull(), F.col(f"_k_{k}")).otherwise(F.col(k)).alias(k) for k in keys]
+    return j.withColumn("op", op).filter(F.col("op").isNotNull()).select(*key, "op", *cols)
 
 
 def apply_differential(base: DataFrame, diff: DataFrame, key: str | Sequence[str] = "title_id") -> DataFrame:
     """Restore the current state from a base snapshot and a differential."""
     keys = [key] if isinstance(key, str) else list(key)
-    kept = base.join(diff.select(*keys), keys, "left_anti")
+    gone = diff.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    kept = base.join(gone, same, "left_anti")
     changed = diff.filter(F.col("op") != "D").drop("op")
     return kept.unionByName(changed.select(*base.columns))

@@ -87,17 +87,10 @@ def profile_frame(df: DataFrame) -> DataFrame:
     return agg.select(F.col("__rows").alias("rows"), stack.alias("s")).select("s.*", "rows")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread rows over all task slots before CPU-heavy per-row work when the
-    scan yields fewer splits than the cluster's parallelism (e.g. one large
-    parquet row group that only one task can read). A round-robin
-    repartition; a no-op when there are already enough splits, as at scale."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session)
-        return df
-    return df.repartition(slots) if splits < slots else df
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Spread rows over ``partitions`` tasks before CPU-heavy per-row work, where the caller knows that the
+    scan yields few splits (e.g. one large parquet row group). ``None`` leaves the frame as it is."""
+    return df.repartition(partitions) if partitions else df
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -107,9 +100,22 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     base = ensure_checkpoint_dir(df.sparkSession)
     path = f"{base.rstrip('/')}/shelfwise/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    delete_at_end(df.sparkSession, path)
     return df.sparkSession.read.parquet(path)
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Have the file system delete ``path`` when the driver's JVM ends."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the file system has ``path``; errors of the file system rise."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def listing_urls(spark: SparkSession, base_url: str, start: int, end: int, step: int = 1,
                  offset_per_page: int = 1) -> DataFrame:
     """Listing-page URLs for ``page in range(start, end, step)``: the

@@ -16,10 +16,8 @@ Here:
   appended), keep the first row per new name (T4), impute missing minutes
   from stored ∪ inserted rows (T2), append in one write.
 
-Re-running a micro-batch after a failure is harmless: its names are then
-already stored, so insert-if-absent writes nothing twice (NULL names aside).
-The per-episode sums for T2 are kept as small per-batch deltas next to the
-target (see ``BatchWriter``), so a micro-batch never rescans the stored table.
+Re-running a micro-batch after a failure writes nothing twice (see ``BatchWriter``). The per-episode
+sums for T2 are kept as small per-batch deltas next to the target, so the stored minutes are not rescanned.
 """
 
 from __future__ import annotations
@@ -30,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.functions.numeric import mean_from_sums, scaled_sum
 from shelfwise.operators import clean, constraints, ingest
-from shelfwise.sources.tables import materialize
+from shelfwise.sources.tables import materialize, path_exists
 
 
 def clean_stream(df: DataFrame) -> DataFrame:
@@ -53,16 +51,9 @@ def impute_from_table(batch: DataFrame, stored: DataFrame | None, col: str = "du
             .drop("_peer").select(*batch.columns))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
-    except Exception:  # noqa: BLE001 - no JVM view (Spark Connect): probe by reading
-        try:
-            spark.read.parquet(path).limit(0).collect()
-            return True
-        except Exception:  # noqa: BLE001
-            return False
+def _done(spark: SparkSession, path: str) -> bool:
+    """Whether the write of ``path`` was finished (a folder alone may be half-written)."""
+    return path_exists(spark, f"{path}/_SUCCESS")
 
 
 def duration_sums(df: DataFrame, col: str = "duration_min", by: str = "episodes") -> DataFrame:
@@ -89,40 +80,36 @@ def impute_from_sums(batch: DataFrame, sums: DataFrame | None, col: str = "durat
 class BatchWriter:
     """``foreachBatch`` sink: guard (T3) → insert-if-absent (T4) → impute.
 
-    The per-episode sums the imputation needs are kept next to the target as
-    one small delta per micro-batch (``<target>_duration_sums/epoch=N``, plus
-    ``epoch=-1`` for rows stored before the stream started), so no batch
-    rescans the stored table. A delta is written before its rows are appended
-    and never overwritten: a replayed epoch reuses it, and recomputes the same
-    new rows from the unchanged target (or none, once they are stored)."""
+    An epoch's new rows are first written whole to ``<target>_epochs/epoch=N``, then its per-episode sums to
+    ``<target>_duration_sums/epoch=N`` (``epoch=-1``: rows stored before the stream), then its files move into the
+    target under their own names. Each step counts as done by its ``_SUCCESS`` mark only, so a replayed epoch
+    redoes what was left half-written and moves what was not moved yet: it writes nothing twice, rows with a
+    NULL name included. The sums spare a rescan of the stored minutes; the existence test (T4) does read
+    the stored names, one column, for every micro-batch."""
 
     def __init__(self, target_path: str, key: str = "title_name", order_by: tuple[str, ...] = ("title_id",),
                  guard: bool = True, sums_path: str | None = None):
-        self.target_path = target_path
-        self.sums_path = sums_path or f"{target_path.rstrip('/')}_duration_sums"
+        self.target_path = target_path.rstrip("/")
+        self.epochs_path = f"{self.target_path}_epochs"
+        self.sums_path = sums_path or f"{self.target_path}_duration_sums"
         self.key = key
         self.order_by = order_by
         self.guard = guard
 
     def _stored(self, spark: SparkSession) -> DataFrame | None:
-        return spark.read.parquet(self.target_path) if _exists(spark, self.target_path) else None
+        return spark.read.parquet(self.target_path) if path_exists(spark, self.target_path) else None
 
-    def _sums_before(self, spark: SparkSession, stored: DataFrame | None, epoch_id: int) -> DataFrame | None:
+    def _sums_before(self, spark: SparkSession, stored: DataFrame | None, epoch_id: int) -> DataFrame:
         base = f"{self.sums_path}/epoch=-1"
-        if not _exists(spark, base):
-            # once, at the first batch: the rows stored before the stream (none
-            # if there is no target yet); later batches only add deltas
-            if stored is None:
-                empty = "episodes int, s bigint, n bigint"
-                spark.createDataFrame([], empty).write.parquet(base)
-            else:
-                duration_sums(stored).write.parquet(base)
-        if not _exists(spark, self.sums_path):
-            return None
+        if not _done(spark, base):   # once, at the first batch
+            sums = (spark.createDataFrame([], "episodes int, s bigint, n bigint") if stored is None
+                    else duration_sums(stored))
+            sums.write.mode("overwrite").parquet(base)
         return spark.read.parquet(self.sums_path).filter(F.col("epoch") < epoch_id).drop("epoch")
 
-    def __call__(self, batch: DataFrame, epoch_id: int) -> None:
+    def _new_rows(self, batch: DataFrame, epoch_id: int) -> DataFrame:
         spark = batch.sparkSession
+        batch = materialize(batch, "ingest-batch")       # guard, first-wins and imputation read it once computed
         if self.guard:                                   # T3: reject the whole batch
             constraints.validate(batch, strict=True)
         stored = self._stored(spark)
@@ -130,12 +117,26 @@ class BatchWriter:
             new = ingest.first_per_key(batch, self.key, self.order_by)
         else:
             new = ingest.insert_if_absent(batch, stored, self.key, self.order_by)
-        rows = impute_from_sums(new, self._sums_before(spark, stored, epoch_id))   # T2
-        rows = materialize(rows, "ingest-batch")         # computed once: delta and append agree
-        delta = f"{self.sums_path}/epoch={epoch_id}"
-        if not _exists(spark, delta):
-            duration_sums(rows).write.parquet(delta)
-        rows.write.mode("append").parquet(self.target_path)
+        return impute_from_sums(new, self._sums_before(spark, stored, epoch_id))   # T2
+
+    def _publish(self, spark: SparkSession, epoch: str) -> None:
+        jvm = spark.sparkContext._jvm
+        source, target = jvm.org.apache.hadoop.fs.Path(epoch), jvm.org.apache.hadoop.fs.Path(self.target_path)
+        fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(target)
+        for f in fs.listStatus(source):
+            name = f.getPath().getName()
+            if name.startswith("part-") and not fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(target, name)):
+                raise OSError(f"{name} of {epoch} could not be moved to {self.target_path}")
+
+    def __call__(self, batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        epoch, delta = f"{self.epochs_path}/epoch={epoch_id}", f"{self.sums_path}/epoch={epoch_id}"
+        if not _done(spark, epoch):
+            self._new_rows(batch, epoch_id).write.mode("overwrite").parquet(epoch)
+        if not _done(spark, delta):                      # before any file has moved
+            duration_sums(spark.read.schema(batch.schema).parquet(epoch)).write.mode("overwrite").parquet(delta)
+        self._publish(spark, epoch)
 
 
 def start_incremental(spark: SparkSession, source_dir: str, schema, target_path: str,
@@ -156,7 +157,7 @@ def _workdir(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/shelfwise/{name}-{uuid.uuid4().hex}"
 
 
-def stream_clean(arriving: DataFrame, timeout_s: int = 600) -> DataFrame:
+def stream_clean(arriving: DataFrame) -> DataFrame:
     """T1 end to end: the arriving rows land as parquet files, an
     available-now stream cleans them into a parquet sink; returns the sink."""
     spark = arriving.sparkSession
@@ -165,13 +166,11 @@ def stream_clean(arriving: DataFrame, timeout_s: int = 600) -> DataFrame:
     q = (spark.readStream.schema(arriving.schema).parquet(f"{work}/source").transform(clean_stream)
          .writeStream.format("parquet").option("path", f"{work}/sink")
          .option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    q.awaitTermination()   # until all arrived rows are through; a failed batch raises here
     return spark.read.parquet(f"{work}/sink")
 
 
-def stream_ingest(stored_raw: DataFrame, arriving: DataFrame, timeout_s: int = 600) -> DataFrame:
+def stream_ingest(stored_raw: DataFrame, arriving: DataFrame) -> DataFrame:
     """T1-T4 end to end: the stored rows go through the triggers (fills,
     parse, impute) and are written as the target; the arriving rows land as
     files and an available-now stream runs them through fills + parse →
@@ -181,7 +180,5 @@ def stream_ingest(stored_raw: DataFrame, arriving: DataFrame, timeout_s: int = 6
     impute_from_table(clean_stream(stored_raw), None).write.parquet(f"{work}/target")
     arriving.write.parquet(f"{work}/source")
     q = start_incremental(spark, f"{work}/source", arriving.schema, f"{work}/target", f"{work}/checkpoint")
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    q.awaitTermination()   # until all arrived rows are through; a failed batch raises here
     return spark.read.parquet(f"{work}/target")

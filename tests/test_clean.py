@@ -115,12 +115,12 @@ def test_exact_mean_boundaries(spark):
     assert got4["d"] == 0.1667 and got4["a"] == 36.925
 
 
-def test_dedupe_strategies_agree(spark):
+def test_dedupe_ties_and_null_keys(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (None, "x"), (None, "w"), (3, "z"), (3, "z")],
                                "k long, s string")
-    want = sorted(rows(clean.dedupe_by_key(df, "k", strategy="aggregate")), key=repr)
+    want = sorted(rows(clean.dedupe_by_key(df, "k")), key=repr)
     assert want == sorted([(1, "a"), (2, "c"), (None, "w"), (3, "z")], key=repr)
-    assert sorted(rows(clean.dedupe_by_key(df, "k")), key=repr) == want                 # broadcast path
-    assert sorted(rows(clean.dedupe_by_key(df, "k", max_broadcast_keys=0)), key=repr) == want   # fallback
-    uniq = df.filter("k = 2")
-    assert clean.dedupe_by_key(uniq, "k") is uniq                                          # no duplicates: as is
+    two = sorted(rows(clean.dedupe_by_key(df.repartition(3), "k")), key=repr)
+    assert two == want
+    assert rows(clean.dedupe_by_key(df.filter("k = 2"), "k")) == [(2, "c")]
+    assert rows(clean.dedupe_by_key(df, "k", ["s"]).filter("k = 1")) == [(1, "a")]

@@ -175,11 +175,45 @@ def test_append_new_job(spark, tmp_path):
     assert spark.read.parquet(target).count() > n0
 
 
-def test_ingest_paths_agree(spark):
-    arr, sto = fx.titles_arriving(spark, SF_SMALL), fx.titles_stored(spark, SF_SMALL)
-    a = sorted(rows(ingest.insert_if_absent(arr, sto)), key=repr)
-    b = sorted(rows(ingest.insert_if_absent(arr, sto, max_broadcast=0)), key=repr)
-    assert a == b and len(a) > 0
-    c = sorted(rows(ingest.count_matches(sto, arr)), key=repr)
-    d = sorted(rows(ingest.count_matches(sto, arr, max_broadcast=0)), key=repr)
-    assert c == d
+def test_insert_compares_under_the_collation(spark):
+    schema = "title_id long, title_name string, n int"
+    arr = spark.createDataFrame([(2, "abc", 1), (1, "Abc", 2), (1, "ABC", 1), (3, "Old", 0), (4, None, 0), (5, None, 0)], schema)
+    sto = spark.createDataFrame([(9, "OLD", 0)], schema)
+    got = sorted(rows(ingest.insert_if_absent(arr, sto, collation="utf8_lcase")), key=repr)
+    assert got == sorted([(1, "ABC", 1), (4, None, 0), (5, None, 0)], key=repr)
+    assert len(rows(ingest.insert_if_absent(arr, sto))) == 6
+
+
+def test_append_lets_read_errors_rise(spark, tmp_path):
+    import pytest
+
+    arr = spark.createDataFrame([(1, "a")], "title_id long, title_name string")
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        ingest.append_new(arr, str(tmp_path / "t"))
+    assert [x.name for x in (tmp_path / "t").iterdir() if x.suffix == ".parquet" and not x.name.startswith("_")] == ["part-0.parquet"]
+
+
+def test_numbers_do_not_accept_a_newline(spark):
+    from shelfwise.functions import parse
+
+    df = spark.createDataFrame([("12\n",), ("12",)], "s string")
+    assert rows(df.select(parse.int_digits("s"), parse.float_guarded("s"), parse.int_with_commas("s"))) == [
+        (None, None, None), (12, 12.0, 12)]
+
+
+def test_snapshots_with_null_and_repeated_keys(spark):
+    import pytest
+    from shelfwise.sources import snapshots as S
+
+    schema = "title_id long, v string"
+    a = spark.createDataFrame([(None, "x"), (1, "y"), (2, "z")], schema)
+    b = spark.createDataFrame([(None, "x"), (1, "w"), (3, "q")], schema)
+    diff = S.differential_snapshot(a, b)
+    assert sorted(rows(diff), key=repr) == sorted([(1, "U", "w"), (2, "D", None), (3, "I", "q")], key=repr)
+    assert sorted(rows(S.apply_differential(a, diff)), key=repr) == sorted(rows(b), key=repr)
+    c = spark.createDataFrame([(None, "changed"), (1, "y"), (2, "z")], schema)
+    assert rows(S.differential_snapshot(a, c)) == [(None, "U", "changed")]
+    with pytest.raises(ValueError):
+        S.differential_snapshot(a.union(a), b)

@@ -62,3 +62,39 @@ def test_batch_writer_sums_and_replay(spark, tmp_path):
             spark.read.parquet(target + "_duration_sums").groupBy("episodes")
             .agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect()}
     assert sums == {12: (2400 + 2500 + 2450, 3)}
+
+
+BATCH = "title_id long, title_name string, episodes int, duration_min double, score double, ranking int, members int, favorites int"
+
+
+def test_replay_writes_null_names_once(spark, tmp_path):
+    b = spark.createDataFrame([(1, None, 12, 24.0, 5.0, 1, 1, 1), (2, None, 12, None, 5.0, 2, 1, 1), (3, "c", 12, None, 5.0, 3, 1, 1)], BATCH)
+    target = str(tmp_path / "t")
+    for _ in range(3):
+        inc.BatchWriter(target)(b, 0)
+    assert spark.read.parquet(target).count() == 3
+
+
+def test_half_written_folders_are_redone(spark, tmp_path):
+    b0 = spark.createDataFrame([(1, "a", 12, 24.0, 5.0, 1, 1, 1)], BATCH)
+    b1 = spark.createDataFrame([(2, "b", 12, None, 5.0, 2, 1, 1)], BATCH)
+    target = str(tmp_path / "t")
+    for kind in ("epochs", "duration_sums"):
+        for n in (-1, 0, 1):
+            (tmp_path / f"t_{kind}" / f"epoch={n}" / "_temporary").mkdir(parents=True)
+    w = inc.BatchWriter(target)
+    w(b0, 0)
+    w(b1, 1)
+    got = {r["title_id"]: r["duration_min"] for r in spark.read.parquet(target).collect()}
+    assert got == {1: 24.0, 2: 24.0}
+
+
+def test_rejected_batch_writes_nothing(spark, tmp_path):
+    import os
+
+    import pytest
+
+    bad = spark.createDataFrame([(1, "a", 12, 24.0, 11.0, 1, 1, 1)], BATCH)
+    with pytest.raises(ValueError):
+        inc.BatchWriter(str(tmp_path / "t"))(bad, 0)
+    assert not os.path.exists(tmp_path / "t") and not os.path.exists(tmp_path / "t_epochs")
