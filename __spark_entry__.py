@@ -253,6 +253,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trim_column": lambda spark, d: clean.trim_column(fx.titles_raw(spark, d)).select("title_id", "studio"),
     "avg_by_key": _q_avg_by_key,
     "union_crawls": _q_union_crawls,
+    "crawl_pages": lambda spark, d: crawl.crawl_pages(fx.detail_pages(spark, d)),
+    "apply_differential": lambda spark, d: snapshots.apply_differential(
+        fx.titles_raw(spark, d), snapshots.differential_snapshot(fx.titles_raw(spark, d), fx.titles_changed(spark, d))),
     # micro-batch streaming, run to completion (available-now)
     "incremental_clean": lambda spark, d: incremental.stream_clean(fx.titles_raw(spark, d)),
     "incremental_ingest": lambda spark, d: incremental.stream_ingest(

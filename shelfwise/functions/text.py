@@ -6,6 +6,7 @@ import functools
 import glob
 import os
 import zipfile
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 # classes, so accented words stay whole in both Spark and the oracle).
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 TAG_PATTERN = r"<[^>]*>"
+ENTITY_PATTERN = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
 def _c(c) -> Column:
@@ -25,13 +27,35 @@ def strip_ws(c) -> Column:
     return F.regexp_replace(_c(c), r"^\s+|\s+$", "")
 
 
+def _entity_text(e: Column) -> Column:
+    """The character of one entity (``&name;``, ``&#N;``, ``&#xN;``); an unknown
+    name stays as it is, a number that is no character gives U+FFFD."""
+    body = F.substring(e, 2, 64)
+    digits = F.regexp_extract(e, r"^&#[xX]?0*([0-9a-fA-F]*);$", 1)
+    point = F.when(F.length(digits) <= 8, F.when(body.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
+                   .try_cast("bigint"))
+    valid = point.between(1, 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+    named = F.create_map(*[F.lit(x) for n, p in [*name2codepoint.items(), ("apos", 39)] for x in (n, chr(p))])
+    return (F.when(~body.startswith("#"), F.coalesce(F.try_element_at(named, F.regexp_extract(e, "^&(.*);$", 1)), e))
+            .when(valid, char).otherwise(F.lit("\ufffd")))
+
+
+def decode_entities(c) -> Column:
+    """Character references decoded in one pass from left to right, so that what
+    one of them decodes to is not read as another (``&amp;lt;`` gives ``&lt;``)."""
+    t = _c(c)
+    found = F.transform(F.regexp_extract_all(t, F.lit(ENTITY_PATTERN), 0), _entity_text)
+    between = F.split(t, ENTITY_PATTERN, -1)
+    joined = F.array_join(F.zip_with(between, found, lambda b, e: F.concat(b, F.coalesce(e, F.lit("")))), "")
+    return F.when(t.contains("&"), joined).otherwise(t)
+
+
 def html_text(c) -> Column:
-    """Visible text of an HTML fragment: tags removed, basic entities decoded,
-    edges stripped."""
-    t = F.regexp_replace(_c(c), TAG_PATTERN, "")
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        t = F.replace(t, F.lit(ent), F.lit(ch))
-    return strip_ws(t)
+    """Visible text of an HTML fragment: tags removed, character references
+    decoded, edges stripped (no-break spaces too)."""
+    t = decode_entities(F.regexp_replace(_c(c), TAG_PATTERN, ""))
+    return F.regexp_replace(t, r"^[\s\u00a0]+|[\s\u00a0]+$", "")
 
 
 def normalise_list_text(c) -> Column:

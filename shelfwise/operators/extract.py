@@ -11,6 +11,7 @@ aggregates: one shuffle, combined map-side.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -41,8 +42,15 @@ LINK_PATTERN = r"<a[^>]*href=\"([^\"]*)\""
 LINK_TEXT_PATTERN = r"(?s)<a[^>]*>(.*?)</a>"
 
 
-def _tag_pattern(tag: str) -> str:
-    return rf"(?s)<{tag}[^>]*>(.*?)</{tag}>"
+def element_pattern(tag: str, cls: str | None = None, attrs: dict[str, str] | None = None) -> str:
+    """Pattern of a ``<tag>`` element whose class list holds every name in ``cls``
+    (blank-separated) and whose attributes equal ``attrs``, in any order and with
+    either kind of quotes; group 1 is its content, up to the first ``</tag>``."""
+    need = "".join(rf"(?=[^>]*\sclass\s*=\s*(?:\"(?:[^\"]*\s)?{re.escape(name)}[\s\"]|'(?:[^']*\s)?{re.escape(name)}[\s']))"
+                   for name in (cls or "").split())
+    need += "".join(rf"(?=[^>]*\s{re.escape(name)}\s*=\s*(?:\"{re.escape(value)}\"|'{re.escape(value)}'))"
+                    for name, value in (attrs or {}).items())
+    return rf"(?s)<{tag}(?=[\s>]){need}[^>]*>(.*?)</{tag}>"
 
 
 def rows_of_page(pages: DataFrame, block_pattern: str = BLOCK_PATTERN, id_col: str = "page_id") -> DataFrame:
@@ -73,12 +81,15 @@ def listing_links(pages: DataFrame, block_pattern: str = BLOCK_PATTERN, id_col:
     return pages.select(id_col, F.posexplode(kept).alias("pos", "href"))
 
 
-def first_text(c: Column | str, tag: str, missing: str | None = None) -> Column:
-    """Visible text of the first ``<tag>`` element, trimmed; no element or
-    empty text → ``missing`` (crawl 1 uses 'N/A', crawl 2 NULL)."""
+def first_text(c: Column | str, tag: str, missing: str | None = None, cls: str | None = None,
+               attrs: dict[str, str] | None = None) -> Column:
+    """Visible text of the first ``<tag>`` element (of class ``cls``, with
+    attributes ``attrs``), trimmed; no element or empty text → ``missing``
+    (crawl 1 uses 'N/A', crawl 2 NULL)."""
     col = F.col(c) if isinstance(c, str) else c
-    raw = F.regexp_extract(col, _tag_pattern(tag), 1)
-    found = col.rlike(_tag_pattern(tag))
+    pattern = element_pattern(tag, cls, attrs)
+    raw = F.regexp_extract(col, pattern, 1)
+    found = col.rlike(pattern)
     txt = F.nullif(html_text(raw), F.lit(""))
     out = F.when(found, txt)
     return F.coalesce(out, F.lit(missing)) if missing is not None else out
@@ -102,30 +113,33 @@ def page_fields(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
 
 # --- label blocks --------------------------------------------------------
 
-def text_after_label(blocks: DataFrame, labels: dict[str, str] = TEXT_LABELS,
-                     key: str = "title_id") -> DataFrame:
+def _first_with(label: str) -> Column:
+    """The text of the first block (page order) that contains ``label``."""
+    has = F.col("text").contains(label)
+    return F.min_by(F.when(has, F.col("text")), F.when(has, F.col("pos")))
+
+
+def label_fields(blocks: DataFrame, text: dict[str, str] = TEXT_LABELS, digits: dict[str, str] = DIGIT_LABELS,
+                 key: str = "title_id") -> DataFrame:
+    """X5 + X6 + X11 by one aggregate: per title, the text after each ``text``
+    label and the digits of each ``digits`` label (with ``<field>_int``)."""
+    aggs = [F.coalesce(strip_ws(F.substring_index(_first_with(label), label, -1)), F.lit(MISSING_TEXT)).alias(out)
+            for out, label in text.items()]
+    aggs += [F.coalesce(parse.digits_only(_first_with(label)), F.lit(MISSING_TEXT)).alias(out)
+             for out, label in digits.items()]
+    return blocks.groupBy(key).agg(*aggs).withColumns({f"{c}_int": parse.int_digits(F.col(c)) for c in digits})
+
+
+def text_after_label(blocks: DataFrame, labels: dict[str, str] = TEXT_LABELS, key: str = "title_id") -> DataFrame:
     """Per title and label, the text after the label's last occurrence in
     the first block (page order) that contains it, stripped; 'N/A' if none."""
-    aggs = []
-    for out, label in labels.items():
-        has = F.col("text").contains(label)
-        first = F.min_by(F.when(has, F.col("text")), F.when(has, F.col("pos")))
-        aggs.append(F.coalesce(strip_ws(F.substring_index(first, label, -1)), F.lit(MISSING_TEXT)).alias(out))
-    return blocks.groupBy(key).agg(*aggs)
+    return label_fields(blocks, labels, {}, key)
 
 
-def digits_after_label(blocks: DataFrame, labels: dict[str, str] = DIGIT_LABELS,
-                       key: str = "title_id") -> DataFrame:
+def digits_after_label(blocks: DataFrame, labels: dict[str, str] = DIGIT_LABELS, key: str = "title_id") -> DataFrame:
     """Per title and label, the digits of the first block containing the
     label ('N/A' if none), and X11 applied to them (``<field>_int``)."""
-    aggs = []
-    for out, label in labels.items():
-        has = F.col("text").contains(label)
-        first = F.min_by(F.when(has, F.col("text")), F.when(has, F.col("pos")))
-        digits = F.coalesce(parse.digits_only(first), F.lit(MISSING_TEXT))
-        aggs.append(digits.alias(out))
-    res = blocks.groupBy(key).agg(*aggs)
-    return res.withColumns({f"{c}_int": parse.int_digits(F.col(c)) for c in labels})
+    return label_fields(blocks, {}, labels, key)
 
 
 def kv_blocks(blocks: DataFrame, key: str = "title_id") -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import parse
+from shelfwise.functions.text import html_text
 from shelfwise.operators import extract as X
 
 RAW_COLUMNS = ("title_id", "title_name", "score", "ranking", "genres", "media_type", "studio", "premiered",
@@ -31,10 +32,38 @@ def listing_rows(titles: DataFrame) -> DataFrame:
                          F.col("ranking").cast("string").alias("rank_text"), "genres", "synopsis")
 
 
+# --- fixed values: where the detail page keeps its fields ------------------
+NAME_CLASS, SCORE_CLASS, RANK_CLASS, BLOCK_CLASS = "title-name", "score-label", "top-anime-rank-text", "spaceit_pad"
+GENRE_ATTRS, SYNOPSIS_ATTRS = {"itemprop": "genre"}, {"itemprop": "description"}
+# ---------------------------------------------------------------------------
+
+
+def page_listing(pages: DataFrame) -> DataFrame:
+    """The listing fields of stored detail pages (page_id, html): name, score,
+    rank, genre spans and synopsis, each picked by class or attribute (X3, X4)."""
+    return pages.select(
+        F.col("page_id").alias("title_id"),
+        X.first_text("html", "h1", cls=NAME_CLASS).alias("title_name"),
+        X.first_text("html", "div", cls=SCORE_CLASS).alias("score_text"),
+        X.first_text("html", "span", cls=RANK_CLASS).alias("rank_text"),
+        F.nullif(X.joined_matches("html", X.element_pattern("span", attrs=GENRE_ATTRS)), F.lit("")).alias("genres"),
+        X.first_text("html", "p", attrs=SYNOPSIS_ATTRS).alias("synopsis"))
+
+
+def page_blocks(pages: DataFrame) -> DataFrame:
+    """The label blocks of stored detail pages: (title_id, pos, text)."""
+    blocks = X.rows_of_page(pages, X.element_pattern("div", BLOCK_CLASS))
+    return blocks.select(F.col("page_id").alias("title_id"), "pos", html_text("block").alias("text"))
+
+
+def crawl_pages(pages: DataFrame) -> DataFrame:
+    """Stored detail pages to raw title rows, by both crawlers' rules."""
+    listing, blocks = page_listing(pages), page_blocks(pages)
+    return union_crawls(crawl1_records(listing, blocks), crawl2_records(listing, blocks))
+
+
 def crawl1_records(listing: DataFrame, blocks: DataFrame) -> DataFrame:
-    text = X.text_after_label(blocks)
-    digits = X.digits_after_label(blocks)
-    rec = listing.join(text, "title_id", "left").join(digits.drop(*X.DIGIT_LABELS), "title_id", "left")
+    rec = listing.join(X.label_fields(blocks).drop(*X.DIGIT_LABELS), "title_id", "left")
     return rec.select(
         "title_id", "title_name",
         parse.float_guarded("score_text").alias("score"),

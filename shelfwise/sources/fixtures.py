@@ -75,27 +75,49 @@ SELECT title_id + 100000 AS title_id, title_name, genres, studio, premiered, epi
 FROM {titles_raw} WHERE title_id % 47 = 0
 """
 
-# Label blocks of a detail page, one row per block, in page order.
-INFO_BLOCKS_SQL = """
-SELECT title_id, pos, text FROM (
-  SELECT title_id, 1 AS pos, 'Type: ' || media_type AS text FROM {titles_raw}
-  UNION ALL SELECT title_id, 2, 'Episodes: ' || coalesce(CAST(episodes AS STRING), 'Unknown') FROM {titles_raw}
-  UNION ALL SELECT title_id, 3, 'Studios: ' || studio FROM {titles_raw}
-  UNION ALL SELECT title_id, 4, 'Premiered: ' || premiered FROM {titles_raw}
-  UNION ALL SELECT title_id, 5, 'Duration: ' || duration FROM {titles_raw}
-  UNION ALL SELECT title_id, 6, 'Genres: ' || genres FROM {titles_raw}
-  UNION ALL SELECT title_id, 7, 'Theme: ' || media_type FROM {titles_raw} WHERE title_id % 5 = 0
-  UNION ALL SELECT title_id, 8, 'Ranked: #' || CAST(ranking AS STRING) FROM {titles_raw}
-  UNION ALL SELECT title_id, 9, 'Popularity: #' || CAST(popularity AS STRING) FROM {titles_raw}
-  UNION ALL SELECT title_id, 10, 'Members: ' || CASE WHEN members >= 1000 THEN CAST(CAST(floor(members / 1000) AS BIGINT) AS STRING) || ',' || lpad(CAST(members % 1000 AS STRING), 3, '0') ELSE CAST(members AS STRING) END FROM {titles_raw}
-  UNION ALL SELECT title_id, 11, 'Favorites: ' || CAST(favorites AS STRING) FROM {titles_raw}
-  UNION ALL SELECT title_id, 12, 'Status: ' || status FROM {titles_raw}
-  UNION ALL SELECT title_id, 13, 'Rating: ' || rating FROM {titles_raw}
-  UNION ALL SELECT title_id, 14, 'Type: Special' FROM {titles_raw} WHERE title_id % 31 = 0
-  UNION ALL SELECT title_id, 15, 'Source: a: b: c' FROM {titles_raw} WHERE title_id % 7 = 0
-  UNION ALL SELECT title_id, 16, 'no colon here' FROM {titles_raw} WHERE title_id % 10 = 0) b
-WHERE text IS NOT NULL
-"""
+# Label blocks of a detail page in page order: (text, which titles have it).
+_BLOCKS = (
+    ("'Type: ' || media_type", None),
+    ("'Episodes: ' || coalesce(CAST(episodes AS STRING), 'Unknown')", None),
+    ("'Studios: ' || studio", None),
+    ("'Premiered: ' || premiered", None),
+    ("'Duration: ' || duration", None),
+    ("'Genres: ' || genres", None),
+    ("'Theme: ' || media_type", "title_id % 5 = 0"),
+    ("'Ranked: #' || CAST(ranking AS STRING)", None),
+    ("'Popularity: #' || CAST(popularity AS STRING)", None),
+    ("'Members: ' || CASE WHEN members >= 1000 THEN CAST(CAST(floor(members / 1000) AS BIGINT) AS STRING) || ',' "
+     "|| lpad(CAST(members % 1000 AS STRING), 3, '0') ELSE CAST(members AS STRING) END", None),
+    ("'Favorites: ' || CAST(favorites AS STRING)", None),
+    ("'Status: ' || status", None),
+    ("'Rating: ' || rating", None),
+    ("'Type: Special'", "title_id % 31 = 0"),
+    ("'Source: a: b: c'", "title_id % 7 = 0"),
+    ("'no colon here'", "title_id % 10 = 0"),
+)
+INFO_BLOCKS_SQL = "SELECT title_id, pos, text FROM (\n  " + "\n  UNION ALL ".join(
+    f"SELECT title_id, {i} AS pos, {text} AS text FROM {{titles_raw}}" + (f" WHERE {where}" if where else "")
+    for i, (text, where) in enumerate(_BLOCKS, 1)) + ") b\nWHERE text IS NOT NULL"
+
+
+def _element(open_tag: str, text: str, close_tag: str) -> str:
+    """SQL of one element, its text escaped; '' where the text is NULL."""
+    escaped = f"replace(replace({text}, '&', '&amp;'), '>', '&gt;')"
+    return f"coalesce('{open_tag}' || {escaped} || '{close_tag}', '')"
+
+
+# The same titles as whole detail pages: one html text a title, with character
+# references, decoy elements of other classes, and elements missing where the value is NULL.
+DETAIL_PAGES_SQL = "SELECT title_id AS page_id, '<html><h1 class=\"other\">no</h1>' || " + " || ".join([
+    "coalesce('<h1 class=\"h1 title-name\">' || replace(title_name, ' ', '&#32;') "
+    "|| '&#039;s &#x27;caf&eacute;&#x27;&nbsp;</h1>', '')",
+    _element('<div data-n=\"1\" class=\"fl score-label\">', "CAST(score AS STRING)", "</div>"),
+    _element('<span class=\"top-anime-rank-text rank1\">', "CAST(ranking AS STRING)", "</span>"),
+    _element('<span itemprop=\"genre\">', "genres", "</span><span>x</span>"),
+    "'<span class=\"a\" itemprop=\"genre\">Extra</span>'",
+    _element('<p>ad</p><p itemprop=\"description\">', "synopsis", "</p>"),
+    *[_element('<div class=\"spaceit_pad\"> <b>', f"CASE WHEN {where or 'TRUE'} THEN {text} END", "</b> </div>")
+      for text, where in _BLOCKS]]) + " || '</html>' AS html FROM {titles_raw}"
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -138,6 +160,10 @@ def info_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _over_titles(spark, sf_dir, INFO_BLOCKS_SQL)
 
 
+def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _over_titles(spark, sf_dir, DETAIL_PAGES_SQL)
+
+
 def oracle_view(text: str, **names: str) -> str:
     """Render a fixture SQL text for the oracle (DuckDB view names)."""
     defaults = {"part": "part", "titles_raw": "titles_raw"}

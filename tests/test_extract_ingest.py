@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from shelfwise.operators import extract as X
+from shelfwise.functions.text import html_text
 from shelfwise.operators import ingest
 from shelfwise.sources import fixtures as fx
 from shelfwise.sources import snapshots, tables
@@ -217,3 +218,25 @@ def test_snapshots_with_null_and_repeated_keys(spark):
     assert rows(S.differential_snapshot(a, c)) == [(None, "U", "changed")]
     with pytest.raises(ValueError):
         S.differential_snapshot(a.union(a), b)
+
+
+def test_character_references_are_decoded_once(spark):
+    cases = [("Tom&#039;s&nbsp;x", "Tom's x"), ("&#x27;q&#X27;", "'q'"), ("&amp;lt;&lt;", "&lt;<"),
+             ("caf&eacute; &#128512;", "café \U0001F600"), ("a & b &nosuch; &;", "a & b &nosuch; &;"),
+             ("&#0;&#xD800;&#99999999999;", "�" * 3), ("<b>&nbsp; x </b>&nbsp;", "x"), ("", ""), (None, None)]
+    df = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(cases)], "i int, t string")
+    got = dict(rows(df.select("i", html_text("t"))))
+    assert [got[i] for i in range(len(cases))] == [b for _, b in cases]
+
+
+def test_elements_by_class_and_attribute(spark):
+    html = ("<div class='score-label-x'>no</div><div id=a class=\"fl score-label r1\">\n 8.5 </div>"
+            "<divx class=\"score-label\">no</divx><p itemprop='other'>no</p><p x=1 itemprop='description'>A &amp; B</p>"
+            "<span itemprop=\"genre\">G1</span><span>no</span><span class=\"c\" itemprop=\"genre\">G2</span>")
+    df = spark.createDataFrame([(html,), ("",), (None,)], "html string")
+    got = rows(df.select(
+        X.first_text("html", "div", "N/A", cls="score-label"),
+        X.first_text("html", "div", cls="r1 fl"),
+        X.first_text("html", "p", attrs={"itemprop": "description"}),
+        X.joined_matches("html", X.element_pattern("span", attrs={"itemprop": "genre"}))))
+    assert got == [("8.5", "8.5", "A & B", "G1, G2"), ("N/A", None, None, ""), ("N/A", None, None, None)]
