@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators import normalize as N
@@ -160,13 +160,18 @@ def read_star(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
 
 def star_core(star: dict[str, DataFrame]) -> DataFrame:
     """Title rows with their dimension values; inner joins, so a title with a
-    NULL or dangling foreign key drops out (as in the reference's query)."""
-    t = star["title"]
+    NULL or dangling foreign key drops out (as in the reference's query). Rows
+    with a NULL collapse key are left out too. The synopsis comes as its SHA-256
+    (``_synopsis``): grouping needs its identity alone, and no shuffle its text."""
+    t = (star["title"].dropna(subset=["title_name", "synopsis", "episodes", "status", "duration_min"])
+         .withColumn("_synopsis", F.sha2("synopsis", 256)).drop("synopsis"))
     return (t.join(star["rating"], "rating_id")
-            .join(star["statistic"].select("statistic_id", "ranking", "popularity"), "statistic_id")
+            .join(star["statistic"].select("statistic_id", "ranking", "popularity")
+                  .dropna(subset=["ranking", "popularity"]), "statistic_id")
             .join(star["premiered"], "premiered_id")
             .join(star["media_type"], "media_type_id")
-            .select("title_id", *COLLAPSE_KEYS))
+            .dropna(subset=["rating", "premiered", "media_type"])
+            .select("title_id", *["_synopsis" if k == "synopsis" else k for k in COLLAPSE_KEYS]))
 
 
 def star_titles(star: dict[str, DataFrame], by_id: bool = False) -> DataFrame:
@@ -178,11 +183,12 @@ def star_titles(star: dict[str, DataFrame], by_id: bool = False) -> DataFrame:
 
     Plan: both lists as one tagged (kind, title, bridge id, name) frame; the
     titles that have both kinds (the inner-join rule) from one small per-title
-    aggregate; the title core joined once; then per (kind, group, name) the
-    first bridge id (partial aggregate, so a list is bounded by the distinct
-    names), the ordered ', '-joined list per (kind, group), and the two kinds
-    folded into columns. The genre × studio product is never formed."""
-    keys = (["title_id"] if by_id else []) + list(COLLAPSE_KEYS)
+    aggregate; then per (group, kind, name) the first bridge id (partial
+    aggregate, so a list is bounded by the distinct names) and both ordered
+    lists per group by one more. The group's synopsis is a digest until then; its
+    text joins last, from one title of the group, so it is shuffled once at most.
+    The genre × studio product is never formed."""
+    group = ["_synopsis" if k == "synopsis" else k for k in COLLAPSE_KEYS] + (["_id"] if by_id else [])
     pairs = None
     for dim, _ in LIST_DIMS:
         p = (star[f"title_{dim}"].join(star[dim], f"{dim}_id")
@@ -192,12 +198,18 @@ def star_titles(star: dict[str, DataFrame], by_id: bool = False) -> DataFrame:
     has = [F.max((F.col("kind") == dim).cast("int")).alias(f"_has_{dim}") for dim, _ in LIST_DIMS]
     both = (pairs.groupBy("title_id").agg(*has)
             .filter(" AND ".join(f"_has_{dim} = 1" for dim, _ in LIST_DIMS)).select("title_id"))
-    core = star_core(star).dropna(subset=list(COLLAPSE_KEYS))
-    rows = pairs.join(both, "title_id", "left_semi").join(core, "title_id")
-    first = rows.groupBy("kind", *keys, "name").agg(F.min("bid").alias("_first"))
-    ordered = F.array_sort(F.collect_list(F.struct(F.col("_first"), F.col("name"))))
-    lists = first.groupBy("kind", *keys).agg(
-        F.array_join(F.transform(ordered, lambda x: x["name"]), ", ").alias("names"))
-    return lists.groupBy(*keys).agg(
-        F.max(F.when(F.col("kind") == "genre", F.col("names"))).alias("genre_names"),
-        F.max(F.when(F.col("kind") == "studio", F.col("names"))).alias("studio_names"))
+    core = star_core(star).join(both, "title_id", "left_semi").withColumn("_id", F.col("title_id"))
+    first = pairs.join(core, "title_id").groupBy("kind", *group, "name").agg(
+        F.min("bid").alias("bid"), F.min("title_id").alias("title_id"))
+    lists = first.groupBy(*group).agg(
+        F.min("title_id").alias("title_id"),
+        *[_ordered_names(F.col("kind") == dim).alias(f"{dim}_names") for dim, _ in LIST_DIMS])
+    texts = star["title"].select("title_id", "synopsis")
+    return lists.join(texts, "title_id").select(*(["title_id"] if by_id else []), *COLLAPSE_KEYS,
+                                                *[f"{dim}_names" for dim, _ in LIST_DIMS])
+
+
+def _ordered_names(mine) -> Column:
+    """The names of the rows where ``mine`` holds, by first bridge id, joined by ', '."""
+    ordered = F.array_sort(F.collect_list(F.when(mine, F.struct("bid", "name"))))
+    return F.array_join(F.transform(ordered, lambda x: x["name"]), ", ")

@@ -104,3 +104,24 @@ def test_standalone_dimension_operators_match_star(spark):
     assert sorted(rows(N.bridge_studios(clean, star["studio"]))) == sorted(rows(star["title_studio"]))
     lazy = S.build_star(clean, stored=False)
     assert sorted(rows(S.star_titles(lazy))) == sorted(rows(S.star_titles(star)))
+
+
+def test_star_titles_shuffles_the_synopsis_once(spark):
+    star = S.build_star(clean_titles(fx.titles_with_duplicates(spark, SF_SMALL)))
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = S.star_titles(star)._jdf.queryExecution().executedPlan()
+        wide = []
+
+        def walk(node):
+            if node.nodeName() == "Exchange" and "synopsis#" in node.output().mkString(",").replace("_synopsis#", ""):
+                wide.append(node)
+            children = node.children()
+            for i in range(children.size()):
+                walk(children.apply(i))
+
+        walk(plan.initialPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert len(wide) == 1
