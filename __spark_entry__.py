@@ -177,6 +177,32 @@ def _q_profile(spark, d):
     return tables.profile_frame(fx.titles_raw(spark, d)).drop("data_type")
 
 
+def _q_append_rows(spark, d):
+    path = tables.shared_path(spark, "append")
+    tables.append_rows(fx.titles_stored(spark, d), path)
+    tables.append_rows(fx.titles_arriving(spark, d), path)
+    return spark.read.parquet(path)
+
+
+def _q_csv_export(spark, d):
+    df = fx.titles_raw(spark, d)
+    path = tables.shared_path(spark, "csv")
+    tables.csv_export(df, path)
+    return spark.read.options(**tables.CSV_OPTIONS).schema(df.schema).csv(path)
+
+
+def _q_select_into(spark, d):
+    return tables.select_into(fx.titles_raw(spark, d).filter("score IS NOT NULL"),
+                              tables.shared_path(spark, "into"))
+
+
+def _q_insert_select(spark, d):
+    path = tables.shared_path(spark, "insert")
+    tables.select_into(fx.titles_stored(spark, d).select("title_name", "title_id"), path)
+    tables.insert_select(fx.titles_arriving(spark, d), path)
+    return spark.read.parquet(path)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_titles": _q_clean_titles,
     "drop_blank_rows": _q_drop_blank_rows,
@@ -256,6 +282,19 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "crawl_pages": lambda spark, d: crawl.crawl_pages(fx.detail_pages(spark, d)),
     "apply_differential": lambda spark, d: snapshots.apply_differential(
         fx.titles_raw(spark, d), snapshots.differential_snapshot(fx.titles_raw(spark, d), fx.titles_changed(spark, d))),
+    # sinks: written, then read back
+    "append_rows": _q_append_rows,
+    "csv_export": _q_csv_export,
+    "select_into": _q_select_into,
+    "insert_select": _q_insert_select,
+    "backfill": lambda spark, d: clean.backfill(fx.titles_raw(spark, d), clean.fill_missing, clean.parse_duration),
+    "add_column": lambda spark, d: N.add_column(fx.titles_raw(spark, d), "note", "string"),
+    # inputs that reach rules the plain titles do not
+    "listing_links_stop": lambda spark, d: X.listing_links(fx.listing_pages(spark, d)),
+    "check_length_long": lambda spark, d: constraints.check_length(
+        fx.long_names(spark, d), "name", constraints.STUDIO_NAME_MAX),
+    "check_primary_key_null": lambda spark, d: constraints.check_primary_key(
+        fx.titles_raw(spark, d), "title_name"),
     # micro-batch streaming, run to completion (available-now)
     "incremental_clean": lambda spark, d: incremental.stream_clean(fx.titles_raw(spark, d)),
     "incremental_ingest": lambda spark, d: incremental.stream_ingest(

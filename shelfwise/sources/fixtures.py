@@ -119,6 +119,20 @@ DETAIL_PAGES_SQL = "SELECT title_id AS page_id, '<html><h1 class=\"other\">no</h
     *[_element('<div class=\"spaceit_pad\"> <b>', f"CASE WHEN {where or 'TRUE'} THEN {text} END", "</b> </div>")
       for text, where in _BLOCKS]]) + " || '</html>' AS html FROM {titles_raw}"
 
+# One listing page a title: three rows, the second without a link on every third page.
+LISTING_PAGES_SQL = """
+SELECT title_id AS page_id, '<ul><li><a href="/t/' || CAST(title_id AS STRING) || '">x</a></li><li>'
+  || CASE WHEN title_id % 3 = 0 THEN 'no link' ELSE '<a class="c" href="/t/b">y</a>' END
+  || '</li><li><a href="/t/c">z</a></li></ul>' AS html
+FROM {titles_raw}
+"""
+
+# Genre lists with names over the length limit.
+TITLES_LONG_SQL = """
+SELECT title_id, CASE WHEN title_id % 9 = 0 THEN repeat('long ', 60) || CAST(title_id AS STRING) ELSE studio END AS name
+FROM {titles_raw}
+"""
+
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -160,6 +174,14 @@ def info_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _over_titles(spark, sf_dir, INFO_BLOCKS_SQL)
 
 
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _over_titles(spark, sf_dir, LISTING_PAGES_SQL)
+
+
+def long_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _over_titles(spark, sf_dir, TITLES_LONG_SQL)
+
+
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _over_titles(spark, sf_dir, DETAIL_PAGES_SQL)
 

@@ -41,9 +41,14 @@ def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("append").format(fmt).save(path)
 
 
+CSV_OPTIONS = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def csv_export(df: DataFrame, path: str) -> None:
-    """CSV with a header and no index column."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header and no index column. Blanks at the edges stay, quotes
+    inside a value are doubled; read it back with the same ``CSV_OPTIONS``. An
+    empty text and NULL are the same, empty, field and read back as NULL."""
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def select_into(df: DataFrame, target: str, fmt: str = "parquet", mode: str = "errorifexists") -> DataFrame:
@@ -97,13 +102,18 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and
     read it back: the lineage is cut, the input is computed once, and a lost
     executor re-reads stored files instead of recomputing upstream stages."""
-    base = ensure_checkpoint_dir(df.sparkSession)
-    path = f"{base.rstrip('/')}/shelfwise/{name}-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    delete_at_end(df.sparkSession, path)
     return df.sparkSession.read.parquet(path)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder, deleted when the driver's JVM ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/shelfwise/{name}-{uuid.uuid4().hex}"
+    delete_at_end(spark, path)
+    return path
+
+
 def delete_at_end(spark: SparkSession, path: str) -> None:
     """Have the file system delete ``path`` when the driver's JVM ends."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
