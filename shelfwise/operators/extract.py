@@ -160,7 +160,9 @@ def _is_genre_key(k: Column, words: Sequence[str] = GENRE_WORDS) -> Column:
 def pivot_blocks(kv: DataFrame, key: str = "title_id") -> DataFrame:
     """X7 + X8 + X9: one record per title. A repeated key keeps its last
     value (page order); every key containing a genre word is joined into
-    ``genres`` with ', ' in page order; '#' is dropped from ranked/popularity."""
+    ``genres`` with ', ' in page order; '#' is dropped from ranked/popularity.
+    Blocks of no title (NULL id) belong to no record and are left out, so the
+    list gathered per record is bounded by one page."""
     aggs = []
     for out, k in KV_KEYS.items():
         hit = F.col("key") == k
@@ -174,7 +176,7 @@ def pivot_blocks(kv: DataFrame, key: str = "title_id") -> DataFrame:
                          lambda acc, x: F.when(acc.isNull() | (acc == ""), x)
                          .otherwise(F.concat(acc, F.lit(", "), x)))
     aggs.append(genres.alias("genres"))
-    rec = kv.groupBy(key).agg(*aggs)
+    rec = kv.filter(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
     return rec.withColumns({c: parse.drop_first_char(F.col(c)) for c in HASH_PREFIXED})
 
 

@@ -100,10 +100,6 @@ def add_column(df: DataFrame, name: str, data_type: str) -> DataFrame:
     return df.withColumn(name, F.lit(None).cast(data_type))
 
 
-def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    return df.withColumnsRenamed(mapping)
-
-
 __all__: Sequence[str] = [
     "project_core", "project_stats", "distinct_dimension", "attach_dimension_key",
     "attach_stats_key", "split_values", "split_distinct", "bridge", "bridge_genres",

@@ -64,6 +64,7 @@ def crawl_pages(pages: DataFrame) -> DataFrame:
 
 def crawl1_records(listing: DataFrame, blocks: DataFrame) -> DataFrame:
     rec = listing.join(X.label_fields(blocks).drop(*X.DIGIT_LABELS), "title_id", "left")
+    rec = rec.fillna(X.MISSING_TEXT, list(X.TEXT_LABELS))   # a page without any block
     return rec.select(
         "title_id", "title_name",
         parse.float_guarded("score_text").alias("score"),

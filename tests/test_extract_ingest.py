@@ -240,3 +240,23 @@ def test_elements_by_class_and_attribute(spark):
         X.first_text("html", "p", attrs={"itemprop": "description"}),
         X.joined_matches("html", X.element_pattern("span", attrs={"itemprop": "genre"}))))
     assert got == [("8.5", "8.5", "A & B", "G1, G2"), ("N/A", None, None, ""), ("N/A", None, None, None)]
+
+
+def test_blocks_without_a_title_make_no_record(spark):
+    kv = X.kv_blocks(_blocks(spark, [(None, 1, "Genres: A"), (1, 1, "Genres: B"), (None, 2, "Type: TV")]))
+    assert rows(X.pivot_blocks(kv), "title_id", "genres") == [(1, "B")]
+    assert X.pivot_blocks(kv.limit(0)).count() == 0
+
+
+def test_pages_to_raw_rows_with_missing_parts(spark):
+    from shelfwise.plans import crawl
+
+    html = ('<h1 class="title-name">A</h1><div class="score-label">7.5</div>'
+            '<div class="spaceit_pad"><span>Type:</span> TV</div><div class="spaceit_pad">Ranked: #3</div>')
+    pages = spark.createDataFrame([(1, html), (2, ""), (3, None)], "page_id long, html string")
+    got = {(r.title_id, r.source): r for r in crawl.crawl_pages(pages).collect()}
+    assert len(got) == 6
+    assert (got[1, 2].title_name, got[1, 2].score, got[1, 2].ranking, got[1, 2].media_type) == ("A", 7.5, 3, "TV")
+    assert (got[1, 1].studio, got[1, 1].synopsis, got[1, 2].studio) == ("N/A", "N/A", None)
+    assert got[2, 1].title_name is None and got[3, 2].media_type is None
+    assert got[2, 1].media_type == got[3, 1].studio == "N/A"
