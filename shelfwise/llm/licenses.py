@@ -1,21 +1,25 @@
 """License scan by conditional compression.
 
-Blocks of text with a cue word are compressed alone and with each license template as a raw zstandard
-dictionary: the template that saves most says most of what the block says. The best few are confirmed by
-the exact differences in wording, which are returned.
+Blocks are runs of words around a cue word, over line ends: every word that a notice holding the cue could have.
+A notice is a stretch of a block that is a template but for few words replaced, left out or put in; which they
+are is found exactly and returned. Blocks are compressed alone and with a template as a raw zstandard
+dictionary: the share saved is the notice's score, and where no notice is, the template that saves most is named.
 """
 
 from __future__ import annotations
 
 import functools
 import re
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.common import slices
+
 #: Notices of well-known licenses (fixed values).
 TEMPLATES = {
     "MIT": ["Released under the MIT License.",
@@ -36,82 +40,182 @@ TEMPLATES = {
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "CC0-1.0": ["This work is dedicated to the public domain under CC0 1.0 Universal."],
 }
-CUE = r"(?i)licen[sc]|copyright|permission is hereby|redistribut|public domain|creative commons|\bcc[ -](by|0)|spdx"
-#: Bytes beyond which a line is read sentence by sentence; how many best templates are confirmed; share of a
-#: template's words that must be there.
-LONG, CONFIRM, COVERAGE = 2000, 3, 0.8
+CUE = (r"(?i)licen[sc]|copyright|permission\W+is\W+hereby|redistribut|public\W+domain|creative\W+commons|"
+       r"\bcc\W+by|\bcc[ -]?0|spdx")
+#: How many of the templates that save most are looked at where none is confirmed; a template of this many words may
+#: differ in one, of twice as many in two.
+CONFIRM, PER_EDIT = 3, 5
+SLICE_BYTES = 4 << 20
 FOUND = ("doc_id long, line long, block long, text string, license string, saved double, coverage double, "
          "missing array<string>, added array<string>, confirmed boolean")
+WORD = re.compile(r"[\w.+-]*\w")
 
 
 def words(text: str) -> list[str]:
-    return re.findall(r"[\w.+-]*\w", text.lower())
+    return WORD.findall(text.lower())
+
+
+@functools.cache
+def _templates() -> list[tuple[str, list[str], Counter]]:
+    return [(name, words(t), Counter(words(t))) for name, texts in TEMPLATES.items() for t in texts]
+
+
+@functools.cache
+def _span() -> int:
+    """Most words that a notice can have."""
+    return max(len(want) + len(want) // PER_EDIT for _, want, _ in _templates())
 
 
 @functools.cache
 def _compressors() -> tuple:
     import zstandard as z
 
-    rows = []
-    for name, texts in TEMPLATES.items():
-        for t in texts:
-            d = z.ZstdCompressionDict(t.lower().encode(), dict_type=z.DICT_TYPE_RAWCONTENT)
-            rows.append((name, words(t), z.ZstdCompressor(level=19, dict_data=d)))
-    return z.ZstdCompressor(level=19), rows
+    dicts = [z.ZstdCompressionDict(t.lower().encode(), dict_type=z.DICT_TYPE_RAWCONTENT)
+             for texts in TEMPLATES.values() for t in texts]
+    return z.ZstdCompressor(level=19), [z.ZstdCompressor(level=19, dict_data=d) for d in dicts]
 
 
 @functools.lru_cache(maxsize=10_000)
-def identify(block: str) -> tuple:
-    """(license or None, saved share, coverage, missing words, added words, confirmed) of one block."""
-    alone, rows = _compressors()
+def saved(block: str) -> list[float]:
+    """Share of the block's compressed size that each template saves."""
+    alone, each = _compressors()
     data = block.lower().encode("utf-8", "surrogatepass")
     size = len(alone.compress(data))
-    ranked = sorted(((size - len(c.compress(data))) / size, -i) for i, (_, _, c) in enumerate(rows))[::-1]
-    have, best = words(block), None
-    for saved, i in ranked[:CONFIRM]:
-        name, want, _ = rows[-i]
-        same = SequenceMatcher(None, want, have, autojunk=False).get_matching_blocks()
-        hit = sum(m.size for m in same)
-        inside = have[same[0].b: same[-2].b + same[-2].size] if hit else []
-        used = [w for m in same for w in have[m.b: m.b + m.size]]
-        missing, added = list(want), list(inside)
-        for w in used:
-            missing.remove(w)
-            added.remove(w)
-        row = (name, saved, hit / len(want), missing, added, hit >= COVERAGE * len(want) and len(added) <= (1 - COVERAGE) * len(want))
-        if best is None or (row[5], row[2], len(want)) > (best[5], best[2], best[6]):
-            best = (*row, len(want))
-    return best[:6]
-
-
-def blocks(text: str) -> list[str]:
-    """A line as one block or, if it is long, its sentences with a cue, each with the next one."""
-    if len(text) <= LONG:
-        return [text]
-    parts = re.split(r"(?<=[.!?])\s+", text)
-    return [" ".join(parts[i:i + 2]) for i, p in enumerate(parts) if re.search(CUE, p)]
+    return [(size - len(c.compress(data))) / size for c in each]
+
+
+def places(want: list[str], have: list[str], most: int) -> list[tuple]:
+    """(edits, start, end, missing, added) of the stretches of ``have`` that are ``want`` but for at most ``most``
+    words replaced, left out or put in. Of stretches that overlap the one with the fewest stays."""
+    rows = [[0] * (len(have) + 1)]
+    for i, w in enumerate(want, 1):
+        up, left = rows[-1], i
+        row = [left]
+        for j, h in enumerate(have):
+            left = min(up[j] + (w != h), up[j + 1] + 1, left + 1)
+            row.append(left)
+        rows.append(row)
+    out: list[tuple] = []
+    for edits, j in sorted((c, -j) for j, c in enumerate(rows[-1]) if c <= most):
+        i, j, missing, added = len(want), -j, [], []
+        end = j
+        while i:
+            differ = j > 0 and want[i - 1] != have[j - 1]
+            if j and rows[i][j] == rows[i - 1][j - 1] + differ:
+                i, j = i - 1, j - 1
+                if differ:
+                    missing.append(want[i])
+                    added.append(have[j])
+            elif rows[i][j] == rows[i - 1][j] + 1:
+                i -= 1
+                missing.append(want[i])
+            else:
+                j -= 1
+                added.append(have[j])
+        if all(j >= o[2] or end <= o[1] for o in out):
+            out.append((edits, j, end, missing[::-1], added[::-1]))
+    return out
+
+
+def confirmed(have: list[str]) -> list[tuple]:
+    """(start, end, template, missing, added) of all notices in ``have``, of whatever template. Of notices that
+    overlap the one with most of its template's words stays."""
+    held, found = Counter(have), []
+    for k, (_, want, count) in enumerate(_templates()):
+        most = len(want) // PER_EDIT
+        if sum((count & held).values()) >= len(want) - most:  # else more than ``most`` are not there
+            found += [(len(m) - len(want), edits, a, b, k, m, x) for edits, a, b, m, x in places(want, have, most)]
+    out: list[tuple] = []
+    for _, _, a, b, k, m, x in sorted(found):
+        if all(a >= o[1] or b <= o[0] for o in out):
+            out.append((a, b, k, m, x))
+    return out
+
+
+def _row(block: str, k: int, missing: list[str], added: list[str], sure: bool) -> tuple:
+    name, want, _ = _templates()[k]
+    return name, saved(block)[k], 1 - len(missing) / len(want), missing, added, sure
+
+
+@functools.lru_cache(maxsize=10_000)
+def identify(block: str) -> tuple:
+    """(license, saved share, coverage, missing words, added words, confirmed) of one block: of its notice with most
+    words, else of the template, among the ``CONFIRM`` that save most, that has most of its words there."""
+    have, plans = words(block), _templates()
+    sure = confirmed(have)
+    if sure:
+        _, _, k, missing, added = max(sure, key=lambda r: (len(plans[r[2]][1]) - len(r[3]), -r[0]))
+        return _row(block, k, missing, added, True)
+    share = saved(block)
+    ranked = sorted(range(len(plans)), key=lambda k: (-share[k], k))[:CONFIRM]
+    best = {k: places(plans[k][1], have, len(plans[k][1]))[0] for k in ranked}
+    k = max(ranked, key=lambda k: (1 - len(best[k][3]) / len(plans[k][1]), len(plans[k][1])))
+    return _row(block, k, *best[k][3:], False)
+
+
+def notices(text: str, cue: str = CUE) -> list[tuple]:
+    """(line, block, text, license, saved, coverage, missing, added, confirmed) of a document; see ``scan``."""
+    spans = [m.span() for m in WORD.finditer(text)]
+    starts, have = [a for a, _ in spans], [text[a:b].lower() for a, b in spans]
+    cues = sorted({bisect_right(starts, m.start()) - 1 for m in re.finditer(cue, text)} - {-1})
+    ends = [m.start() for m in re.finditer("\n", text)]
+    span, runs = _span(), []
+    for c in cues:  # a notice that holds word c lies in these
+        lo, hi = max(0, c - span + 1), min(len(have), c + span)
+        if runs and lo <= runs[-1][1]:
+            runs[-1][1] = hi
+        else:
+            runs.append([lo, hi])
+    found = set()
+    for lo, hi in runs:  # any ``span`` words stand whole in one window
+        for at in range(lo, max(lo + 1, hi - span), span):
+            for a, b, k, m, x in confirmed(have[at:min(hi, at + 2 * span)]):
+                found.add((len(m) - len(_templates()[k][1]), len(x), at + a, at + b, k, tuple(m), tuple(x)))
+    taken, rows = bytearray(len(have)), []
+    for _, _, a, b, k, m, x in sorted(found):
+        if not any(taken[a:b]):
+            taken[a:b] = b"\x01" * (b - a)
+            if cues[bisect_left(cues, a):bisect_left(cues, b)]:
+                block = text[starts[a]:spans[b - 1][1]]
+                rows.append((bisect_left(ends, starts[a]), a, block, *_row(block, k, list(m), list(x), True)))
+    heads, done = [], 0  # stretches of a line's other words with a cue
+    for c in cues:
+        if not taken[c] and c >= done:
+            line = bisect_left(ends, starts[c])
+            first = max(done, bisect_left(starts, ends[line - 1]) if line else 0)
+            last = bisect_left(starts, ends[line]) if line < len(ends) else len(have)
+            lo = taken.rfind(1, first, c) + 1 or first
+            a = c - (c - lo) % span
+            done = taken.find(1, a, min(a + span, last))
+            done = min(a + span, last) if done < 0 else done
+            heads.append((line, a, text[starts[a]:spans[done - 1][1]]))
+    rows = sorted([*rows, *((*h, *identify(h[2])) for h in heads)], key=lambda r: r[:2])
+    count: Counter = Counter()
+    out = []
+    for line, _, *rest in rows:
+        out.append((line, count[line], *rest))
+        count[line] += 1
+    return out
 
 
 def scan(docs: DataFrame, cue: str = CUE) -> DataFrame:
-    """One row per candidate block: doc_id, line, block (numbers), text, license (best template), saved (share
-    of the compressed size), coverage (share of its words), missing and added words, confirmed.
+    """One row per notice that holds a cue word, and one per line (of a long line: per stretch of it) with a cue word
+    outside of all notices: doc_id, line (where it begins), block (numbers in a line), text, license (best template),
+    saved (share of the compressed size), coverage (share of its words), missing and added words, confirmed.
 
-    Lines without a cue word give no row, so null, empty and clean texts give none; equal blocks each give
-    their row; ties in size go to the earlier template; repeated rows and null ids keep theirs; an empty table
-    gives an empty result; other columns are ignored.
+    Documents without a cue word give no row, so null, empty and clean texts give none; equal blocks each give
+    their row; ties in size go to the earlier template; repeated rows and null ids keep theirs; very long texts
+    and lines are read whole; an empty table gives an empty result; other columns are ignored.
     """
-    lines = docs.filter(F.col("text").rlike(cue)).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
-    lines = lines.filter(F.col("text").rlike(cue)).select(F.col("doc_id").cast("long"), F.col("line").cast("long"), "text")
+    told = docs.filter(F.col("text").rlike(cue)).select(F.col("doc_id").cast("long"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for doc, line, text in zip(*(b.column(k).to_pylist() for k in range(3))):
-                rows += [(doc, line, k, x, *identify(x)) for k, x in enumerate(blocks(text))]
+        for b in slices(batches, "text", SLICE_BYTES):
+            rows = [(doc, *n) for doc, text in zip(*(b.column(k).to_pylist() for k in range(2))) for n in notices(text, cue)]
             columns = list(zip(*rows)) if rows else [()] * len(_FOUND)
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _FOUND)], schema=_FOUND)
 
-    return lines.mapInArrow(run, FOUND)
+    return told.mapInArrow(run, FOUND)
 
 
 _FOUND = pa.schema([("doc_id", pa.int64()), ("line", pa.int64()), ("block", pa.int64()), ("text", pa.string()),

@@ -27,3 +27,25 @@ def test_every_template_finds_itself():
         for t in texts:
             got = L.identify(t)
             assert got[0] == name and got[5] and got[2] == 1 and not got[3] and not got[4]
+
+
+def test_wrapped_notice_of_each_template(spark):
+    rows, want = [], []
+    for name, texts in L.TEMPLATES.items():
+        for t in texts:
+            for mark in ("", " * ", "# ", "// "):
+                parts = t.split()
+                wrapped = "\n".join(mark + " ".join(parts[i:i + 4]) for i in range(0, len(parts), 4))
+                rows.append((len(rows), f"int x;\n{wrapped}\nint y;", "", 0))
+                want.append((len(want), 1, name))
+    got = L.scan(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id, r.line, r.license) for r in got if r.confirmed) == want
+
+
+def test_notice_anywhere_in_long_lines():
+    notice = L.TEMPLATES["MIT"][1]
+    for before in range(0, 90, 7):
+        for filler in ("word", "license"):
+            text = f"{filler} " * before + notice + f" {filler}" * 300
+            got = [r for r in L.notices(text) if r[8]]
+            assert [(r[2], r[3], r[5]) for r in got] == [(notice, "MIT", 1)]
