@@ -4,8 +4,8 @@ Tokens of a page are its elements by path (``html/body/div.ad``). A token's occu
 occurrences in each page of the host; tokens with the same vector form an equivalence class. A class that
 occurs in at least half of the host's pages is valid if its elements stand inside elements of valid classes: so
 classes nest, from the class of the root down, into the host's template. Its slots are the places between
-template elements; the main slot is that of the template's article or main element, else the one that
-holds most text. A page's text is what its main slot holds, without the parts that are no article
+template elements; the main slot is that of the template's main element, or of an article element with most of
+its text; without one, the innermost slot that holds nearly all text. A page's text is what its main slot holds, without the parts that are no article
 (menus, forms, adverts, comments and so on).
 
 Vectors are compared through an order-free 64-bit digest, so a host's pages never meet in one task, however
@@ -26,6 +26,8 @@ from shelfwise.llm.common import slices, stored
 from shelfwise.llm.urlfilter import split_url
 
 SLICE_BYTES = 4 << 20
+#: Share of a slot's text that a slot in it must hold to be taken instead.
+NEARLY = 0.95
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|</?[a-zA-Z](?:"[^"]*"|'[^']*'|[^>"'])*(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)""", re.S)
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 CUES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -38,6 +40,7 @@ CONTAINERS = NO_ARTICLE | frozenset("html body article main section div ul ol dl
 VOID = frozenset("br hr img input meta link area base col embed source track wbr".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote tr td th caption figcaption address hr "
                                 "tbody thead tfoot summary option fieldset legend".split())
+LISTS = frozenset("ul ol dl table figure details".split())
 #: Words of a class, id or role that mark a part as no article.
 NO_ARTICLE_WORDS = frozenset("ad ads advert adverts advertisement sponsor sponsored promo banner sidebar comment comments "
                              "disqus reply replies notice notices cookie cookies consent alert nav navbar navigation menu "
@@ -99,8 +102,19 @@ def parse(page: str | None) -> tuple[dict[str, int], list[tuple[str, bool, str]]
     return counts, out
 
 
+def _inside(chars: dict[str, int]) -> dict[str, int]:
+    """Characters in each path and all paths beneath it, from those directly in each."""
+    out = dict(chars)
+    for p in sorted(chars, key=lambda p: -p.count("/")):
+        if p:
+            above = p.rpartition("/")[0]
+            out[above] = out.get(above, 0) + out[p]
+    return out
+
+
 def _tokens(pages: DataFrame) -> DataFrame:
-    """Per host and path, partly summed: pages, digest of the occurrence vector, article characters inside."""
+    """Per host and path, partly summed: pages, digest of the occurrence vector, article characters directly in the
+    path, and with those beneath it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest as xxh
@@ -113,21 +127,24 @@ def _tokens(pages: DataFrame) -> DataFrame:
                 for path, good, words in text:
                     if good:
                         size[path] = size.get(path, 0) + len(words)
+                inside = _inside({path: size.get(path, 0) for path in counts})
                 for path, n in counts.items():
-                    row = found.setdefault((host, path), [0, 0, 0])
+                    row = found.setdefault((host, path), [0, 0, 0, 0])
                     row[0] += 1
                     row[1] ^= xxh(f"{i}:{n}")
                     row[2] += size.get(path, 0)
-            rows = [(*k, n, d - (1 << 64) if d >> 63 else d, c) for k, (n, d, c) in found.items()]
+                    row[3] += inside[path]
+            rows = [(*k, n, d - (1 << 64) if d >> 63 else d, c, a) for k, (n, d, c, a) in found.items()]
             yield pa.record_batch([pa.array(list(c), t) for c, t in zip(
-                zip(*rows), (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()))],
-                names=["host", "path", "n", "digest", "chars"])
+                zip(*rows), (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))],
+                names=["host", "path", "n", "digest", "chars", "inside"])
 
-    return pages.mapInArrow(run, "host string, path string, n long, digest long, chars long")
+    return pages.mapInArrow(run, "host string, path string, n long, digest long, chars long, inside long")
 
 
 def main_slot(paths: list[dict]) -> tuple[list[str], str]:
-    """Template paths of a host, and the path of its main slot, from rows (path, n, digest, chars)."""
+    """Template paths of a host, and the path of its main slot, from rows (path, n, digest, chars) and, where the
+    rows leave out paths, inside: characters in the path and all beneath it."""
     pages = next((r["n"] for r in paths if r["path"] == ""), 0)
     classes: dict = {}
     for r in paths:
@@ -138,14 +155,25 @@ def main_slot(paths: list[dict]) -> tuple[list[str], str]:
         if 2 * members[0]["n"] >= pages:
             inside = {r["path"] for r in members}
             valid |= {p for p in inside if p == "" or p.rpartition("/")[0] in valid | inside}
-    chars = {r["path"]: r["chars"] for r in paths}
-    good = [p for p in valid if all(_good(c) for c in p.split("/")[1:])]
-    named = [p for p in good if p.rpartition("/")[2].split(".")[0] in ("article", "main")]
-    inside = lambda p: sum(n for q, n in chars.items() if q == p or q.startswith(f"{p}/"))
-    if named:
-        main = max(named, key=lambda p: (p.rpartition("/")[2].split(".")[0] == "article", inside(p), p))
-    else:
-        main = max(good, key=lambda p: (chars.get(p, 0), p))
+    good = {p for p in valid if all(_good(c) for c in p.split("/")[1:])}
+    inside = _inside({r["path"]: r["chars"] for r in paths if r["path"] in good})
+    inside |= {r["path"]: r["inside"] for r in paths if "inside" in r}
+    most = lambda some: max(some, key=lambda p: (inside[p], p), default=None)
+    named = {k: most(p for p in good if p.rpartition("/")[2].split(".")[0] == k) for k in ("article", "main")}
+    main = named["main"]
+    if main is None:
+        within: dict[str, list[str]] = {}
+        for p in good - {""}:
+            within.setdefault(p.rpartition("/")[0], []).append(p)
+        main = ""
+        while (child := most(within.get(main, []))) is not None and 0 < inside[child]:
+            # beside a list or table stands what it is about: all text must be in it
+            share = 1 if child.rpartition("/")[2].split(".")[0] in LISTS else NEARLY
+            if inside[child] < share * inside[main]:
+                break
+            main = child
+    if named["article"] is not None and 2 * inside[named["article"]] > inside[main]:
+        main = named["article"]
     return sorted(valid), main
 
 
@@ -158,11 +186,11 @@ def templates(pages: DataFrame) -> DataFrame:
     """``(host, main)`` from ``(page, host, html)``. Only paths in at least half of a host's pages are gathered:
     no more than twice an average page has."""
     sums = _tokens(pages).groupBy("host", "path").agg(F.sum("n").alias("n"), F.bit_xor("digest").alias("digest"),
-                                                     F.sum("chars").alias("chars"))
+                                                     F.sum("chars").alias("chars"), F.sum("inside").alias("inside"))
     sums = stored(sums, "page-tokens")
     size = sums.filter("path = ''").select("host", F.col("n").alias("pages"))
     often = sums.join(size, "host").filter("2 * n >= pages")
-    rows = often.groupBy("host").agg(F.collect_list(F.struct("path", "n", "digest", "chars")).alias("paths"))
+    rows = often.groupBy("host").agg(F.collect_list(F.struct("path", "n", "digest", "chars", "inside")).alias("paths"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

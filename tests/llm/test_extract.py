@@ -32,3 +32,27 @@ def test_classes_nest():
         ("/html/body/div.x/div.y", 8, 2, 10), ("/html/body/div.rare", 2, 3, 500), ("/html/body/nav", 10, 1, 900)]]
     paths, main = X.main_slot(rows)
     assert main == "/html/body/div.x" and "/html/body/div.rare" not in paths and "/html/body/div.x/div.y" in paths
+
+
+def texts(spark, pages):
+    rows = [(i, f"http://h.org/{i}", p, "") for i, p in enumerate(pages)]
+    return [r.text for r in sorted(X.extract(spark.createDataFrame(rows, SCHEMA)).collect(), key=lambda r: r.page_id)]
+
+
+def test_slot_by_text_inside(spark):
+    items = "".join(f"<li>item {k} of the long list" for k in range(40))
+    listed = "\n".join(f"item {k} of the long list" for k in range(40))
+    for page, want in [
+        (f"<body><div class=content><h1>T%d</h1><p>A</p><ul>{items}</ul><p>B</p></div></body>", f"T%d\nA\n{listed}\nB"),
+        ("<body><div class=intro><p>The intro %d</p></div><div class=body><p>" + "w " * 40 + "</p></div></body>",
+         "The intro %d\n" + "w " * 39 + "w"),
+        ("<body><main><p>" + "w " * 40 + "%d</p><article><p>teaser</p></article></main></body>", "w " * 40 + "%d\nteaser"),
+        ("<body><main><p>x</p><article><p>" + "w " * 40 + "%d</p></article></main></body>", "w " * 40 + "%d"),
+        ("<body>x<div class=c><p>" + "w " * 40 + "%d</p></div></body>", "w " * 40 + "%d"),
+    ]:
+        assert texts(spark, [page % i for i in range(6)]) == [want % i for i in range(6)]
+
+
+def test_slot_counts_text_in_paths_of_one_page(spark):
+    page = "<body><div class=top>site</div><div class=content><div class=post-%d><p>" + "w " * 200 + "</p></div></div></body>"
+    assert texts(spark, [page % i for i in range(6)]) == [("w " * 200).strip()] * 6
