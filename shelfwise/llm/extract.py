@@ -46,28 +46,51 @@ NO_ARTICLE_WORDS = frozenset("ad ads advert adverts advertisement sponsor sponso
                              "disqus reply replies notice notices cookie cookies consent alert nav navbar navigation menu "
                              "breadcrumb breadcrumbs footer header masthead related share sharing social subscribe newsletter "
                              "widget popup modal".split())
+#: Those that can mark a part longer than the article; elements that are the page or its article whatever they are called.
+COMMENT_WORDS = frozenset("comment comments disqus reply replies".split())
+WHOLE = frozenset("html body main article".split())
+#: Elements that end an open block of a kind without its closing tag (fixed values).
+_ROWS, _HEADS = frozenset("tr tbody thead tfoot".split()), frozenset("h1 h2 h3 h4 h5 h6".split())
+ENDS = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": _ROWS, "td": _ROWS | {"td", "th"},
+        "th": _ROWS | {"td", "th"}, "option": {"option"}} | {k: _ROWS - {"tr"} for k in _ROWS - {"tr"}} | {k: _HEADS for k in _HEADS}
 
 
-def _part(tag: str) -> tuple[str, bool]:
-    """Path component of an opening tag, and whether it is part of the article."""
-    name = NAME.match(tag)[1].lower()
+def _part(tag: str, name: str) -> tuple[str, set[str]]:
+    """Path component of an opening tag, and its words that mark it as no article."""
     cues = [" ".join(m[1:]) for m in CUES.findall(tag)]
-    marks = sorted({w for c in cues for w in re.split(r"[^a-z0-9]+", c.lower()) if w})
-    bad = name in NO_ARTICLE or any(w in NO_ARTICLE_WORDS for w in marks)
-    return ".".join([name, *marks]), not bad
+    marks = {w for c in cues for w in re.split(r"[^a-z0-9]+", c.lower()) if w}
+    return ".".join([name, *sorted(marks)]), set() if name in WHOLE else marks & NO_ARTICLE_WORDS
+
+
+def _spared(marked: list[set[str]], found: list[tuple]) -> set[int]:
+    """Marked elements that hold most of a page's text, so that their words say nothing of it: more than half (with
+    a word for comments nine tenths), and nearly all that stands in an article or main element."""
+    if not marked:
+        return set()
+    total, named, size, own = 0, 0, [0] * len(marked), [0] * len(marked)
+    for _, within, in_named, words in found:
+        if within is not None:
+            total, named = total + len(words), named + in_named * len(words)
+            for k in within:
+                size[k] += len(words)
+                own[k] += in_named * len(words)
+    return {k for k, words in enumerate(marked) if 2 * size[k] > total and 10 * (named - own[k]) <= size[k]
+            and (not words & COMMENT_WORDS or 10 * size[k] >= 9 * total)}
 
 
 def parse(page: str | None) -> tuple[dict[str, int], list[tuple[str, bool, str]]]:
     """Occurrences of each element path, and the text blocks in order as (path, part of the article, text)."""
     page = page or ""
-    stack: list[tuple[str, str, bool]] = [("", "", True)]  # name, path, part of the article
-    counts, out, text, at = {"": 1}, [], [], 0
+    # name, path, marked elements around (None: in an element that is no article), in an article or main element; of
+    # a marked block that is no container, how many of its name are open in it, else 0
+    stack: list[list] = [["", "", (), False, 0]]
+    counts, out, text, at, marked = {"": 1}, [], [], 0, []
 
     def end_block() -> None:
         if text:
             words = " ".join(html.unescape("".join(text)).split())
             if words:
-                out.append((stack[-1][1], stack[-1][2], words))
+                out.append((*stack[-1][1:4], words))
             text.clear()
 
     for m in TOKEN.finditer(page):
@@ -88,18 +111,50 @@ def parse(page: str | None) -> tuple[dict[str, int], list[tuple[str, bool, str]]
                     if stack[k][0] == name:
                         del stack[k:]
                         break
-        elif name in CONTAINERS:
-            part, good = _part(tag)
-            path = f"{stack[-1][1]}/{part}"
+            elif stack[-1][4]:
+                for k in range(len(stack) - 1, 0, -1):
+                    if not stack[k][4]:
+                        break
+                    if stack[k][0] == name:
+                        stack[k][4] -= 1
+                        del stack[k + (stack[k][4] > 0):]
+                        break
+            continue
+        if name not in BLOCKS:
+            continue
+        while stack[-1][4] and name in ENDS.get(stack[-1][0], ()):
+            stack.pop()
+        _, path, within, named, _ = stack[-1]
+        if name in CONTAINERS:
+            part, words = _part(tag, name)
+            path = f"{path}/{part}"
             counts[path] = counts.get(path, 0) + 1
             if name in RAW:
                 close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                 at = close.end() if close else len(page)
             elif not tag.endswith("/>"):
-                stack.append((name, path, good and stack[-1][2]))
+                if name in NO_ARTICLE:
+                    within = None
+                elif words and within is not None:
+                    within = (*within, len(marked))
+                    marked.append(words)
+                stack.append([name, path, within, named or name in ("article", "main"), 0])
+        elif name not in VOID and within is not None:
+            words = _part(tag, name)[1] if "=" in tag else set()
+            if words:
+                stack.append([name, path, (*within, len(marked)), named, 1])
+                marked.append(words)
+            else:
+                for k in range(len(stack) - 1, 0, -1):
+                    if not stack[k][4]:
+                        break
+                    if stack[k][0] == name:
+                        stack[k][4] += 1
+                        break
     text.append(page[at:])
     end_block()
-    return counts, out
+    spared = _spared(marked, out)
+    return counts, [(path, within is not None and spared.issuperset(within), words) for path, within, _, words in out]
 
 
 def _inside(chars: dict[str, int]) -> dict[str, int]:
@@ -178,8 +233,7 @@ def main_slot(paths: list[dict]) -> tuple[list[str], str]:
 
 
 def _good(part: str) -> bool:
-    name, *marks = part.split(".")
-    return name not in NO_ARTICLE and not any(m in NO_ARTICLE_WORDS for m in marks)
+    return part.split(".")[0] not in NO_ARTICLE  # what words mark is known for each page: it adds no characters
 
 
 def templates(pages: DataFrame) -> DataFrame:

@@ -56,3 +56,19 @@ def test_slot_by_text_inside(spark):
 def test_slot_counts_text_in_paths_of_one_page(spark):
     page = "<body><div class=top>site</div><div class=content><div class=post-%d><p>" + "w " * 200 + "</p></div></div></body>"
     assert texts(spark, [page % i for i in range(6)]) == [("w " * 200).strip()] * 6
+
+
+def test_cue_words_by_element():
+    long = "w " * 60 + "end"
+    for page, want in [
+        (f"<body class='has-sidebar'><article><p>{long}</article>", long),
+        (f"<body><div class='page with-menu'><article><p>{long}</article></div>", long),
+        (f"<body><div class='page with-menu'><p>{long}</p></div>", long),
+        (f"<body><article class='post social'><p>{long}</article>", long),
+        (f"<body><main id='related-work'><p>{long}</main>", long),
+        (f"<body><div class=box><p>{long}</p></div><div class=comments><p>{long} {long}</p></div>", long),
+        (f"<body><article><p>{long}<p class='ad'>buy<p>a</p><ul><li class='comment'>me <ul><li>too</ul> yes<li>b</ul>"
+         "<blockquote class='reader-comment'><p>c</p><blockquote>d</blockquote>e</blockquote><p class='notice'>n</p>"
+         "<table><tr class=ad><td>1<td>2<tr><td>f</table>z</article>", f"{long}\na\nb\nf\nz"),
+    ]:
+        assert X.article(page, None) == want
