@@ -39,7 +39,32 @@ TEMPLATES = {
             "the following conditions are met"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "CC0-1.0": ["This work is dedicated to the public domain under CC0 1.0 Universal."],
+    "ISC": ["Released under the ISC License.",
+            "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "MIT-0": [], "Apache-1.1": ["Licensed under the Apache License, Version 1.1."],
+    "BSD-2-Clause": ["Released under the BSD 2-Clause License."], "BSD-3-Clause": ["Released under the BSD 3-Clause License."],
+    "MPL-1.1": ["Licensed under the Mozilla Public License, Version 1.1."],
 }
+TEMPLATES["MIT"].append(
+    TEMPLATES["MIT"][1] + ", including without limitation the rights to use, copy, modify, merge, publish, distribute, "
+    "sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+    "subject to the following conditions:")
+for _name, _kind, _version in (("GPL-2.0", "", "2"), ("GPL-3.0", "", "3"), ("LGPL-2.0", "Library ", "2"), ("LGPL-2.1", "Lesser ", "2.1"),
+                               ("LGPL-3.0", "Lesser ", "3"), ("AGPL-3.0", "Affero ", "3")):
+    _either = (f"you can redistribute it and/or modify it under the terms of the GNU {_kind}General Public License as published "
+               f"by the Free Software Foundation, either version {_version} of the License")
+    TEMPLATES.setdefault(_name, []).extend(t for t in (
+        f"This work is licensed under the GNU {_kind}General Public License, version {_version}.",
+        f"This program is free software: {_either}", f"This program is free software: {_either}, or (at your option) any later "
+        "version.") if t not in TEMPLATES.get(_name, []))
+for _name, _kind in (("SA", "ShareAlike"), ("ND", "NoDerivatives"), ("NC-SA", "NonCommercial-ShareAlike"),
+                     ("NC-ND", "NonCommercial-NoDerivatives")):
+    TEMPLATES[f"CC-BY-{_name}-4.0"] = [f"Licensed under CC BY-{_name} 4.0.", "This work is licensed under a Creative Commons "
+                                       f"Attribution-{_kind} 4.0 International License."]
+for _name in TEMPLATES:
+    if _name != "BSD":
+        TEMPLATES[_name].append(f"SPDX-License-Identifier: {_name}")
 CUE = (r"(?i)licen[sc]|copyright|permission\W+is\W+hereby|redistribut|public\W+domain|creative\W+commons|"
        r"\bcc\W+by|\bcc[ -]?0|spdx")
 #: How many of the templates that save most are looked at where none is confirmed; a template of this many words may
@@ -48,11 +73,26 @@ CONFIRM, PER_EDIT = 3, 5
 SLICE_BYTES = 4 << 20
 FOUND = ("doc_id long, line long, block long, text string, license string, saved double, coverage double, "
          "missing array<string>, added array<string>, confirmed boolean")
-WORD = re.compile(r"[\w.+-]*\w")
+WORD = re.compile(r"[^\W_]+(?:\.[^\W_]+)*")
+#: Words that tell licenses apart, beside version numbers: they must be the template's, none more or less.
+TELLING = frozenset("mit apache gnu gpl lgpl agpl lesser library affero mozilla mpl bsd isc cc cc0 creative commons "
+                    "nc sa nd noncommercial sharealike noderivatives noderivs clause eclipse epl".split())
+VERSION = re.compile(r"v?(\d+(?:\.\d+)*?)(?:\.0)*")
+NEVER = 1 << 20  # edits
 
 
 def words(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    return [_word(w) for w in WORD.findall(text)]
+
+
+def _word(word: str) -> str:
+    """Lower case; versions without a v and zeros at the end."""
+    version = VERSION.fullmatch(word.lower())
+    return version[1] if version else word.lower()
+
+
+def _tells(word: str) -> bool:
+    return word in TELLING or word[0].isdigit() and bool(VERSION.fullmatch(word))
 
 
 @functools.cache
@@ -84,15 +124,18 @@ def saved(block: str) -> list[float]:
     return [(size - len(c.compress(data))) / size for c in each]
 
 
-def places(want: list[str], have: list[str], most: int) -> list[tuple]:
+def places(want: list[str], have: list[str], most: int, strict: bool = True) -> list[tuple]:
     """(edits, start, end, missing, added) of the stretches of ``have`` that are ``want`` but for at most ``most``
-    words replaced, left out or put in. Of stretches that overlap the one with the fewest stays."""
+    words replaced, left out or put in (``strict``: none that tells licenses apart). Of stretches that overlap the
+    one with the fewest stays."""
+    drop, put = ([NEVER if strict and _tells(w) else 1 for w in x] for x in (want, have))
     rows = [[0] * (len(have) + 1)]
     for i, w in enumerate(want, 1):
-        up, left = rows[-1], i
+        up, out_ = rows[-1], drop[i - 1]
+        left = up[0] + out_
         row = [left]
         for j, h in enumerate(have):
-            left = min(up[j] + (w != h), up[j + 1] + 1, left + 1)
+            left = min(up[j] + (0 if w == h else max(out_, put[j])), up[j + 1] + out_, left + put[j])
             row.append(left)
         rows.append(row)
     out: list[tuple] = []
@@ -100,13 +143,13 @@ def places(want: list[str], have: list[str], most: int) -> list[tuple]:
         i, j, missing, added = len(want), -j, [], []
         end = j
         while i:
-            differ = j > 0 and want[i - 1] != have[j - 1]
+            differ = max(drop[i - 1], put[j - 1]) if j and want[i - 1] != have[j - 1] else 0
             if j and rows[i][j] == rows[i - 1][j - 1] + differ:
                 i, j = i - 1, j - 1
                 if differ:
                     missing.append(want[i])
                     added.append(have[j])
-            elif rows[i][j] == rows[i - 1][j] + 1:
+            elif rows[i][j] == rows[i - 1][j] + drop[i - 1]:
                 i -= 1
                 missing.append(want[i])
             else:
@@ -123,7 +166,7 @@ def confirmed(have: list[str]) -> list[tuple]:
     held, found = Counter(have), []
     for k, (_, want, count) in enumerate(_templates()):
         most = len(want) // PER_EDIT
-        if sum((count & held).values()) >= len(want) - most:  # else more than ``most`` are not there
+        if all(w in held for w in count if _tells(w)) and sum((count & held).values()) >= len(want) - most:  # else not there
             found += [(len(m) - len(want), edits, a, b, k, m, x) for edits, a, b, m, x in places(want, have, most)]
     out: list[tuple] = []
     for _, _, a, b, k, m, x in sorted(found):
@@ -148,7 +191,7 @@ def identify(block: str) -> tuple:
         return _row(block, k, missing, added, True)
     share = saved(block)
     ranked = sorted(range(len(plans)), key=lambda k: (-share[k], k))[:CONFIRM]
-    best = {k: places(plans[k][1], have, len(plans[k][1]))[0] for k in ranked}
+    best = {k: places(plans[k][1], have, len(plans[k][1]), False)[0] for k in ranked}
     k = max(ranked, key=lambda k: (1 - len(best[k][3]) / len(plans[k][1]), len(plans[k][1])))
     return _row(block, k, *best[k][3:], False)
 
@@ -156,7 +199,7 @@ def identify(block: str) -> tuple:
 def notices(text: str, cue: str = CUE) -> list[tuple]:
     """(line, block, text, license, saved, coverage, missing, added, confirmed) of a document; see ``scan``."""
     spans = [m.span() for m in WORD.finditer(text)]
-    starts, have = [a for a, _ in spans], [text[a:b].lower() for a, b in spans]
+    starts, have = [a for a, _ in spans], [_word(text[a:b]) for a, b in spans]
     cues = sorted({bisect_right(starts, m.start()) - 1 for m in re.finditer(cue, text)} - {-1})
     ends = [m.start() for m in re.finditer("\n", text)]
     span, runs = _span(), []

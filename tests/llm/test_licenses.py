@@ -49,3 +49,16 @@ def test_notice_anywhere_in_long_lines():
             text = f"{filler} " * before + notice + f" {filler}" * 300
             got = [r for r in L.notices(text) if r[8]]
             assert [(r[2], r[3], r[5]) for r in got] == [(notice, "MIT", 1)]
+
+
+def test_versions_variants_and_two_notices_in_a_line():
+    for text, want in [
+        ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0"]),
+        ("Licensed under the Apache License, Version 1.1.", ["Apache-1.1"]),
+        ("Licensed under the Apache License, Version 3.0.", []),
+        ("Licensed under CC BY-SA 4.0.", ["CC-BY-SA-4.0"]), ("Licensed under CC BY-NC-ND 4.0.", ["CC-BY-NC-ND-4.0"]),
+        ("Released under the BSD License.", []), ("SPDX-License-Identifier: MIT-0", ["MIT-0"]),
+        ("Released under the MIT License. Licensed under the Apache License, Version 2.0. Licensed under CC BY 4.0.",
+         ["MIT", "Apache-2.0", "CC-BY-4.0"]),
+    ]:
+        assert [r[3] for r in L.notices(text) if r[8]] == want, text
