@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, decontaminate, extract, langid, licenses, packing, simhash, topk, toxicity, urlfilter
+from shelfwise.llm import chat, decontaminate, exactdedup, extract, langid, licenses, packing, simhash, topk, toxicity, urlfilter
 from shelfwise.llm.common import table
 
 
@@ -54,6 +54,11 @@ def op10_topk(spark, d):
     return topk.search(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_exact_dedup(spark, d):
+    docs = table(spark, d, "documents")
+    return exactdedup.deduplicate(docs, exactdedup.older_half(docs))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_urlfilter": op2_urlfilter,
@@ -65,6 +70,7 @@ QUERIES = {
     "op8_extract": op8_extract,
     "op9_chat": op9_chat,
     "op10_topk": op10_topk,
+    "op11_exact_dedup": op11_exact_dedup,
 }
 
 #: DuckDB SQL of those queries that SQL can express.
@@ -95,4 +101,10 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS
       FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op11_exact_dedup": """
+WITH n AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                           'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents),
+g AS (SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, text_sha256 FROM n
+      WINDOW w AS (PARTITION BY text_sha256))
+SELECT doc_id, keep_id, group_size, coalesce(doc_id = keep_id, false) AS kept, text_sha256 FROM g""",
 }
