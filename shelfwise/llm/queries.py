@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfwise.llm import chat, decontaminate, exactdedup, extract, langid, licenses, packing, simhash, topk, toxicity, urlfilter
+from shelfwise.llm import (
+    chat, decontaminate, exactdedup, extract, langid, licenses, packing, simhash, tokenalign, topk, toxicity, urlfilter)
 from shelfwise.llm.common import table
 
 
@@ -59,6 +60,15 @@ def op11_exact_dedup(spark, d):
     return exactdedup.deduplicate(docs, exactdedup.older_half(docs))
 
 
+def op13_align(spark, d):
+    import public_tokenizers
+
+    aligned = tokenalign.align(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                               public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_urlfilter": op2_urlfilter,
@@ -71,6 +81,7 @@ QUERIES = {
     "op9_chat": op9_chat,
     "op10_topk": op10_topk,
     "op11_exact_dedup": op11_exact_dedup,
+    "op13_align": op13_align,
 }
 
 #: DuckDB SQL of those queries that SQL can express.
