@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfwise.llm import (
-    chat, decontaminate, exactdedup, extract, langid, licenses, packing, simhash, tokenalign, topk, toxicity, urlfilter)
+    chat, decontaminate, exactdedup, extract, langid, licenses, merkle, packing, simhash, tokenalign, topk, toxicity,
+    urlfilter)
 from shelfwise.llm.common import table
 
 
@@ -60,6 +61,12 @@ def op11_exact_dedup(spark, d):
     return exactdedup.deduplicate(docs, exactdedup.older_half(docs))
 
 
+def op12_merkle(spark, d):
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return merkle.manifest(table(spark, d, "documents"), {"text": lower}, tampered)
+
+
 def op13_align(spark, d):
     import public_tokenizers
 
@@ -81,9 +88,47 @@ QUERIES = {
     "op9_chat": op9_chat,
     "op10_topk": op10_topk,
     "op11_exact_dedup": op11_exact_dedup,
+    "op12_merkle": op12_merkle,
     "op13_align": op13_align,
 }
 
+
+def _merkle_sql(levels: int = 8) -> str:
+    """A tree a language and one over them, ``levels`` levels each, unrolled."""
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    field = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || {0}, '-')"
+    leaf = "sha256(" + " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+    step = "xor(x >> 1, 3988292384 * (x & 1))"
+    crc = ("xor(list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+           "lambda c: CAST(ascii(c) AS BIGINT))), lambda s, c: list_reduce(list_concat([xor(s, c)], "
+           f"[0, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: {step})), 4294967295)")
+    out = [f"""WITH leaves AS (SELECT doc_id, lang, {leaf.format("text")} AS leaf,
+  CASE WHEN {crc} % 3 = 0 THEN {leaf.format(low)} END AS other FROM documents),
+a0 AS (SELECT lang AS g, row_number() OVER w - 1 AS p, count(*) OVER (PARTITION BY lang) AS n, leaf AS h, doc_id, other
+       FROM leaves WINDOW w AS (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf))"""]
+    for tree, first in (("a", None), ("b", f"""b0 AS (SELECT 0 AS g, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS p,
+  count(*) OVER () AS n, h, g AS lang FROM a{levels})""")):
+        out += [first] if first else []
+        for k in range(levels):
+            out.append(f"""{tree}{k + 1} AS (SELECT g, p // 8 AS p, max((n + 7) // 8) AS n,
+  CASE WHEN max(n) > 1 THEN sha256(string_agg(h, '' ORDER BY p)) ELSE min(h) END AS h FROM {tree}{k} GROUP BY g, p // 8)""")
+            out.append(f"""{tree}r{k} AS (SELECT g, p // 8 AS r, array_agg(h ORDER BY p) AS hs FROM {tree}{k} WHERE n > 1 GROUP BY ALL)""")
+    out.append(f"""f0 AS (SELECT a.doc_id, a.h AS leaf, a.g, a.p, b.p AS q, b.h AS subroot, t.h AS root,
+  coalesce(other, a.h) AS f, '' AS proof FROM a0 a JOIN b0 b ON a.g IS NOT DISTINCT FROM b.lang, b{levels} t)""")
+    k = 0
+    for tree, g, p in (("a", "f.g", "f.p"), ("b", "0", "f.q")):
+        for level in range(levels):
+            at = f"({p} // {8**level})"
+            left = f"array_to_string(hs[1:{at} % 8], '')"
+            right = f"array_to_string(hs[{at} % 8 + 2:], '')"
+            out.append(f"""f{k + 1} AS (SELECT f.* REPLACE (CASE WHEN hs IS NULL THEN f ELSE sha256({left} || f || {right}) END AS f,
+  CASE WHEN hs IS NULL THEN proof ELSE proof || {left} || {right} END AS proof)
+  FROM f{k} f LEFT JOIN {tree}r{level} x ON x.g IS NOT DISTINCT FROM {g} AND x.r = {at} // 8)""")
+            k += 1
+    return ",\n".join(out) + f"""
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f AS folded_root, f = root AS verified FROM f{k}"""
+
+
 #: DuckDB SQL of those queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
     "op4_decontaminate": r"""
@@ -118,4 +163,5 @@ WITH n AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOP
 g AS (SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, text_sha256 FROM n
       WINDOW w AS (PARTITION BY text_sha256))
 SELECT doc_id, keep_id, group_size, coalesce(doc_id = keep_id, false) AS kept, text_sha256 FROM g""",
+    "op12_merkle": _merkle_sql(),
 }
