@@ -63,6 +63,29 @@ SELECT title_id + 1000000 AS title_id, title_name, genres, studio, premiered, ep
 FROM {titles_raw} WHERE title_id % 2 = 1 AND title_id % 3 = 0
 """
 
+# Changed and new rows that arrive as a micro-batch of updates: other episodes, some without a duration.
+TITLES_UPDATES_SQL = """
+SELECT title_id, title_name, genres, studio, CASE WHEN title_id % 4 = 0 THEN NULL ELSE premiered END AS premiered,
+  episodes + 1 AS episodes, CASE WHEN title_id % 2 = 0 THEN NULL ELSE duration END AS duration,
+  rating, media_type, status, score, ranking, popularity, members, favorites, synopsis
+FROM {titles_raw} WHERE title_id % 43 = 0
+UNION ALL
+SELECT title_id + 100000 AS title_id, title_name, genres, studio, premiered, episodes,
+  duration, rating, media_type, status, score, ranking, popularity, members, favorites, synopsis
+FROM {titles_raw} WHERE title_id % 47 = 0
+"""
+
+# First load of a star that grows: the even titles, some with genres that the second load replaces.
+CLEAN_FIRST_SQL = """
+SELECT title_id, title_name, CASE WHEN title_id % 14 = 0 THEN 'Retired ' || CAST(title_id % 5 AS STRING) ELSE genres END AS genres,
+  studio, CASE WHEN title_id % 28 = 0 THEN 'Winter 1901' ELSE premiered END AS premiered, episodes, duration, rating, media_type,
+  status, score, CASE WHEN title_id % 14 = 0 THEN ranking + 1 ELSE ranking END AS ranking, popularity, members, favorites,
+  synopsis, duration_min
+FROM {clean} WHERE title_id % 2 = 0
+"""
+# Second load: the odd titles and the changed ones.
+CLEAN_SECOND_SQL = "SELECT * FROM {clean} WHERE title_id % 2 = 1 OR title_id % 14 = 0"
+
 # Changed copy for the differential snapshot.
 TITLES_CHANGED_SQL = """
 SELECT title_id, title_name, genres, studio, premiered,
@@ -170,6 +193,10 @@ def titles_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _over_titles(spark, sf_dir, TITLES_CHANGED_SQL)
 
 
+def titles_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _over_titles(spark, sf_dir, TITLES_UPDATES_SQL)
+
+
 def info_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _over_titles(spark, sf_dir, INFO_BLOCKS_SQL)
 

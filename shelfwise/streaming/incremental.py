@@ -28,7 +28,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.functions.numeric import mean_from_sums, scaled_sum
 from shelfwise.operators import clean, constraints, ingest
-from shelfwise.sources.tables import materialize, path_exists
+from shelfwise.sources.tables import materialize, path_exists, shared_path
+from shelfwise.streaming.names import NameIndex
 
 
 def clean_stream(df: DataFrame) -> DataFrame:
@@ -84,8 +85,8 @@ class BatchWriter:
     ``<target>_duration_sums/epoch=N`` (``epoch=-1``: rows stored before the stream), then its files move into the
     target under their own names. Each step counts as done by its ``_SUCCESS`` mark only, so a replayed epoch
     redoes what was left half-written and moves what was not moved yet: it writes nothing twice, rows with a
-    NULL name included. The sums spare a rescan of the stored minutes; the existence test (T4) does read
-    the stored names, one column, for every micro-batch."""
+    NULL name included. The sums spare a rescan of the stored minutes; the existence test (T4) opens only those
+    buckets of the name index (``<target>_names``) that may hold a name of the micro-batch."""
 
     def __init__(self, target_path: str, key: str = "title_name", order_by: tuple[str, ...] = ("title_id",),
                  guard: bool = True, sums_path: str | None = None):
@@ -95,6 +96,7 @@ class BatchWriter:
         self.key = key
         self.order_by = order_by
         self.guard = guard
+        self.names = NameIndex(f"{self.target_path}_names", key)
 
     def _stored(self, spark: SparkSession) -> DataFrame | None:
         return spark.read.parquet(self.target_path) if path_exists(spark, self.target_path) else None
@@ -113,10 +115,9 @@ class BatchWriter:
         if self.guard:                                   # T3: reject the whole batch
             constraints.validate(batch, strict=True)
         stored = self._stored(spark)
-        if stored is None:                               # T4: first arrival per new name
-            new = ingest.first_per_key(batch, self.key, self.order_by)
-        else:
-            new = ingest.insert_if_absent(batch, stored, self.key, self.order_by)
+        if not self.names.done(spark, -1):               # once, at the first batch
+            self.names.add(batch.limit(0) if stored is None else stored, -1)
+        new = ingest.insert_if_absent(batch, self.names.stored(batch, epoch_id), self.key, self.order_by)   # T4
         return impute_from_sums(new, self._sums_before(spark, stored, epoch_id))   # T2
 
     def _publish(self, spark: SparkSession, epoch: str) -> None:
@@ -136,6 +137,8 @@ class BatchWriter:
             self._new_rows(batch, epoch_id).write.mode("overwrite").parquet(epoch)
         if not _done(spark, delta):                      # before any file has moved
             duration_sums(spark.read.schema(batch.schema).parquet(epoch)).write.mode("overwrite").parquet(delta)
+        if not self.names.done(spark, epoch_id):
+            self.names.add(spark.read.schema(batch.schema).parquet(epoch), epoch_id)
         self._publish(spark, epoch)
 
 
@@ -149,19 +152,11 @@ def start_incremental(spark: SparkSession, source_dir: str, schema, target_path:
     return writer.start()
 
 
-def _workdir(spark: SparkSession, name: str) -> str:
-    import uuid
-
-    from shelfwise.session import ensure_checkpoint_dir
-
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/shelfwise/{name}-{uuid.uuid4().hex}"
-
-
 def stream_clean(arriving: DataFrame) -> DataFrame:
     """T1 end to end: the arriving rows land as parquet files, an
     available-now stream cleans them into a parquet sink; returns the sink."""
     spark = arriving.sparkSession
-    work = _workdir(spark, "stream-clean")
+    work = shared_path(spark, "stream-clean")
     arriving.write.parquet(f"{work}/source")
     q = (spark.readStream.schema(arriving.schema).parquet(f"{work}/source").transform(clean_stream)
          .writeStream.format("parquet").option("path", f"{work}/sink")
@@ -176,7 +171,7 @@ def stream_ingest(stored_raw: DataFrame, arriving: DataFrame) -> DataFrame:
     files and an available-now stream runs them through fills + parse →
     guard → insert-if-absent → impute; returns the target table afterwards."""
     spark = arriving.sparkSession
-    work = _workdir(spark, "stream-ingest")
+    work = shared_path(spark, "stream-ingest")
     impute_from_table(clean_stream(stored_raw), None).write.parquet(f"{work}/target")
     arriving.write.parquet(f"{work}/source")
     q = start_incremental(spark, f"{work}/source", arriving.schema, f"{work}/target", f"{work}/checkpoint")
