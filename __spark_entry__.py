@@ -12,6 +12,7 @@ import importlib.util
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,15 +25,16 @@ from shelfwise.operators import normalize as N  # noqa: E402
 from shelfwise.operators.keys import dense_ids  # noqa: E402
 from shelfwise.operators import extract as X  # noqa: E402
 from shelfwise.operators import features as R  # noqa: E402
-from shelfwise.operators import ingest, marts  # noqa: E402
+from shelfwise.operators import ingest, marts, neighbours  # noqa: E402
 from shelfwise.operators import recommend as REC  # noqa: E402
 from shelfwise.plans import crawl  # noqa: E402
 from shelfwise.plans import recommender as RP  # noqa: E402
 from shelfwise.plans import star as S  # noqa: E402
 from shelfwise.plans.cleaning import clean_titles  # noqa: E402
+from shelfwise.plans.star_delta import StarStore  # noqa: E402
 from shelfwise.sources import fixtures as fx  # noqa: E402
 from shelfwise.sources import snapshots, tables  # noqa: E402
-from shelfwise.streaming import incremental  # noqa: E402
+from shelfwise.streaming import incremental, upserts  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -203,6 +205,31 @@ def _q_insert_select(spark, d):
     return spark.read.parquet(path)
 
 
+def _q_similar_titles(spark, d):
+    c = _corpus(spark, d)
+    return neighbours.most_similar(c.postings, c.docs, 10)
+
+
+def _two_loads(spark, d):
+    """A star store after the first and the second load."""
+    store = StarStore(tables.shared_path(spark, "star-store"))
+    clean = tables.materialize(_clean(spark, d), "clean")
+    for load, sql in enumerate((fx.CLEAN_FIRST_SQL, fx.CLEAN_SECOND_SQL)):
+        store.apply(spark.sql(sql, clean=clean), load)
+    return store.star(spark)
+
+
+def _q_stable_ids(spark, d):
+    star = _two_loads(spark, d)
+    parts = [star[name].select(F.lit(name).alias("dim"), F.col(id_col).alias("id"), F.col(name).alias("value"))
+             for name, id_col in S.DIMENSIONS]
+    parts += [star[dim].select(F.lit(dim).alias("dim"), F.col(f"{dim}_id").alias("id"), F.col(f"{dim}_name").alias("value"))
+              for dim, _ in S.LIST_DIMS]
+    parts.append(star["statistic"].select(F.lit("statistic").alias("dim"), F.col("statistic_id").alias("id"),
+                                          F.col("title_id").cast("string").alias("value")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_titles": _q_clean_titles,
     "drop_blank_rows": _q_drop_blank_rows,
@@ -299,6 +326,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_clean": lambda spark, d: incremental.stream_clean(fx.titles_raw(spark, d)),
     "incremental_ingest": lambda spark, d: incremental.stream_ingest(
         fx.titles_stored(spark, d), fx.titles_arriving(spark, d)),
+    "incremental_update": lambda spark, d: upserts.stream_update(
+        fx.titles_raw(spark, d), fx.titles_updates(spark, d)),
+    # changes over several loads
+    "stable_ids": _q_stable_ids,
+    "incremental_star": lambda spark, d: S.star_titles(_two_loads(spark, d), by_id=True),
+    # every title's most similar ones
+    "similar_titles": _q_similar_titles,
 }
 
 
