@@ -4,21 +4,23 @@ A document's tokens under A and under B are two ascending lists of byte ends. Me
 A's first) visits every pair of overlapping tokens once: a step that consumes an end emits the pair of tokens it
 stands in, but for a B end that equals the A end before it, which closes a group.
 
-The merge is cut by diagonals, ``PIECE`` steps apart: on diagonal d a binary search finds how many of the first d
+The merge is cut by diagonals, ``size`` steps apart: on diagonal d a binary search finds how many of the first d
 ends are A's. So pieces are independent and of equal work, however long a document is; each is a row with
 the ids it needs. A piece emits its overlaps, its closed groups and the two open ones at its borders;
 the open ones of neighbouring pieces are stitched into groups.
 
 Pair counts of the whole corpus come from the pieces' overlaps, added up before they are shuffled. They are
-looked up in tables of at most ``MAX_PAIRS`` pairs, one broadcast each; a document's sums over the tables add up.
+looked up in tables of at most ``max_pairs`` pairs, one broadcast each; a document's sums over the tables add up.
 """
 
 from __future__ import annotations
 
 import functools
 import json
+import re
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 from types import SimpleNamespace
 
 import numpy as np
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import slices, stored
+from shelfwise.llm.packing import _Lists, _Numbers
 
 #: Steps of the merge in a piece.
 PIECE = 1 << 14
@@ -36,6 +39,14 @@ MAX_PAIRS = 2_000_000
 #: Distinct pairs a task adds up before it hands them on.
 TASK_PAIRS = 1_000_000
 SLICE_BYTES = 2 << 20
+#: Words that a worker's tables hold before they are dropped.
+CACHE_WORDS = 300_000
+#: New words encoded as one text.
+LEARN_WORDS = 4096
+#: White space of ASCII, and other.
+_ASCII_SPACE = " \t\n\v\f\r\x1c\x1d\x1e\x1f"
+_LOOSE_SPACE = [p for c in _ASCII_SPACE for p in (c + " ", " " + c)]
+_OTHER_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Steps worked on at once.
 BLOCK_STEPS = 1 << 19
 #: The byte-level pre-tokenizer's pattern (fixed value).
@@ -61,8 +72,10 @@ class ByteTokenizer:
         self.bytes = [b""] * size
         for token, i in vocabulary.items():
             self.bytes[i] = bytes(byte_of[c] for c in token)
+        self.sizes = np.array([len(t) for t in self.bytes], np.int64)
         merged = [vocabulary.get("".join(m) if isinstance(m, list) else m.replace(" ", "")) for m in spec["model"]["merges"]]
         before = spec["pre_tokenizer"] or {}
+        self.by_words = not spec["normalizer"] and before.get("type") == "ByteLevel" and before.get("use_regex", True)
         if (None not in merged and merged == sorted(merged) and not spec["normalizer"]
                 and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")):
             import tiktoken
@@ -87,16 +100,98 @@ class PieceTokenizer:
         names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
         self.bytes = [bytes([int(n[3:5], 16)]) if model.is_byte(i) else n.replace("▁", " ").encode()
                       for i, n in enumerate(names)]
+        self.sizes = np.array([len(t) for t in self.bytes], np.int64)
         self.encode = functools.partial(model.encode, num_threads=1)
 
 
+class Words:
+    """Ids of texts by both tokenizers, with each word encoded once.
+
+    Where single spaces stand between words that neither begin nor end with white space, no token of A or B reaches
+    from one word into the next space: A's pattern starts anew at each such space, and no piece of B
+    has a space sign behind another sign. So a text's ids are those of its words, each with its space. Other texts
+    go through the tokenizers whole. Tables are dropped when they reach ``CACHE_WORDS`` words.
+    """
+
+    def __init__(self, a: ByteTokenizer, b: PieceTokenizer) -> None:
+        self.a, self.b = a, b
+        self.apart = a.by_words and not any(b" " in t.lstrip(b" ") for t in b.bytes)
+        self._clear()
+
+    def _clear(self) -> None:
+        self.words, self.a_ids, self.b_ids, self.good = _Numbers(), _Lists(), _Lists(), np.zeros(0, bool)
+
+    def _true(self, raw: bytes, a: list[int], b: list[int]) -> bool:
+        """Whether both lists of tokens give back the space and the text."""
+        want = b" " + raw
+        return (b"".join(map(self.a.bytes.__getitem__, a)) == want) and (b"".join(map(self.b.bytes.__getitem__, b)) == want)
+
+    def _learn(self) -> None:
+        new, self.words.new = self.words.new, []
+        for i in range(0, len(new), LEARN_WORDS):
+            self._learn_part(new[i: i + LEARN_WORDS])
+
+    def _learn_part(self, words: list[str]) -> None:
+        """Encode the words as one text and cut its tokens at the words' ends; one by one, should some not be given back."""
+        text = " ".join(words)
+        a, b = self.a.encode(" " + text), self.b.encode(text)
+        if good := self._true(text.encode(), a, b):
+            ends = np.cumsum([len(w.encode()) + 1 for w in words])
+            for table, sizes, ids in ((self.a_ids, self.a.sizes, a), (self.b_ids, self.b.sizes, b)):
+                ids = np.array(ids, np.int64)
+                table.add(ids, np.diff(np.searchsorted(np.cumsum(sizes[ids]), ends, side="right"), prepend=0))
+            good = [True] * len(words)
+        else:
+            both = [(self.a.encode(" " + w), self.b.encode(w)) for w in words]
+            for table, lists in zip((self.a_ids, self.b_ids), zip(*both)):
+                table.add(np.fromiter(chain.from_iterable(lists), np.int64), np.array([len(x) for x in lists], np.int64))
+            good = [self._true(w.encode(), x, y) for w, (x, y) in zip(words, both)]
+        self.good = np.concatenate((self.good, np.array(good, bool)))
+
+    def encode(self, raws: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of A and of B for each text; none where the text is empty or not given back by both."""
+        if len(self.words) > CACHE_WORDS:
+            self._clear()
+        number, counts, which, own = self.words.__getitem__, [], [], {}
+        for k, raw in enumerate(raws):
+            try:
+                text = raw.decode()
+            except UnicodeDecodeError:   # no token of B gives such bytes back
+                text = ""
+            words = text.split(" ") if text and self.apart and not _loose(text) else []
+            counts.append(len(words))
+            which.extend(map(number, words))
+            if text and not words:
+                a, b = self.a.encode(" " + text), self.b.encode(text)
+                own[k] = (a, b) if self._true(raw, a, b) else ([], [])
+        if self.words.new:
+            self._learn()
+        which, stop = np.array(which, np.int64), np.cumsum(counts, dtype=np.int64)
+        bad = np.concatenate(([0], np.cumsum(~self.good[which])))
+        both = [table.gather(which) for table in (self.a_ids, self.b_ids)]
+        at = [np.concatenate(([0], np.cumsum(size))) for _, size in both]
+        none = np.zeros(0, np.int64)
+        for k, (j, n) in enumerate(zip(stop.tolist(), counts)):
+            if k in own:
+                yield tuple(np.array(x, np.int64) for x in own[k])
+            elif not n or bad[j] != bad[j - n]:
+                yield none, none
+            else:
+                yield tuple(flat[edge[j - n]:edge[j]].astype(np.int64) for (flat, _), edge in zip(both, at))
+
+
+def _loose(text: str) -> bool:
+    """Whether white space stands at an edge of the text or of a word, or is not of ASCII."""
+    return (text[0] in _ASCII_SPACE or text[-1] in _ASCII_SPACE or any(p in text for p in _LOOSE_SPACE)
+            or not text.isascii() and bool(_OTHER_SPACE.search(text)))
+
+
 @functools.cache
 def _tokenizers(a_path: str, b_path: str) -> SimpleNamespace:
-    """Both tokenizers and the byte lengths of their tokens, once a Python worker."""
+    """Both tokenizers, the byte lengths of their tokens and the word tables, once a Python worker."""
     a, b = ByteTokenizer(a_path), PieceTokenizer(b_path)
-    sizes = [np.array([len(t) for t in x.bytes], np.int64) for x in (a, b)]
-    width = "<u2" if max(map(len, sizes)) <= 1 << 16 else "<u4"
-    return SimpleNamespace(a=a, b=b, a_size=sizes[0], b_size=sizes[1], width=width)
+    width = "<u2" if max(len(a.sizes), len(b.sizes)) <= 1 << 16 else "<u4"
+    return SimpleNamespace(words=Words(a, b), a_size=a.sizes, b_size=b.sizes, width=width)
 
 
 def diagonal(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -110,16 +205,16 @@ def diagonal(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
     return low
 
 
-def _pieces(key: int, doc_id: int | None, a: np.ndarray, b: np.ndarray, tools: SimpleNamespace) -> Iterator[tuple]:
+def _pieces(key: int, doc_id: int | None, a: np.ndarray, b: np.ndarray, tools: SimpleNamespace, size: int) -> Iterator[tuple]:
     """Rows of a document's pieces."""
     steps = len(a) + len(b)
-    n = max(1, -(-steps // PIECE))
+    n = max(1, -(-steps // size))
     if n == 1:
         yield (key, 0, 1, doc_id, len(a), len(b), len(a), len(b), 0, 0, a.astype(tools.width).tobytes(),
                b.astype(tools.width).tobytes())
         return
     a_end, b_end = np.cumsum(tools.a_size[a]), np.cumsum(tools.b_size[b])
-    d = np.minimum(np.arange(n + 1) * PIECE, steps)
+    d = np.minimum(np.arange(n + 1) * size, steps)
     at_a = diagonal(a_end, b_end, d)
     at_b = d - at_a
     a_from, b_from = np.concatenate(([0], a_end)), np.concatenate(([0], b_end))
@@ -128,23 +223,17 @@ def _pieces(key: int, doc_id: int | None, a: np.ndarray, b: np.ndarray, tools: S
                a[i:i2 + 1].astype(tools.width).tobytes(), b[j:j2 + 1].astype(tools.width).tobytes())
 
 
-def cut(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces of all documents. A document without tokens (text null, empty, no valid UTF-8, or bytes of its
+def cut(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text",
+        size: int = PIECE) -> DataFrame:
+    """Pieces of all documents, ``size`` steps each. A document without tokens (text null, empty, no valid UTF-8, or bytes of its
     tokens that differ from space + text) has one piece without steps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools, key = _tokenizers(a_path, b_path), TaskContext.get().partitionId() << 33
-        a_bytes, b_bytes = tools.a.bytes.__getitem__, tools.b.bytes.__getitem__
         for batch in slices(batches, "text", SLICE_BYTES):
-            raws = [r or b"" for r in batch.column(1).to_pylist()]
-            texts = [r.decode(errors="replace") for r in raws]
             rows = []
-            for doc_id, raw, text, b in zip(batch.column(0).to_pylist(), raws, texts, tools.b.encode(texts)):
-                a = tools.a.encode(" " + text) if raw else []
-                want = b" " + raw
-                if not raw or b"".join(map(a_bytes, a)) != want or b"".join(map(b_bytes, b)) != want:
-                    a, b = [], []
-                rows += _pieces(key, doc_id, np.array(a, np.int64), np.array(b, np.int64), tools)
+            for doc_id, (a, b) in zip(batch.column(0).to_pylist(), tools.words.encode([r or b"" for r in batch.column(1).to_pylist()])):
+                rows += _pieces(key, doc_id, a, b, tools, size)
                 key += 1
             yield _batch(rows, _PIECES_ARROW)
 
@@ -247,13 +336,13 @@ def _digits(n: int) -> tuple[np.ndarray, np.ndarray]:
     return rows, lengths
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of about ``BLOCK_STEPS`` steps."""
+def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``size`` steps."""
     for batch in batches:
         if not batch.num_rows:
             continue
         steps = batch.column("a_steps").to_numpy() + batch.column("b_steps").to_numpy()
-        part = (np.cumsum(steps) - 1) // BLOCK_STEPS
+        part = (np.cumsum(steps) - 1) // size
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for i, j in zip(cuts, cuts[1:]):
             yield batch.slice(i, j - i)
@@ -272,20 +361,20 @@ def _pairs(codes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([pa.array(codes >> 32), pa.array(codes & 0xFFFFFFFF), pa.array(counts)], names=["a", "b", "n"])
 
 
-def pair_counts(pieces: DataFrame, a_path: str, b_path: str) -> DataFrame:
+def pair_counts(pieces: DataFrame, a_path: str, b_path: str, block: int = BLOCK_STEPS, most: int = TASK_PAIRS) -> DataFrame:
     """(a, b, n): how many links of the corpus hold the id pair; added up in the tasks before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = _tokenizers(a_path, b_path)
         held, size = [], 0
-        for batch in _blocks(batches):
+        for batch in _blocks(batches, block):
             m = Merge(batch, tools)
             held.append(np.unique((m.link_a << 32) | m.link_b, return_counts=True))
             size += len(held[-1][0])
-            if size > 2 * TASK_PAIRS:
+            if size > 2 * most:
                 held = [_sum_up(held)]
                 size = len(held[0][0])
-                if size > TASK_PAIRS:
+                if size > most:
                     yield _pairs(*held[0])
                     held, size = [], 0
         if held:
@@ -294,14 +383,14 @@ def pair_counts(pieces: DataFrame, a_path: str, b_path: str) -> DataFrame:
     return pieces.mapInArrow(run, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def _tables(counts: DataFrame) -> list[tuple]:
-    """The counted pairs in broadcast tables of about ``MAX_PAIRS`` pairs at most: codes, counts, whether best.
+def _tables(counts: DataFrame, most: int) -> list[tuple]:
+    """The counted pairs in broadcast tables of about ``most`` pairs at most: codes, counts, whether best.
 
-    Beyond ``MAX_PAIRS`` they are split by a hash, so that each table is about half full. Their number is
+    Beyond ``most`` they are split by a hash, so that each table is about half full. Their number is
     bounded by the vocabularies, not by the corpus."""
     spark = counts.sparkSession.sparkContext
     n = counts.count()
-    k = 1 if n <= MAX_PAIRS else -(-2 * n // MAX_PAIRS)
+    k = 1 if n <= most else -(-2 * n // most)
     share = F.pmod(F.xxhash64("a", "b"), F.lit(k).cast("long"))
     tables = []
     for r in range(k):
@@ -313,14 +402,14 @@ def _tables(counts: DataFrame) -> list[tuple]:
     return tables
 
 
-def _aligned(pieces: DataFrame, table, whole: bool, a_path: str, b_path: str) -> DataFrame:
+def _aligned(pieces: DataFrame, table, whole: bool, a_path: str, b_path: str, block: int) -> DataFrame:
     """Per piece its sums over the pairs of ``table`` and, if ``whole``, its groups and numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = _tokenizers(a_path, b_path)
         codes, counts, best = table.value
         digits, lengths = _digits(max(len(tools.a_size), len(tools.b_size)))
-        for batch in _blocks(batches):
+        for batch in _blocks(batches, block):
             m = Merge(batch, tools)
             own, where = np.unique((m.link_a << 32) | m.link_b, return_inverse=True)
             at = np.minimum(np.searchsorted(codes, own), max(len(codes) - 1, 0))
@@ -342,19 +431,19 @@ def _fragments(m: Merge, digits: np.ndarray, lengths: np.ndarray, pieces: list[i
     """Per piece: its groups, or, where the document has several pieces, the closed inner ones and the ids of
     the open first and last group (the last null where no group closes in the piece)."""
     flat, a_at, b_at = m.text(digits, lengths)
-    raw, a_at, b_at = flat.tobytes().decode("ascii"), a_at.tolist(), b_at.tolist()
+    raw = flat.tobytes().decode("ascii")
+    first = np.cumsum(m.ties + 1) - m.ties - 1
+    edges = zip(*(x.tolist() for x in (a_at[first], b_at[first], a_at[first + 1], a_at[first + m.ties], b_at[first + m.ties],
+                                       a_at[first + m.ties + 1])))
     out: list[list] = [[], [], [], [], []]
-    g = 0
-    for n, t in zip(pieces, m.ties.tolist()):
+    for n, t, (head_a, head_b, second, tail_a, tail_b, end) in zip(pieces, m.ties.tolist(), edges):
         if n == 1:
-            row = (raw[a_at[g]:a_at[g + t + 1]][:-1], None, None, None, None)
+            row = (raw[head_a:end][:-1], None, None, None, None)
         else:
-            head = (raw[a_at[g]:b_at[g]][:-1], raw[b_at[g]:a_at[g + 1]][:-1])
-            tail = (raw[a_at[g + t]:b_at[g + t]][:-1], raw[b_at[g + t]:a_at[g + t + 1]][:-1]) if t else (None, None)
-            row = (raw[a_at[g + 1]:a_at[g + t]][:-1] if t else "", *head, *tail)
+            tail = (raw[tail_a:tail_b][:-1], raw[tail_b:end][:-1]) if t else (None, None)
+            row = (raw[second:tail_a][:-1] if t else "", raw[head_a:head_b][:-1], raw[head_b:second][:-1], *tail)
         for column, value in zip(out, row):
             column.append(value)
-        g += t + 1
     return out
 
 
@@ -375,7 +464,8 @@ def _stitch(table: pa.Table) -> pa.Table:
     return pa.Table.from_pylist([out], schema=_ALIGNED_ARROW)
 
 
-def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text", size: int = PIECE,
+          block: int = BLOCK_STEPS, task_pairs: int = TASK_PAIRS, max_pairs: int = MAX_PAIRS) -> DataFrame:
     """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups.
 
     ``a_path``: byte-level BPE file for space + text; ``b_path``: sentencepiece model that adds the space itself.
@@ -386,12 +476,12 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     tokens: zeros and empty ``groups``. Repeated rows and null ids are documents of their own; other columns are
     ignored; an empty table gives no row.
     """
-    pieces = stored(cut(docs, a_path, b_path, id_col, text_col), "align-pieces")
-    counts = pair_counts(pieces, a_path, b_path)
+    pieces = stored(cut(docs, a_path, b_path, id_col, text_col, size), "align-pieces")
+    counts = pair_counts(pieces, a_path, b_path, block, task_pairs)
     highest = F.max("n").over(Window.partitionBy("b"))  # at most the vocabulary of A in a window
-    tables = _tables(stored(counts.select("a", "b", "n", (F.col("n") == highest).alias("best")), "align-pairs"))
+    tables = _tables(stored(counts.select("a", "b", "n", (F.col("n") == highest).alias("best")), "align-pairs"), max_pairs)
     short, long = pieces.filter("pieces = 1"), pieces.filter("pieces > 1")
-    parts = [[_aligned(p, t, i == 0, a_path, b_path) for i, t in enumerate(tables)] for p in (short, long)]
+    parts = [[_aligned(p, t, i == 0, a_path, b_path, block) for i, t in enumerate(tables)] for p in (short, long)]
     whole, broken = (reduce(DataFrame.unionByName, p) for p in parts)
     if len(tables) > 1:
         whole, broken = _added(whole), _added(broken)

@@ -51,9 +51,9 @@ def brute(texts):
             for a, b, k, g in docs]
 
 
-def result(df):
+def result(df, **bounds):
     cols = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
-    return sorted(((r.doc_id, *(r[c] for c in cols)) for r in T.align(df, A, B).collect()), key=repr)
+    return sorted(((r.doc_id, *(r[c] for c in cols)) for r in T.align(df, A, B, **bounds).collect()), key=repr)
 
 
 @pytest.fixture(scope="module")
@@ -66,13 +66,11 @@ def texts():
 
 
 @pytest.mark.parametrize("piece, block, pairs", [(1 << 14, 1 << 19, 2_000_000), (7, 40, 2_000_000), (2, 1, 60), (64, 500, 300)])
-def test_equals_two_pointers(spark, monkeypatch, texts, piece, block, pairs):
-    for name, value in (("PIECE", piece), ("BLOCK_STEPS", block), ("MAX_PAIRS", pairs), ("TASK_PAIRS", pairs)):
-        monkeypatch.setattr(T, name, value)
+def test_equals_two_pointers(spark, texts, piece, block, pairs):
     if piece < 10:
         texts = [t and t[:300] for t in texts[:20]]
     df = spark.createDataFrame([(i, t, "z", 0) for i, t in enumerate(texts)], "doc_id long, text string, key string, a int")
-    assert result(df.repartition(3)) == sorted(((i, *r) for i, r in enumerate(brute(texts))), key=repr)
+    assert result(df.repartition(3), size=piece, block=block, task_pairs=pairs, max_pairs=pairs) == sorted(((i, *r) for i, r in enumerate(brute(texts))), key=repr)
 
 
 def test_repeated_rows_null_ids_and_invalid_bytes(spark):
