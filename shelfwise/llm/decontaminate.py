@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.bytewords import join_texts, span_hashes, word_spans
-from shelfwise.llm.common import slices, stored
+from shelfwise.llm.common import free_name, slices, stored
 
 WINDOW = 10
 SEGMENT_BYTES = 4 << 20
@@ -248,7 +248,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, slop:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` without any benchmark window, columns unchanged."""
+    key, text = free_name(docs.columns, "__id"), free_name(docs.columns, "__hash")
     bad = (contamination(docs, items, window).filter("contaminated")
-           .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct())
-    return docs.join(stored(bad, "contaminated"), F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-                     & (F.xxhash64("text") == F.col("__hash")), "left_anti")
+           .select(F.col("doc_id").alias(key), F.col("text_hash").alias(text)).distinct())
+    return docs.join(stored(bad, "contaminated"), F.col("doc_id").cast("long").eqNullSafe(F.col(key))
+                     & (F.xxhash64("text") == F.col(text)), "left_anti")

@@ -31,6 +31,8 @@ SAMPLE_CHARS = 1000
 LANE = 1024
 SLICE_BYTES = 2 << 20
 UNKNOWN = "und"
+#: Phrases a letter above which a text reads as no learned language, and the letters that this takes.
+FOREIGN, LEAST = 0.8, 20
 
 
 def sample(labelled: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> dict[str, str]:
@@ -164,6 +166,16 @@ class Parser:
             out[:, k] = np.bincount(of, weights=count, minlength=len(ends))
         return out
 
+    def foreign(self, texts: list[str | None]) -> np.ndarray:
+        """Whether a text reads as no learned language: it has no letter, or it is of ``LEAST`` letters at least and
+        every language needs more than ``FOREIGN`` phrases a letter, so even pairs of its letters are unknown."""
+        codes, ends, known = self.codes([t or "" for t in texts])
+        size = np.diff(np.concatenate(([0], ends)))
+        if not self.langs:
+            return np.zeros(len(texts), bool)
+        rate = self.phrases(codes, ends).min(axis=1) / np.maximum(size, 1)
+        return (known == 0) | (known >= LEAST) & (rate > FOREIGN)
+
     def judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text; ``und`` and 0 without a letter or a learned language."""
         if not self.langs:
@@ -203,6 +215,19 @@ def identify(docs: DataFrame, parser: Parser) -> DataFrame:
                                               T.StructField(score, T.DoubleType())]))
 
 
+def recognised(docs: DataFrame, parser: Parser) -> DataFrame:
+    """The rows of ``docs`` that read as some learned language (see ``Parser.foreign``); all rows where nothing
+    was learned. A null text and a text without a letter read as none."""
+    columns = docs.columns
+    shared = docs.sparkSession.sparkContext.broadcast(parser)  # bounded by the sample's bounds
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text", SLICE_BYTES):
+            yield b.filter(pa.array(~shared.value.foreign(b.column(columns.index("text")).to_pylist())))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predict(docs: DataFrame, folds: int = 4, held: int = 2) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)``: learned from the rows whose crc32(doc_id) mod ``folds``
     is not ``held`` and whose lang is known, told for every row. held_out is false for a null id,

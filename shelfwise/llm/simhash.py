@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import stored
+from shelfwise.llm.common import free_name, stored
 from shelfwise.llm.components import connected_components
 
 SHINGLE = 3
@@ -263,20 +263,23 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     with the group's smallest doc_id (a null id only where the group has no other). Of several rows
     with that id the one with the least text hash stays; equal ones count once."""
     groups = group(docs, shingle, max_bits)
-    stay = stored(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                  .groupBy("doc_id", "root").agg(F.count(F.lit(1)).alias("n")), "simhash-stay")
-    per_id = stay.groupBy("doc_id").agg(F.sum("n").alias("n"))
-    once = per_id.filter("n = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__stay"))
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    # an id may stand in several groups: all its rows count, not only those of the group that it stays for
+    per_id = stored(groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(first).alias("stays"))
+                    .filter("stays"), "simhash-stay")
+    stay = free_name(docs.columns, "__stay")
+    own = F.col("doc_id").cast("long")
+    once = per_id.filter("n = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias(stay))
     # as many ids as documents stay: a merge join at every size, never a broadcast
-    kept = docs.join(once.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col("__stay")), "left_semi")
-    again = stored(per_id.filter("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("__stay")), "simhash-again")
+    kept = docs.join(once.hint("merge"), own.eqNullSafe(F.col(stay)), "left_semi")
+    again = stored(per_id.filter("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias(stay)), "simhash-again")
     if again.isEmpty():
         return kept
-    rows = docs.join(again, F.col("doc_id").cast("long").eqNullSafe(F.col("__stay")), "left_semi")
+    rows = docs.join(again, own.eqNullSafe(F.col(stay)), "left_semi")
     fps = rows.select(F.struct(*docs.columns).alias("row"), F.col("doc_id"), "text")
     order = F.struct(F.xxhash64("row"), F.col("row.text"))
     one = (_with_fp(fps, shingle).groupBy("doc_id", "fp").agg(F.min_by("row", order).alias("row")))
-    roots = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("i"), F.col("fp").alias("f"), "root").distinct()
+    roots = groups.filter(first).select(F.col("doc_id").alias("i"), F.col("fp").alias("f"), "root").distinct()
     picked = (one.join(roots, F.col("doc_id").cast("long").eqNullSafe(F.col("i")) & (F.col("fp") == F.col("f")))
               .groupBy("root").agg(F.min_by("row", order).alias("row")))
     return kept.unionByName(picked.select("row.*"))

@@ -74,3 +74,11 @@ def test_empty(spark):
     assert D.contamination(none, items).collect() == []
     rows = D.contamination(items.withColumnRenamed("item_id", "doc_id"), none.withColumnRenamed("doc_id", "item_id"))
     assert [(r.n_words, r.n_hit, r["items"]) for r in rows.collect()] == [(2, 0, [])]
+
+
+def test_dropping_copes_with_any_column_name(spark):
+    words = [f"w{i}" for i in range(30)]
+    docs = spark.createDataFrame([(1, " ".join(words[:20]), 0, 0), (1, "clean text", 0, 0), (2, None, 0, 0)],
+                                 "doc_id long, text string, __id int, __hash int")
+    items = spark.createDataFrame([(1, " ".join(words[3:14]))], "item_id long, text string")
+    assert sorted(map(str, (r.text for r in D.drop_contaminated(docs, items).collect()))) == ["None", "clean text"]

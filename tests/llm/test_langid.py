@@ -67,3 +67,17 @@ def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = L.predict(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
     assert np.mean([r.lang == r.lang_pred for r in got]) > 0.98
+
+
+def test_recognised_keeps_what_reads_as_a_language(spark):
+    rng = random.Random(4)
+    word = {"en": ["the", "and", "of", "thing"], "zh": ["的是不", "我一有", "大在人", "了中到"]}
+    text = lambda k, n: (" " if k == "en" else "").join(rng.choice(word[k]) for _ in range(n))
+    rows = [(i, text("en" if i % 2 else "zh", 30), "en" if i % 2 else "zh", "") for i in range(40)]
+    rows += [(100, "ничего не понятно совсем ни слова", None, ""), (101, "12 !", None, ""), (102, None, None, ""), (103, "да", None, ""),
+             (104, "thing of the thing 99 и", None, ""), (105, "的是我大不一在人有了" * 3, None, "")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id for r in L.recognised(df, L.train(df)).collect()}
+    assert got == {*range(40), 103, 104, 105}
+    unlabelled = df.selectExpr("doc_id", "text", "cast(null AS string) AS lang", "lang_pred")
+    assert L.recognised(unlabelled, L.train(unlabelled)).count() == len(rows)

@@ -119,3 +119,13 @@ def test_keep_one(spark):
     got = S.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted(map(repr, ((r.text, r.doc_id) for r in got))) == sorted(
         map(repr, [("a b c d", 1), ("p q r s t", 9), ("alone here now", None), ("other words entirely", 12)]))
+
+
+def test_keep_one_counts_an_id_in_all_its_groups(spark):
+    rows = [("a b c d", 3, "", ""), ("a b c d", 5, "", ""), ("p q r s t", 5, "", ""), ("p q r s t", 8, "", ""), ("k l m n", 7, "", "")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    taken = df.selectExpr("*", "1 AS __stay", "2 AS __stay_", "text AS row", "3 AS n", "4 AS stays")
+    for docs in (df, taken):
+        got = S.keep_one(docs)
+        assert got.columns == docs.columns
+        assert sorted((r.text, r.doc_id) for r in got.collect()) == [("a b c d", 3), ("k l m n", 7), ("p q r s t", 5)]
