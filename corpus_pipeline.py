@@ -15,9 +15,9 @@ from shelfwise.llm.common import stored, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which the language operator finds no language (null text, no letter) go."""
-    told = langid.identify(docs, langid.train(docs.select("doc_id", "text", "lang")))
-    return told.filter(F.col(told.columns[-2]) != langid.UNKNOWN).select(*docs.columns)
+    """Documents that read as none of the learned languages go (null text, no letter, letters that are unknown even
+    in pairs); where no row names a language, nothing can be learned and all stay."""
+    return langid.recognised(docs, langid.train(docs.select("doc_id", "text", "lang")))
 
 
 def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
