@@ -1,12 +1,14 @@
 """Main text of web pages by equivalence-class template deduction.
 
-Tokens of a page are its elements by path (``html/body/div.ad``). A token's occurrence vector is its number of
-occurrences in each page of the host; tokens with the same vector form an equivalence class. A class that
-occurs in at least half of the host's pages is valid if its elements stand inside elements of valid classes: so
-classes nest, from the class of the root down, into the host's template. Its slots are the places between
-template elements; the main slot is that of the template's main element, or of an article element with most of
-its text; without one, the innermost slot that holds nearly all text. A page's text is what its main slot holds, without the parts that are no article
-(menus, forms, adverts, comments and so on).
+Tokens of a page are its elements by path (``html/body/div.ad``) and its blocks of words by path. A token's
+occurrence vector is its number of occurrences in each page of the host; tokens with the same vector form an
+equivalence class. A class that occurs in at least half of the host's pages is valid if its elements stand inside elements
+of valid classes: so classes nest, from the class of the root down, into the host's template. Words belong to the
+template if they share the class of a template element, in (nearly) all pages and in no article element: such a line says the same wherever it
+stands, so it is a header, a notice or the like and goes, whatever its element is called. Slots are the places
+between template elements; the main slot is that of the template's main element, or of an article element with most
+of its text; without one, the innermost slot that holds nearly all text. A page's text is what differs in its main slot,
+without the parts that are no article (menus, forms, adverts, comments and so on).
 
 Vectors are compared through an order-free 64-bit digest, so a host's pages never meet in one task, however
 many there are: what is gathered per host is one row a path.
@@ -28,8 +30,11 @@ from shelfwise.llm.urlfilter import split_url
 SLICE_BYTES = 4 << 20
 #: Share of a slot's text that a slot in it must hold to be taken instead.
 NEARLY = 0.95
+#: Share of a host's pages, and pages, that words of the template must stand in.
+REPEATED, LEAST_PAGES = 0.9, 3
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|</?[a-zA-Z](?:"[^"]*"|'[^']*'|[^>"'])*(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)""", re.S)
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+ARTICLE = re.compile(r"/article[./\n]")
 CUES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 #: Elements by what they do (fixed values): their text is no article; it is raw; they hold others; they are
 #: empty; they end a block.
@@ -167,9 +172,16 @@ def _inside(chars: dict[str, int]) -> dict[str, int]:
     return out
 
 
+def words_token(path: str, words: str) -> str:
+    """Token of a block of words: its path and a 64-bit hash."""
+    from xxhash import xxh64_hexdigest
+
+    return f"{path}\n{xxh64_hexdigest(words.encode(errors='surrogatepass'))}"
+
+
 def _tokens(pages: DataFrame) -> DataFrame:
-    """Per host and path, partly summed: pages, digest of the occurrence vector, article characters directly in the
-    path, and with those beneath it."""
+    """Per host and token (element or words, by path), partly summed: pages, digest of the occurrence vector, article
+    characters directly in the path or words, and, for elements, with those beneath them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest as xxh
@@ -183,12 +195,17 @@ def _tokens(pages: DataFrame) -> DataFrame:
                     if good:
                         size[path] = size.get(path, 0) + len(words)
                 inside = _inside({path: size.get(path, 0) for path in counts})
+                for path, good, words in text:
+                    if good:
+                        token = words_token(path, words)
+                        counts[token] = counts.get(token, 0) + 1
+                        size[token] = size.get(token, 0) + len(words)
                 for path, n in counts.items():
                     row = found.setdefault((host, path), [0, 0, 0, 0])
                     row[0] += 1
                     row[1] ^= xxh(f"{i}:{n}")
                     row[2] += size.get(path, 0)
-                    row[3] += inside[path]
+                    row[3] += inside.get(path, 0)
             rows = [(*k, n, d - (1 << 64) if d >> 63 else d, c, a) for k, (n, d, c, a) in found.items()]
             yield pa.record_batch([pa.array(list(c), t) for c, t in zip(
                 zip(*rows), (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))],
@@ -232,13 +249,27 @@ def main_slot(paths: list[dict]) -> tuple[list[str], str]:
     return sorted(valid), main
 
 
+def template_words(rows: list[dict], valid: list[str]) -> list[str]:
+    """Tokens of the words that belong to a host's template, from rows of its tokens and its template paths: those in
+    the class of a template element and in nearly all pages, but not in an article element. None, if they make up most of the host's
+    text: then its pages are copies of each other, and the words are no template's."""
+    root = next((r for r in rows if r["path"] == ""), None)
+    if root is None or root["n"] < LEAST_PAGES:
+        return []
+    known = set(valid)
+    classes = {(r["n"], r["digest"]) for r in rows if r["path"] in known}
+    found = [r for r in rows if "\n" in r["path"] and r["n"] >= REPEATED * root["n"] and (r["n"], r["digest"]) in classes
+             and not ARTICLE.search(r["path"])]
+    return [r["path"] for r in found] if 2 * sum(r["chars"] for r in found) <= root["inside"] else []
+
+
 def _good(part: str) -> bool:
     return part.split(".")[0] not in NO_ARTICLE  # what words mark is known for each page: it adds no characters
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """``(host, main)`` from ``(page, host, html)``. Only paths in at least half of a host's pages are gathered:
-    no more than twice an average page has."""
+    """``(host, main, words)`` from ``(page, host, html)``. Only tokens in at least half of a host's pages are
+    gathered: no more than twice an average page has."""
     sums = _tokens(pages).groupBy("host", "path").agg(F.sum("n").alias("n"), F.bit_xor("digest").alias("digest"),
                                                      F.sum("chars").alias("chars"), F.sum("inside").alias("inside"))
     sums = stored(sums, "page-tokens")
@@ -248,15 +279,22 @@ def templates(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            main = [main_slot(p)[1] for p in b.column(1).to_pylist()]
-            yield pa.record_batch([b.column(0), pa.array(main, pa.string())], names=["host", "main"])
+            tokens = b.column(1).to_pylist()
+            found = [main_slot([r for r in t if "\n" not in r["path"]]) for t in tokens]
+            yield pa.record_batch([b.column(0), pa.array([m for _, m in found], pa.string()),
+                                   pa.array([template_words(t, v) for t, (v, _) in zip(tokens, found)], pa.list_(pa.string()))],
+                                  names=["host", "main", "words"])
 
-    return stored(rows.mapInArrow(run, "host string, main string"), "page-templates")
+    return stored(rows.mapInArrow(run, "host string, main string, words array<string>"), "page-templates")
 
 
-def article(page: str | None, main: str | None) -> str:
-    """The page's text in the slot ``main``; if it has no such part, in its own best slot."""
+def article(page: str | None, main: str | None, repeated: list[str] | None = None) -> str:
+    """The page's text in the slot ``main``; if it has no such part, in its own best slot. Words whose token is in
+    ``repeated`` are the template's and go."""
     counts, text = parse(page)
+    if repeated:
+        drop = set(repeated)
+        text = [t for t in text if words_token(t[0], t[2]) not in drop]
     if main is None or main not in counts:
         own = {}
         for path, good, words in text:
@@ -271,7 +309,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Character references are decoded, white space inside a block becomes one space, blocks are joined by
     a newline in page order. A null html is empty and gives an empty text; a null url belongs to the host
-    ``''``; very long pages are read whole; repeated rows and null ids each keep their row; an empty table gives
+    ``''``; words that are a host's template go from every page of it; very long pages are read whole; repeated rows and null ids each keep their row; an empty table gives
     an empty result; other columns are ignored.
     """
     rows = pages.select(F.col("page_id").cast("long"), "url", split_url()[0], "html")
@@ -279,9 +317,9 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "html", SLICE_BYTES):
-            texts = [article(h, m) for h, m in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            texts = [article(*x) for x in zip(*(b.column(k).to_pylist() for k in (2, 3, 4)))]
             yield pa.record_batch([b.column(0), b.column(1), pa.array(texts, pa.string()),
                                    pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    told = rows.join(found, "host", "left").select("page_id", "url", "html", "main")
+    told = rows.join(found, "host", "left").select("page_id", "url", "html", "main", "words")
     return told.mapInArrow(run, "page_id long, url string, text string, n_chars long")

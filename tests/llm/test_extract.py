@@ -72,3 +72,56 @@ def test_cue_words_by_element():
          "<table><tr class=ad><td>1<td>2<tr><td>f</table>z</article>", f"{long}\na\nb\nf\nz"),
     ]:
         assert X.article(page, None) == want
+
+
+LINES = ("<html><body><div>The Daily Example, since 1901</div><div><p>%s</p><p>%s</p></div><div>Copyright by the publisher</div>"
+         "</body></html>")
+
+
+def test_repeated_lines_in_plain_elements_go(spark):
+    pages = [LINES % (f"Story number {i} " + "of many words " * (5 + i), f"It ends in its own way, {i * 7}.") for i in range(20)]
+    want = [(f"Story number {i} " + "of many words " * (5 + i)).strip() + f"\nIt ends in its own way, {i * 7}." for i in range(20)]
+    assert texts(spark, pages) == want
+    # two pages are no host's template, and a host of copies keeps its text
+    assert all("Daily" in t for t in texts(spark, pages[:2]))
+    assert set(texts(spark, [pages[0]] * 5)) == set(texts(spark, [pages[0]] * 2))
+
+
+def plain_classes(pages):
+    """Words that share their occurrence vector with an element of the template, from whole vectors."""
+    vectors = {}
+    for k, page in enumerate(pages):
+        counts, text = X.parse(page)
+        tokens = [*(p for p, n in counts.items() for _ in range(n)), *(X.words_token(p, w) for p, good, w in text if good)]
+        for t in tokens:
+            vectors.setdefault(t, [0] * len(pages))[k] += 1
+    half = {t for t, v in vectors.items() if 2 * sum(map(bool, v)) >= len(pages) and "\n" not in t}
+    valid = {t for t in half if all(t[:i] in half for i, c in enumerate(t) if c == "/")}
+    often = lambda v: sum(map(bool, v)) >= X.REPEATED * len(pages)
+    return {t for t, v in vectors.items() if "\n" in t and often(v) and any(vectors[e] == v for e in valid)}
+
+
+def test_classes_decide_against_whole_vectors(spark):
+    import random
+
+    rng = random.Random(3)
+    line = lambda n: "".join(f"<p>{rng.choice(['always', 'often', 'once more'])} {rng.randint(0, 3)}</p>" for _ in range(n))
+    pages = []
+    for i in range(12):
+        extra = "<section class=box><p>boxed line</p></section>" if i else ""
+        pages.append(f"<body><div>Same line</div><div>twice</div>{extra}<div>twice</div><article>{line(3)}<p>own text of page {i} "
+                     + "and more " * 30 + f"</p></article><p>same end</p>{'<p>rare</p>' if i % 2 else ''}</body>")
+    rows = [(i, f"http://h.org/{i}", p, "") for i, p in enumerate(pages)]
+    found = X.templates(spark.createDataFrame(rows, SCHEMA).selectExpr("page_id AS page", "'h' AS host", "html")).first()
+    assert set(found.words) == plain_classes(pages)
+    assert {"/body/section.box\n"} <= {w[:-16] for w in found.words} and len(found.words) >= 3
+    # without the classes (vectors that equal no other) the lines would stay
+    tokens = [{"path": w, "n": 12, "digest": k, "chars": 9} for k, w in enumerate(found.words)]
+    root = {"path": "", "n": 12, "digest": -1, "chars": 0, "inside": 10**6}
+    assert X.template_words([root, *tokens], [""]) == []
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "http://h.org/1", "<p>a</p>", "x", "y", "z", 1)],
+                               "page_id long, url string, html string, host string, main string, words string, page int")
+    assert [tuple(r) for r in X.extract(df).collect()] == [(1, "http://h.org/1", "a", 1)]
