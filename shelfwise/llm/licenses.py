@@ -1,9 +1,12 @@
 """License scan by conditional compression.
 
 Blocks are runs of words around a cue word, over line ends: every word that a notice holding the cue could have.
-A notice is a stretch of a block that is a template but for few words replaced, left out or put in; which they
-are is found exactly and returned. Blocks are compressed alone and with a template as a raw zstandard
-dictionary: the share saved is the notice's score, and where no notice is, the template that saves most is named.
+Each block is compressed alone and with each template as a raw zstandard dictionary, and the templates are ranked by the
+bytes they save. In that order they are confirmed: a notice is a stretch of the block that is the template but
+for few words replaced, left out or put in, and which they are is found exactly and returned. A template that saves
+nothing ends the search, for a notice of it would repeat most of its words. Of notices that overlap, the one whose
+words the template compresses most stays. Where no notice is, the template that saves most is named, with its
+differences, as unconfirmed.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ import functools
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -62,21 +65,48 @@ for _name, _kind in (("SA", "ShareAlike"), ("ND", "NoDerivatives"), ("NC-SA", "N
                      ("NC-ND", "NonCommercial-NoDerivatives")):
     TEMPLATES[f"CC-BY-{_name}-4.0"] = [f"Licensed under CC BY-{_name} 4.0.", "This work is licensed under a Creative Commons "
                                        f"Attribution-{_kind} 4.0 International License."]
+_CLAUSES = (
+    TEMPLATES["BSD"][0] + ":",
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer.",
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution.",
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission.")
+for _n in (2, 3):
+    for _clauses in (_CLAUSES[:_n + 1], [c.lstrip("123. ") for c in _CLAUSES[:_n + 1]]):
+        TEMPLATES[f"BSD-{_n}-Clause"].append(" ".join(_clauses))
+TEMPLATES |= {
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0.", "Boost Software License - Version 1.0 - August 17th, 2003"],
+    "EUPL-1.2": ["Licensed under the EUPL, Version 1.2", "Licensed under the EUPL, Version 1.2 or - as soon they will be approved by "
+                 "the European Commission - subsequent versions of the EUPL"],
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+                "This program and the accompanying materials are made available under the terms of the Eclipse Public License v. 2.0 "
+                "which is available at"],
+    "Zlib": ["This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+             "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+             "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+             "following restrictions:"],
+}
 for _name in TEMPLATES:
     if _name != "BSD":
-        TEMPLATES[_name].append(f"SPDX-License-Identifier: {_name}")
+        TEMPLATES[_name] += [f"SPDX-License-Identifier: {_name}", f"Licensed under {_name}."]
+#: Words that join the names of licenses in one notice.
+JOINING = frozenset("or and".split())
 CUE = (r"(?i)licen[sc]|copyright|permission\W+is\W+hereby|redistribut|public\W+domain|creative\W+commons|"
        r"\bcc\W+by|\bcc[ -]?0|spdx")
-#: How many of the templates that save most are looked at where none is confirmed; a template of this many words may
-#: differ in one, of twice as many in two.
-CONFIRM, PER_EDIT = 3, 5
+#: A template of this many words may differ in one, of twice as many in two.
+PER_EDIT = 5
+#: Bytes that a template must save on a block before a notice of it is looked for.
+LEAST_SAVED = 1
 SLICE_BYTES = 4 << 20
 FOUND = ("doc_id long, line long, block long, text string, license string, saved double, coverage double, "
          "missing array<string>, added array<string>, confirmed boolean")
 WORD = re.compile(r"[^\W_]+(?:\.[^\W_]+)*")
 #: Words that tell licenses apart, beside version numbers: they must be the template's, none more or less.
 TELLING = frozenset("mit apache gnu gpl lgpl agpl lesser library affero mozilla mpl bsd isc cc cc0 creative commons "
-                    "nc sa nd noncommercial sharealike noderivatives noderivs clause eclipse epl".split())
+                    "nc sa nd noncommercial sharealike noderivatives noderivs clause eclipse epl eupl boost bsl zlib unlicense".split())
 VERSION = re.compile(r"v?(\d+(?:\.\d+)*?)(?:\.0)*")
 NEVER = 1 << 20  # edits
 
@@ -116,12 +146,18 @@ def _compressors() -> tuple:
 
 
 @functools.lru_cache(maxsize=10_000)
-def saved(block: str) -> list[float]:
-    """Share of the block's compressed size that each template saves."""
+def reductions(block: str) -> tuple[int, list[int]]:
+    """The block's compressed size, and the bytes that each template saves of it as a dictionary."""
     alone, each = _compressors()
     data = block.lower().encode("utf-8", "surrogatepass")
     size = len(alone.compress(data))
-    return [(size - len(c.compress(data))) / size for c in each]
+    return size, [size - len(c.compress(data)) for c in each]
+
+
+def ranking(block: str) -> list[int]:
+    """Templates by the bytes they save on the block, most first."""
+    saves = reductions(block)[1]
+    return sorted(range(len(saves)), key=lambda k: (-saves[k], k))
 
 
 def places(want: list[str], have: list[str], most: int, strict: bool = True) -> list[tuple]:
@@ -160,43 +196,74 @@ def places(want: list[str], have: list[str], most: int, strict: bool = True) ->
     return out
 
 
-def confirmed(have: list[str]) -> list[tuple]:
-    """(start, end, template, missing, added) of all notices in ``have``, of whatever template. Of notices that
-    overlap the one with most of its template's words stays."""
+def confirmed(have: list[str], text_of: Callable[[int, int], str], least: int = LEAST_SAVED) -> list[tuple]:
+    """(saved bytes, start, end, template, missing, added) of the notices in the block ``have``, whatever their template;
+    ``text_of(start, end)`` is the text of a stretch of it. Templates are taken by their rank down to the
+    first that saves less than ``least`` bytes."""
     held, found = Counter(have), []
-    for k, (_, want, count) in enumerate(_templates()):
+    block = text_of(0, len(have))
+    saves = reductions(block)[1]
+    for k in ranking(block):
+        if saves[k] < least:
+            break
+        _, want, count = _templates()[k]
         most = len(want) // PER_EDIT
         if all(w in held for w in count if _tells(w)) and sum((count & held).values()) >= len(want) - most:  # else not there
-            found += [(len(m) - len(want), edits, a, b, k, m, x) for edits, a, b, m, x in places(want, have, most)]
-    out: list[tuple] = []
-    for _, _, a, b, k, m, x in sorted(found):
-        if all(a >= o[1] or b <= o[0] for o in out):
-            out.append((a, b, k, m, x))
+            found += [(reductions(text_of(a, b))[1][k], a, b, k, m, x) for _, a, b, m, x in places(want, have, most)]
+    return found
+
+
+def best_apart(found: Iterable[tuple], taken: bytearray) -> list[tuple]:
+    """Of notices that overlap, those that save most; ties: fewer differences, the longer, the first. ``taken`` marks the
+    words they have."""
+    out = []
+    for n in sorted(found, key=lambda n: (-n[0], len(n[4]) + len(n[5]), n[1] - n[2], n[1], n[3])):
+        if not any(taken[n[1]:n[2]]):
+            taken[n[1]:n[2]] = b"\x01" * (n[2] - n[1])
+            out.append(n)
     return out
 
 
 def _row(block: str, k: int, missing: list[str], added: list[str], sure: bool) -> tuple:
     name, want, _ = _templates()[k]
-    return name, saved(block)[k], 1 - len(missing) / len(want), missing, added, sure
+    size, saves = reductions(block)
+    return name, saves[k] / size, 1 - len(missing) / len(want), list(missing), list(added), sure
+
+
+@functools.cache
+def _names() -> list[tuple[list[str], int]]:
+    """Words of each license's short name, longest first, and its shortest template."""
+    plans = _templates()
+    short = {n: min((k for k in range(len(plans)) if plans[k][0] == n), key=lambda k: len(plans[k][1])) for n in TEMPLATES}
+    return sorted(((words(n), k) for n, k in short.items()), key=lambda x: -len(x[0]))
+
+
+def _joined(have: list[str], end: int) -> Iterator[tuple[int, int, int]]:
+    """(start, end, template) of the names that are joined by "or" or "and" to a notice that ends before ``end``."""
+    while end < len(have) and have[end] in JOINING:
+        name = next(((n, k) for n, k in _names() if have[end + 1: end + 1 + len(n)] == n), None)
+        if name is None:
+            return
+        yield end + 1, end + 1 + len(name[0]), name[1]
+        end += 1 + len(name[0])
 
 
 @functools.lru_cache(maxsize=10_000)
 def identify(block: str) -> tuple:
-    """(license, saved share, coverage, missing words, added words, confirmed) of one block: of its notice with most
-    words, else of the template, among the ``CONFIRM`` that save most, that has most of its words there."""
-    have, plans = words(block), _templates()
-    sure = confirmed(have)
+    """(license, saved share, coverage, missing words, added words, confirmed) of one block: of its best notice, else of
+    the template that saves most."""
+    spans = [m.span() for m in WORD.finditer(block)]
+    have = words(block)
+    sure = best_apart(confirmed(have, lambda a, b: block[spans[a][0]:spans[b - 1][1]] if b > a else ""), bytearray(len(have)))
     if sure:
-        _, _, k, missing, added = max(sure, key=lambda r: (len(plans[r[2]][1]) - len(r[3]), -r[0]))
+        _, _, _, k, missing, added = sure[0]
         return _row(block, k, missing, added, True)
-    share = saved(block)
-    ranked = sorted(range(len(plans)), key=lambda k: (-share[k], k))[:CONFIRM]
-    best = {k: places(plans[k][1], have, len(plans[k][1]), False)[0] for k in ranked}
-    k = max(ranked, key=lambda k: (1 - len(best[k][3]) / len(plans[k][1]), len(plans[k][1])))
-    return _row(block, k, *best[k][3:], False)
+    k = ranking(block)[0]
+    _, _, _, missing, added = places(_templates()[k][1], have, len(_templates()[k][1]), False)[0]
+    return _row(block, k, missing, added, False)
 
 
-def notices(text: str, cue: str = CUE) -> list[tuple]:
+def notices(text: str, cue: str = CUE, least: int = LEAST_SAVED) -> list[tuple]:
     """(line, block, text, license, saved, coverage, missing, added, confirmed) of a document; see ``scan``."""
     spans = [m.span() for m in WORD.finditer(text)]
     starts, have = [a for a, _ in spans], [_word(text[a:b]) for a, b in spans]
@@ -212,15 +279,19 @@ def notices(text: str, cue: str = CUE) -> list[tuple]:
     found = set()
     for lo, hi in runs:  # any ``span`` words stand whole in one window
         for at in range(lo, max(lo + 1, hi - span), span):
-            for a, b, k, m, x in confirmed(have[at:min(hi, at + 2 * span)]):
-                found.add((len(m) - len(_templates()[k][1]), len(x), at + a, at + b, k, tuple(m), tuple(x)))
+            window = lambda a, b, at=at: text[starts[at + a]:spans[at + b - 1][1]] if b > a else ""
+            for n, a, b, k, m, x in confirmed(have[at:min(hi, at + 2 * span)], window, least):
+                found.add((n, at + a, at + b, k, tuple(m), tuple(x)))
     taken, rows = bytearray(len(have)), []
-    for _, _, a, b, k, m, x in sorted(found):
-        if not any(taken[a:b]):
-            taken[a:b] = b"\x01" * (b - a)
-            if cues[bisect_left(cues, a):bisect_left(cues, b)]:
-                block = text[starts[a]:spans[b - 1][1]]
-                rows.append((bisect_left(ends, starts[a]), a, block, *_row(block, k, list(m), list(x), True)))
+    for _, a, b, k, m, x in best_apart(found, taken):
+        if cues[bisect_left(cues, a):bisect_left(cues, b)]:
+            block = text[starts[a]:spans[b - 1][1]]
+            rows.append((bisect_left(ends, starts[a]), a, block, *_row(block, k, m, x, True)))
+            for a2, b2, k2 in _joined(have, b):
+                if not any(taken[a2:b2]):
+                    taken[a2:b2] = b"\x01" * (b2 - a2)
+                    more = text[starts[a2]:spans[b2 - 1][1]]
+                    rows.append((bisect_left(ends, starts[a2]), a2, more, *_joined_row(more, k2)))
     heads, done = [], 0  # stretches of a line's other words with a cue
     for c in cues:
         if not taken[c] and c >= done:
@@ -241,13 +312,19 @@ def notices(text: str, cue: str = CUE) -> list[tuple]:
     return out
 
 
+def _joined_row(block: str, k: int) -> tuple:
+    """A license that a notice names beside another: its name is whole, so nothing is missing."""
+    size, saves = reductions(block)
+    return _templates()[k][0], saves[k] / size, 1.0, [], [], True
+
+
 def scan(docs: DataFrame, cue: str = CUE) -> DataFrame:
     """One row per notice that holds a cue word, and one per line (of a long line: per stretch of it) with a cue word
     outside of all notices: doc_id, line (where it begins), block (numbers in a line), text, license (best template),
     saved (share of the compressed size), coverage (share of its words), missing and added words, confirmed.
 
     Documents without a cue word give no row, so null, empty and clean texts give none; equal blocks each give
-    their row; ties in size go to the earlier template; repeated rows and null ids keep theirs; very long texts
+    their row; names joined to a notice by "or" or "and" are notices of their own; ties in size go to the earlier template; repeated rows and null ids keep theirs; very long texts
     and lines are read whole; an empty table gives an empty result; other columns are ignored.
     """
     told = docs.filter(F.col("text").rlike(cue)).select(F.col("doc_id").cast("long"), "text")
