@@ -20,7 +20,7 @@ from shelfwise.sources.tables import path_exists
 
 class IdMap:
     """Map stored under ``path``, a folder of new ids a load. ``group``: columns within which ids count from 1;
-    ``order``: the columns that are numbered. A load counts by its ``_SUCCESS`` mark and can be repeated."""
+    ``order``: the columns that are numbered. Keys with a NULL group get no id. A load counts by its ``_SUCCESS`` mark and can be repeated."""
 
     def __init__(self, path: str, order: Sequence[str], group: Sequence[str] = (), id_col: str = "id"):
         self.path, self.order, self.group, self.id_col = path.rstrip("/"), list(order), list(group), id_col

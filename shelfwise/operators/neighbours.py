@@ -26,7 +26,7 @@ from shelfwise.operators.recommend import SCORE_DECIMALS
 from shelfwise.sources.tables import materialize
 
 #: Terms a title takes seeds from, and documents each of their lists gives, as a multiple of k.
-SEED_TERMS, SEED_DEPTH = 3, 2
+SEED_TERMS, SEED_DEPTH = 8, 4
 #: Scores closer than this may be equal after rounding.
 MARGIN = 10.0 ** -SCORE_DECIMALS
 
