@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from shelfwise.functions import parse  # noqa: E402
+from shelfwise.functions.text import html_text  # noqa: E402
 from shelfwise.operators import clean, constraints  # noqa: E402
 from shelfwise.operators import normalize as N  # noqa: E402
 from shelfwise.operators.keys import dense_ids  # noqa: E402
@@ -318,6 +319,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "add_column": lambda spark, d: N.add_column(fx.titles_raw(spark, d), "note", "string"),
     # inputs that reach rules the plain titles do not
     "listing_links_stop": lambda spark, d: X.listing_links(fx.listing_pages(spark, d)),
+    "nested_blocks": lambda spark, d: X.rows_of_page(fx.nested_pages(spark, d), "div", "spaceit_pad").select(
+        "page_id", "pos", html_text("block").alias("text")),
+    "nested_fields": lambda spark, d: fx.nested_pages(spark, d).select(
+        "page_id", X.first_text("html", "div", attrs={"id": "w"}).alias("first"), X.joined_matches("html", "li").alias("joined")),
+    "links_by_class": lambda spark, d: X.links_of_page(fx.nested_pages(spark, d), cls="hover"),
+    "nested_listing_links": lambda spark, d: X.listing_links(fx.nested_pages(spark, d)),
     "check_length_long": lambda spark, d: constraints.check_length(
         fx.long_names(spark, d), "name", constraints.STUDIO_NAME_MAX),
     "check_primary_key_null": lambda spark, d: constraints.check_primary_key(

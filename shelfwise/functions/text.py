@@ -6,6 +6,7 @@ import functools
 import glob
 import os
 import zipfile
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -41,16 +42,24 @@ def _entity_text(e: Column) -> Column:
             .when(valid, char).otherwise(F.lit("\ufffd")))
 
 
-def decode_entities(c) -> Column:
-    """Character references decoded in one pass from left to right, so that what
-    one of them decodes to is not read as another (``&amp;lt;`` gives ``&lt;``)."""
-    t = _c(c)
-    found = F.transform(F.regexp_extract_all(t, F.lit(ENTITY_PATTERN), 0), _entity_text)
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _decoded(t: Column) -> Column:
+    found = F.transform(F.regexp_extract_all(t, F.lit(ENTITY_PATTERN), 0), lambda e: let(e, _entity_text))
     between = F.split(t, ENTITY_PATTERN, -1)
     joined = F.array_join(F.zip_with(between, found, lambda b, e: F.concat(b, F.coalesce(e, F.lit("")))), "")
     return F.when(t.contains("&"), joined).otherwise(t)
 
 
+def decode_entities(c) -> Column:
+    """Character references decoded in one pass from left to right, so that what
+    one of them decodes to is not read as another (``&amp;lt;`` gives ``&lt;``)."""
+    return let(_c(c), _decoded)
+
+
 def html_text(c) -> Column:
     """Visible text of an HTML fragment: tags removed, character references
     decoded, edges stripped (no-break spaces too)."""

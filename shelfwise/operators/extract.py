@@ -12,13 +12,13 @@ aggregates: one shuffle, combined map-side.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions import parse
-from shelfwise.functions.text import html_text, strip_ws
+from shelfwise.functions.text import html_text, let, strip_ws
 
 # --- fixed values that must equal the reference's -----------------------
 # Crawl 1: text after a label (first block containing it) and digits-only fields.
@@ -36,46 +36,108 @@ COMMA_INT_FIELDS = ("episodes", "ranking", "popularity", "favorites", "members")
 MISSING_TEXT = "N/A"
 # -------------------------------------------------------------------------
 
-# Page patterns (dot matches newlines; tags are matched lazily).
-BLOCK_PATTERN = r"(?s)<li[^>]*>(.*?)</li>"
-LINK_PATTERN = r"<a[^>]*href=\"([^\"]*)\""
-LINK_TEXT_PATTERN = r"(?s)<a[^>]*>(.*?)</a>"
+#: Attributes of an opening tag, quoted values whole (a ``>`` in one does not end the tag).
+_ATTRS = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
 
 
-def element_pattern(tag: str, cls: str | None = None, attrs: dict[str, str] | None = None) -> str:
-    """Pattern of a ``<tag>`` element whose class list holds every name in ``cls``
-    (blank-separated) and whose attributes equal ``attrs``, in any order and with
-    either kind of quotes; group 1 is its content, up to the first ``</tag>``."""
-    need = "".join(rf"(?=[^>]*\sclass\s*=\s*(?:\"(?:[^\"]*\s)?{re.escape(name)}[\s\"]|'(?:[^']*\s)?{re.escape(name)}[\s']))"
+def _needs(cls: str | None, attrs: dict[str, str] | None) -> str:
+    """Look-aheads into an opening tag: every class name in ``cls``, attributes equal to ``attrs``."""
+    need = "".join(rf"(?=[^>]*\sclass\s*=\s*(?:\"(?:[^\"]*\s)?{re.escape(name)}[\s\"]|'(?:[^']*\s)?{re.escape(name)}[\s']|{re.escape(name)}[\s>]))"
                    for name in (cls or "").split())
-    need += "".join(rf"(?=[^>]*\s{re.escape(name)}\s*=\s*(?:\"{re.escape(value)}\"|'{re.escape(value)}'))"
-                    for name, value in (attrs or {}).items())
-    return rf"(?s)<{tag}(?=[\s>]){need}[^>]*>(.*?)</{tag}>"
+    return need + "".join(rf"(?=[^>]*\s{re.escape(name)}\s*=\s*(?:\"{re.escape(value)}\"|'{re.escape(value)}'))"
+                          for name, value in (attrs or {}).items())
+
+
+def open_tag_pattern(tag: str, cls: str | None = None, attrs: dict[str, str] | None = None) -> str:
+    """Pattern of the opening tag of a ``<tag>`` element whose class list holds every name in ``cls``
+    (blank-separated) and whose attributes equal ``attrs``, in any order and with either kind of quotes."""
+    return rf"(?s)<{tag}(?=[\s>]){_needs(cls, attrs)}[^>]*>"
+
+
+def element_pattern(tag: str, cls: str | None = None, attrs: dict[str, str] | None = None) -> str:
+    """Pattern of such an element; group 1 is its content, up to the first ``</tag>`` (for elements that hold
+    none of their like)."""
+    return rf"{open_tag_pattern(tag, cls, attrs)}(.*?)</{tag}\s*>"
+
+
+def _tag_pattern(tag: str) -> str:
+    """Pattern of the opening and closing tags of ``<tag>`` elements."""
+    return rf"(?s)<{tag}(?=[\s>]){_ATTRS}>|</{tag}\s*>"
+
+
+def _depths(tags: Column) -> Column:
+    """How many of the elements are open after each tag."""
+    step = F.transform(tags, lambda t: F.when(t.startswith("</"), F.lit(-1)).otherwise(F.lit(1)))
+    none = F.array().cast("array<int>")
+    return F.aggregate(step, none, lambda acc, x: F.concat(acc, F.array(x + F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)))))
+
+
+def _content(tags: Column, texts: Column, depths: Column, i: Column) -> Column:
+    """What stands between the i-th tag (from 1), an opening one, and the tag that closes it, or the end."""
+    rest = F.array_position(F.slice(depths, i + 1, F.size(depths)), F.element_at(depths, i) - 1)
+    n = F.when(rest > 0, rest.cast("int")).otherwise(F.size(tags) - i + 1)       # texts inside
+    inner = F.zip_with(F.slice(texts, i + 1, n), F.slice(tags, i + 1, F.greatest(n - 1, F.lit(0))),
+                       lambda t, g: F.concat(t, F.coalesce(g, F.lit(""))))
+    return F.array_join(inner, "")
 
 
-def rows_of_page(pages: DataFrame, block_pattern: str = BLOCK_PATTERN, id_col: str = "page_id") -> DataFrame:
+def _deep(col: Column, tags: Column, tag: str, cls: str | None, attrs: dict[str, str] | None) -> Column:
+    """Contents of the elements of a text in which elements may stand inside their like."""
+    wanted = open_tag_pattern(tag, cls, attrs)
+    places = F.filter(F.sequence(F.lit(1), F.size(tags)), lambda i: F.element_at(tags, i).rlike(wanted))
+    return let(F.struct(F.split(col, _tag_pattern(tag), -1).alias("texts"), _depths(tags).alias("depths")),
+               lambda x: F.transform(places, lambda i: _content(tags, x["texts"], x["depths"], i)))
+
+
+def _by_tags(col: Column, tag: str, deep: Callable[[Column], Column], flat: Column) -> Column:
+    """``deep`` of the tags where an opening one follows another or ends the text, else ``flat``."""
+    def choose(tags: Column) -> Column:
+        kinds = F.array_join(F.transform(tags, lambda t: F.when(t.startswith("</"), F.lit("c")).otherwise(F.lit("o"))), "")
+        return F.when(kinds.rlike("oo|o$"), deep(tags)).otherwise(flat)
+
+    return let(F.regexp_extract_all(col, F.lit(_tag_pattern(tag)), 0), choose)
+
+
+def elements(c: Column | str, tag: str, cls: str | None = None, attrs: dict[str, str] | None = None) -> Column:
+    """The contents of all ``<tag>`` elements (of class ``cls``, with attributes ``attrs``) in the order of their
+    opening tags, each up to the tag that closes it: elements of the same name inside it belong to it, and are elements
+    of their own where they match. Texts in which no element stands inside its like are read by one pattern."""
+    col = F.col(c) if isinstance(c, str) else c
+    flat = F.regexp_extract_all(col, F.lit(element_pattern(tag, cls, attrs)), 1)
+    return _by_tags(col, tag, lambda tags: _deep(col, tags, tag, cls, attrs), flat)
+
+
+def attribute(opening: Column, name: str) -> Column:
+    """Value of an attribute of an opening tag, in either quotes or none; NULL if it has none of that name."""
+    pattern = rf"(?si)\s{re.escape(name)}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+    parts = [F.regexp_extract(opening, pattern, g) for g in (1, 2, 3)]
+    return F.when(opening.rlike(pattern), F.concat(*parts))
+
+
+def rows_of_page(pages: DataFrame, tag: str = "li", cls: str | None = None, attrs: dict[str, str] | None = None,
+                 id_col: str = "page_id") -> DataFrame:
     """One row per repeated block of a listing page: (page_id, pos, block)."""
-    return pages.select(id_col, F.posexplode(F.regexp_extract_all("html", F.lit(block_pattern), 1))
-                        .alias("pos", "block"))
+    return pages.select(id_col, F.posexplode(elements("html", tag, cls, attrs)).alias("pos", "block"))
 
 
-def links_of_page(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
-    """Every link target of a page, in page order: (page_id, pos, href)."""
-    return pages.select(id_col, F.posexplode(F.regexp_extract_all("html", F.lit(LINK_PATTERN), 1))
-                        .alias("pos", "href"))
+def _links(c: Column, cls: str | None = None) -> Column:
+    """Link targets of a text in order, of ``<a>`` elements of class ``cls`` that have one."""
+    opening = F.regexp_extract_all(c, F.lit(rf"(?s)<a(?=[\s>]){_needs(cls, None)}{_ATTRS}>"), 0)
+    return F.filter(F.transform(opening, lambda t: attribute(t, "href")), lambda h: h.isNotNull())
 
 
-ROW_LINK_PATTERN = r"<a[^>]*href=\"([^\"]*)\""
+def links_of_page(pages: DataFrame, id_col: str = "page_id", cls: str | None = None) -> DataFrame:
+    """Every link target of a page (of class ``cls``), in page order: (page_id, pos, href)."""
+    return pages.select(id_col, F.posexplode(_links(F.col("html"), cls)).alias("pos", "href"))
 
 
-def listing_links(pages: DataFrame, block_pattern: str = BLOCK_PATTERN, id_col: str = "page_id") -> DataFrame:
+def listing_links(pages: DataFrame, tag: str = "li", id_col: str = "page_id", row_cls: str | None = None,
+                  link_cls: str | None = None) -> DataFrame:
     """X1 + X2 (second crawler's rule): the link of each listing row, in page
     order; the first row without a link ends that page (links already taken
     stay). Evaluated on the page's own row with array functions - no shuffle:
     (page_id, pos, href)."""
-    blocks = F.regexp_extract_all("html", F.lit(block_pattern), 1)
-    hrefs = F.transform(blocks, lambda b: F.when(b.rlike(ROW_LINK_PATTERN),
-                                                 F.regexp_extract(b, ROW_LINK_PATTERN, 1)))
+    hrefs = F.transform(elements("html", tag, row_cls), lambda b: F.try_element_at(_links(b, link_cls), F.lit(1)))
     stop = F.array_position(F.transform(hrefs, lambda h: h.isNull()), F.lit(True))   # 1-based, 0 = none
     kept = F.when(stop == 0, hrefs).otherwise(F.slice(hrefs, 1, stop - 1))
     return pages.select(id_col, F.posexplode(kept).alias("pos", "href"))
@@ -87,18 +149,16 @@ def first_text(c: Column | str, tag: str, missing: str | None = None, cls: str |
     attributes ``attrs``), trimmed; no element or empty text → ``missing``
     (crawl 1 uses 'N/A', crawl 2 NULL)."""
     col = F.col(c) if isinstance(c, str) else c
-    pattern = element_pattern(tag, cls, attrs)
-    raw = F.regexp_extract(col, pattern, 1)
-    found = col.rlike(pattern)
-    txt = F.nullif(html_text(raw), F.lit(""))
-    out = F.when(found, txt)
+    first = _by_tags(col, tag, lambda tags: F.try_element_at(_deep(col, tags, tag, cls, attrs), F.lit(1)),
+                     F.regexp_extract(col, element_pattern(tag, cls, attrs), 1))
+    out = F.nullif(html_text(first), F.lit(""))
     return F.coalesce(out, F.lit(missing)) if missing is not None else out
 
 
-def joined_matches(c: Column | str, pattern: str = LINK_TEXT_PATTERN, sep: str = ", ") -> Column:
-    """The texts of every match, joined by ', ' in page order."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.array_join(F.transform(F.regexp_extract_all(col, F.lit(pattern), 1), lambda x: html_text(x)), sep)
+def joined_matches(c: Column | str, tag: str = "a", sep: str = ", ", cls: str | None = None,
+                   attrs: dict[str, str] | None = None) -> Column:
+    """The texts of every such element, joined by ', ' in page order."""
+    return F.array_join(F.transform(elements(c, tag, cls, attrs), lambda x: html_text(x)), sep)
 
 
 def page_fields(pages: DataFrame, id_col: str = "page_id") -> DataFrame:

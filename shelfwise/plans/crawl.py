@@ -46,13 +46,13 @@ def page_listing(pages: DataFrame) -> DataFrame:
         X.first_text("html", "h1", cls=NAME_CLASS).alias("title_name"),
         X.first_text("html", "div", cls=SCORE_CLASS).alias("score_text"),
         X.first_text("html", "span", cls=RANK_CLASS).alias("rank_text"),
-        F.nullif(X.joined_matches("html", X.element_pattern("span", attrs=GENRE_ATTRS)), F.lit("")).alias("genres"),
+        F.nullif(X.joined_matches("html", "span", attrs=GENRE_ATTRS), F.lit("")).alias("genres"),
         X.first_text("html", "p", attrs=SYNOPSIS_ATTRS).alias("synopsis"))
 
 
 def page_blocks(pages: DataFrame) -> DataFrame:
     """The label blocks of stored detail pages: (title_id, pos, text)."""
-    blocks = X.rows_of_page(pages, X.element_pattern("div", BLOCK_CLASS))
+    blocks = X.rows_of_page(pages, "div", BLOCK_CLASS)
     return blocks.select(F.col("page_id").alias("title_id"), "pos", html_text("block").alias("text"))
 
 

@@ -156,6 +156,17 @@ SELECT title_id, CASE WHEN title_id % 9 = 0 THEN repeat('long ', 60) || CAST(tit
 FROM {titles_raw}
 """
 
+# Pages with elements inside elements of the same name, links in all kinds of quotes and decoys.
+NESTED_PAGES_SQL = """
+SELECT title_id AS page_id, '<html><div id="w"><div class="spaceit_pad"><div>Type: <b>' || media_type || '</b></div> of '
+  || CAST(title_id AS STRING) || '</div><div class="x spaceit_pad">Status: ' || status
+  || '<div class="spaceit_pad">Rank: <div>' || CAST(ranking AS STRING) || '</div></div> end</div></div><div>out</div>'
+  || '<ul><li><a data-href="/no" class="hover t" href=&apos;/t/' || CAST(title_id AS STRING) || '&apos;>x</a><ul><li><i>inner</i>'
+  || CASE WHEN title_id % 2 = 0 THEN '<a href="/i">i</a>' ELSE '' END || '</li></ul></li><li><a class="other" href="/o">y</a>'
+  || '<a class="hover" href=/u/' || CAST(title_id AS STRING) || '>z</a></li></ul></html>' AS html
+FROM {titles_raw}
+""".replace("&apos;", "''")
+
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -209,6 +220,10 @@ def long_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _over_titles(spark, sf_dir, TITLES_LONG_SQL)
 
 
+def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _over_titles(spark, sf_dir, NESTED_PAGES_SQL)
+
+
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _over_titles(spark, sf_dir, DETAIL_PAGES_SQL)
 

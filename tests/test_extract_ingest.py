@@ -48,7 +48,7 @@ def test_page_fields(spark):
     f = {r["page_id"]: r for r in X.page_fields(pages).collect()}
     assert f[1]["heading"] == "A b" and f[1]["title"] == "T & x" and f[1]["link_texts"] == "one, two"
     assert f[2]["heading"] is None and f[2]["title"] == "N/A" and f[2]["link_texts"] == ""
-    assert rows(X.links_of_page(pages), "pos", "href") == [(0, "/x")]
+    assert rows(X.links_of_page(pages), "pos", "href") == [(0, "/x"), (1, "y")]   # either kind of quotes
 
 
 def test_insert_if_absent(spark):
@@ -238,7 +238,7 @@ def test_elements_by_class_and_attribute(spark):
         X.first_text("html", "div", "N/A", cls="score-label"),
         X.first_text("html", "div", cls="r1 fl"),
         X.first_text("html", "p", attrs={"itemprop": "description"}),
-        X.joined_matches("html", X.element_pattern("span", attrs={"itemprop": "genre"}))))
+        X.joined_matches("html", "span", attrs={"itemprop": "genre"})))
     assert got == [("8.5", "8.5", "A & B", "G1, G2"), ("N/A", None, None, ""), ("N/A", None, None, None)]
 
 
@@ -260,3 +260,63 @@ def test_pages_to_raw_rows_with_missing_parts(spark):
     assert (got[1, 1].studio, got[1, 1].synopsis, got[1, 2].studio) == ("N/A", "N/A", None)
     assert got[2, 1].title_name is None and got[3, 2].media_type is None
     assert got[2, 1].media_type == got[3, 1].studio == "N/A"
+
+
+DIV_TAGS = r"(?s)<div(?=[\s>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>|</div\s*>"
+
+
+def plain_elements(html, cls):
+    """Contents of matching divs by a stack of open ones."""
+    import re
+
+    out, stack = [], []
+    for m in re.finditer(DIV_TAGS, html):
+        if m[0].startswith("</"):
+            place = stack.pop()
+            if place is not None:
+                out[place[0]] = html[place[1]:m.start()]
+        else:
+            classes = re.search(r"\sclass\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", m[0])
+            names = " ".join(g or "" for g in classes.groups()).split() if classes else []
+            stack.append((len(out), m.end()) if cls is None or cls in names else None)
+            if stack[-1] is not None:
+                out.append(None)
+    for place in stack:
+        if place is not None:
+            out[place[0]] = html[place[1]:]
+    return out
+
+
+def closes_only_open_ones(html):
+    """No closing tag without an open element before it (browsers drop such tags, here they are not counted on)."""
+    import re
+
+    depth = 0
+    for t in re.findall(DIV_TAGS, html):
+        depth += -1 if t.startswith("</") else 1
+        if depth < 0:
+            return False
+    return True
+
+
+def test_nested_elements_against_a_stack(spark):
+    import random
+
+    rng = random.Random(4)
+    parts = ["<div>", "</div>", "<div class='k x'>", '<div id=1 class="k">', "<div class=k>", "text ", "<b>b</b>", "<divx>", "</div >"]
+    pages = ["<div class='k'>a</div>", "", "no tag", "<div class='k'>open", '<div class="spaceit_pad"><div>Type: TV</div> more</div>']
+    pages += ["".join(rng.choices(parts, k=rng.randint(1, 14))) for _ in range(200)]
+    pages = [p for p in pages if closes_only_open_ones(p)]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "page_id long, html string")
+    for cls in (None, "k"):
+        got = {r.page_id: r.e for r in df.select("page_id", X.elements("html", "div", cls).alias("e")).collect()}
+        for i, p in enumerate(pages):
+            assert got[i] == plain_elements(p, cls), p
+
+
+def test_links_by_class_and_any_quotes(spark):
+    html = ("<a data-href=\"/no\">0</a><a class='t hoverinfo' href='/one'>1</a><a href=/two class=hoverinfo>2</a>"
+            "<abbr href='/x'>x</abbr><a title=\"a > b\" href=\"/three\">3</a><a name='n'>4</a><a href=''>5</a>")
+    pages = spark.createDataFrame([(1, html), (2, None)], "page_id long, html string")
+    assert [r.href for r in X.links_of_page(pages).collect()] == ["/one", "/two", "/three", ""]
+    assert [r.href for r in X.links_of_page(pages, cls="hoverinfo").collect()] == ["/one", "/two"]
