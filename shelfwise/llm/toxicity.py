@@ -2,8 +2,8 @@
 
 Each word enters as a hashed word vector beside the scaled sum of the vectors of its hashed character
 n-grams (3 and 5 bytes, word edges included, and the word's beginnings). A window of ``WINDOW`` words runs through one recurrent layer in each direction;
-attention weighs the states, their sum gives the window's logit. Windows overlap and cover every text
-whole; a document's logit is its largest, turned into a probability by a fitted scale and offset.
+attention weighs the states, their sum gives the window's logit. A window begins at every ``STRIDE``-th word, so windows
+overlap sixfold and cover every text whole; a document's logit is its largest, turned into a probability by a fitted scale and offset.
 
 Labels are for documents, so windows are chosen while training: at first those with the most telling
 words, later those on which the network itself scores highest (one a document, and as many others of
@@ -23,7 +23,8 @@ from pyspark.sql import types as T
 from shelfwise.llm.bytewords import join_texts, span_hashes, word_spans
 from shelfwise.llm.common import bucket, free_name, slices
 
-WINDOW, STRIDE = 24, 16
+#: Words in a window, words from one scored window to the next, and from one learned window to the next.
+WINDOW, STRIDE, LEARN_STRIDE = 24, 4, 16
 #: Bounds of the labelled sample: texts of each kind (their sum is never passed), and bytes of one text.
 MAX_TOXIC, MAX_OTHER, MAX_BYTES = 1200, 2400, 8000
 WORD_ROWS, GRAM_ROWS, WORD_DIM, GRAM_DIM, HIDDEN, ATTEND = 1 << 15, 1 << 16, 8, 8, 8, 8
@@ -62,13 +63,13 @@ class Words:
             self.grams[k + np.repeat(self.gram_at + skip, size)] = h >> np.uint32(16)
             skip = skip + size
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+    def windows(self, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
         """Word numbers ``[window, WINDOW]`` (one past the last word: none), and each window's text."""
-        n = np.maximum(1, -(-(self.counts - WINDOW) // STRIDE) + 1)
+        n = np.maximum(1, -(-(self.counts - WINDOW) // stride) + 1)
         of = np.repeat(np.arange(len(n)), n)
         k = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
         first = np.cumsum(self.counts) - self.counts
-        place = (k * STRIDE)[:, None] + np.arange(WINDOW)
+        place = (k * stride)[:, None] + np.arange(WINDOW)
         word = np.append(self.word, len(self.rows))
         inside = place < self.counts[of][:, None]
         return np.where(inside, word[np.where(inside, first[of][:, None] + place, -1)], len(self.rows)), of
@@ -189,12 +190,43 @@ class Network:
         x = self.inputs(words, np.arange(len(words.rows)))
         return np.concatenate([self.forward(x, idx[s:s + CHUNK]) for s in range(0, len(idx), CHUNK)] or [np.zeros(0)])
 
+    def scored(self, x: np.ndarray, gates: dict[str, np.ndarray], idx: np.ndarray) -> np.ndarray:
+        """What ``forward`` gives, without what learning needs; ``gates``: the words' part of the gates by direction."""
+        column, n = np.ascontiguousarray(idx.T), len(idx)
+        states = np.empty((WINDOW, n, 2 * HIDDEN), np.float32)
+        for s, part, steps in (("f", slice(0, HIDDEN), range(WINDOW)), ("b", slice(HIDDEN, 2 * HIDDEN), range(WINDOW - 1, -1, -1))):
+            g, c, h = self.w[f"g{s}"], self.w[f"c{s}"], np.zeros((n, HIDDEN), np.float32)
+            for t in steps:
+                a = gates[s].take(column[t], axis=0)
+                zr = h @ g
+                zr += a[:, :2 * HIDDEN]
+                np.exp(np.negative(zr, out=zr), out=zr)
+                zr += 1
+                np.reciprocal(zr, out=zr)
+                cand = (zr[:, HIDDEN:] * h) @ c
+                cand += a[:, 2 * HIDDEN:]
+                np.tanh(cand, out=cand)
+                cand -= h
+                cand *= zr[:, :HIDDEN]
+                h = h + cand
+                states[t, :, part] = h
+        flat = states.reshape(WINDOW * n, 2 * HIDDEN)
+        tan = flat @ self.w["a"]
+        e = (np.tanh(tan, out=tan) @ self.w["v"]).reshape(WINDOW, n)
+        weight = np.exp(e - e.max(axis=0)) * (column < len(x) - 1)
+        weight /= np.maximum(weight.sum(axis=0), 1e-9)
+        return (weight * (flat @ self.w["out"]).reshape(WINDOW, n)).sum(axis=0) + self.w["bias"][0]
+
     def document_logits(self, texts: list[bytes | None]) -> np.ndarray:
         """Largest window logit of each text; a text without words has one empty window."""
+        if not len(texts):
+            return np.zeros(0)
         words = Words(texts)
         idx, of = words.windows()
-        at = np.searchsorted(of, np.arange(len(texts)))
-        return np.maximum.reduceat(self.logits(words, idx), at) if len(texts) else np.zeros(0)
+        x = self.inputs(words, np.arange(len(words.rows)))
+        gates = {s: x @ self.w[f"x{s}"] + self.w[f"o{s}"] for s in "fb"}
+        logit = np.concatenate([self.scored(x, gates, idx[k:k + CHUNK]) for k in range(0, len(idx), CHUNK)])
+        return np.maximum.reduceat(logit, np.searchsorted(of, np.arange(len(texts))))
 
     def scores(self, texts: list[bytes | None]) -> np.ndarray:
         return _sigmoid(self.scale * self.document_logits(texts).astype(float) + self.offset)
@@ -237,7 +269,7 @@ def train(texts: list[bytes | None], toxic: list[int], seed: int = 7) -> Network
         net.w["out"][:] = 0
         net.scale, net.offset = 0.0, float(np.log(y.mean() / (1 - y.mean())))
         return net
-    idx, of = words.windows()
+    idx, of = words.windows(LEARN_STRIDE)
     at = np.searchsorted(of, np.arange(len(y)))
     tell = np.append(_telling(net, words, np.repeat(np.arange(len(y)), words.counts), y), -9.0)
     score = np.sort(tell[idx], axis=1)[:, -3:].sum(axis=1)
@@ -269,7 +301,9 @@ def train(texts: list[bytes | None], toxic: list[int], seed: int = 7) -> Network
                     squares[name][rows] += (g * g).mean(axis=1)
                     getattr(net, name)[rows] -= RATE * g / np.sqrt(squares[name][rows])[:, None]
         score = net.logits(words, idx)
-    _calibrate(net, np.maximum.reduceat(score, at).astype(float), y)
+    del words, idx, of
+    logit = [net.document_logits(texts[k:k + 100]) for k in range(0, len(texts), 100)]   # a hundred at a time: this runs on the driver
+    _calibrate(net, np.concatenate(logit).astype(float), y)
     return net
 
 

@@ -100,3 +100,22 @@ def test_held_out_accuracy(spark):
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
     got = X.predict(docs, labels).join(labels, "doc_id").filter("held_out").collect()
     assert np.mean([r.predicted == r.toxic for r in got]) > 0.95
+
+
+def test_the_lean_pass_gives_the_forward_pass():
+    rng = np.random.default_rng(4)
+    net = X.Network(3)
+    for k in ("xf", "xb", "a", "v", "out"):
+        net.w[k] = rng.standard_normal(net.w[k].shape).astype(np.float32)
+    texts = [b"", b"one", b" ".join(b"w%d" % i for i in rng.integers(0, 99, 200)), None]
+    words = X.Words(texts)
+    idx, of = words.windows()
+    x = net.inputs(words, np.arange(len(words.rows)))
+    gates = {s: x @ net.w[f"x{s}"] + net.w[f"o{s}"] for s in "fb"}
+    want = net.forward(x, idx)
+    assert np.allclose(net.scored(x, gates, idx), want, atol=1e-5)
+    best = [max(want[of == k]) for k in range(len(texts))]
+    assert np.allclose(net.document_logits(texts), best, atol=1e-5)
+    # every word begins or stands near the beginning of a window
+    starts = {int(i[0]) for i in words.windows(1)[0]}
+    assert {int(i[0]) for i in idx} <= starts and len(words.windows(1)[1]) >= 4 * len(idx) - 40
