@@ -213,7 +213,7 @@ def _q_similar_titles(spark, d):
 
 def _two_loads(spark, d):
     """A star store after the first and the second load."""
-    store = StarStore(tables.shared_path(spark, "star-store"))
+    store = StarStore(tables.shared_path(spark, "star-store"), buckets=8)
     clean = tables.materialize(_clean(spark, d), "clean")
     for load, sql in enumerate((fx.CLEAN_FIRST_SQL, fx.CLEAN_SECOND_SQL)):
         store.apply(spark.sql(sql, clean=clean), load)
@@ -334,7 +334,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_ingest": lambda spark, d: incremental.stream_ingest(
         fx.titles_stored(spark, d), fx.titles_arriving(spark, d)),
     "incremental_update": lambda spark, d: upserts.stream_update(
-        fx.titles_raw(spark, d), fx.titles_updates(spark, d)),
+        fx.titles_raw(spark, d), fx.titles_updates(spark, d), buckets=8),
     # changes over several loads
     "stable_ids": _q_stable_ids,
     "incremental_star": lambda spark, d: S.star_titles(_two_loads(spark, d), by_id=True),

@@ -94,22 +94,22 @@ def _negated(sums: DataFrame) -> DataFrame:
 
 
 def start_updates(spark: SparkSession, source_dir: str, schema, target_path: str, checkpoint_location: str,
-                  guard: bool = True, available_now: bool = True, order_by: Sequence[str] = ()) -> StreamingQuery:
+                  guard: bool = True, available_now: bool = True, order_by: Sequence[str] = (), buckets: int = BUCKETS) -> StreamingQuery:
     """Stream parquet files of changed and new rows arriving in ``source_dir`` into ``target_path``."""
     stream = spark.readStream.schema(schema).parquet(source_dir).transform(clean_stream)
-    writer = stream.writeStream.foreachBatch(MergeWriter(target_path, guard=guard, order_by=order_by)).option(
+    writer = stream.writeStream.foreachBatch(MergeWriter(target_path, guard=guard, order_by=order_by, buckets=buckets)).option(
         "checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
 
 
-def stream_update(stored_raw: DataFrame, arriving: DataFrame) -> DataFrame:
+def stream_update(stored_raw: DataFrame, arriving: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """T1-T3 for updates, end to end: the stored rows go through the triggers and are filed as the target; the
     arriving rows land as files and an available-now stream merges them; returns the target table."""
     spark = arriving.sparkSession
     work = shared_path(spark, "stream-update")
-    MergeWriter(f"{work}/target").load(impute_from_table(clean_stream(stored_raw), None))
+    MergeWriter(f"{work}/target", buckets=buckets).load(impute_from_table(clean_stream(stored_raw), None))
     arriving.write.parquet(f"{work}/source")
-    q = start_updates(spark, f"{work}/source", arriving.schema, f"{work}/target", f"{work}/checkpoint")
+    q = start_updates(spark, f"{work}/source", arriving.schema, f"{work}/target", f"{work}/checkpoint", buckets=buckets)
     q.awaitTermination()   # until all arrived rows are through; a failed batch raises here
     return spark.read.parquet(f"{work}/target").drop("bucket")
