@@ -62,7 +62,7 @@ def mart_sums(clean: DataFrame) -> DataFrame:
 
 
 def mart_changes(base: DataFrame, diff: DataFrame, key: str = "title_id") -> DataFrame:
-    """Signed sums of a differential (``op`` I, U or D and the current columns) of the table ``base``: of it only the
+    """Signed sums of a differential (``op`` I, U, D or K and the current columns) of the table ``base``: of it only the
     changed and deleted rows are looked at. Keys that cancel out are left out."""
     old = base.join(diff.filter("op <> 'I'").select(key), key, "left_semi")
     new = diff.filter("op <> 'D'").select(*base.columns)

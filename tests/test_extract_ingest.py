@@ -220,6 +220,36 @@ def test_snapshots_with_null_and_repeated_keys(spark):
         S.differential_snapshot(a.union(a), b)
 
 
+def test_differential_of_rows_that_repeat_keys(spark):
+    from shelfwise.sources import snapshots as S
+
+    schema = "title_id long, v string"
+    a = spark.createDataFrame([(None, "n"), (1, "y"), (2, "z"), (3, "p"), (4, None), (5, "s")], schema)
+    b = spark.createDataFrame([(None, "n"), (None, "m"), (1, "y"), (1, "w"), (2, "z"), (4, None), (4, None),
+                               (6, "i"), (6, "i"), (5, "t"), (5, "u")], schema)
+    diff = S.differential_snapshot(a, b)
+    changes = [(None, "U", "m"), (1, "U", "w"), (3, "D", None), (6, "I", "i"), (6, "I", "i"), (5, "U", "t"), (5, "U", "u")]
+    kept = [(None, "K", "n"), (1, "K", "y"), (4, "K", None), (4, "K", None)]
+    assert sorted(rows(diff), key=repr) == sorted(changes + kept, key=repr)
+    assert sorted(rows(S.apply_differential(a, diff)), key=repr) == sorted(rows(b), key=repr)
+
+
+def test_differential_queries_where_new_ids_meet_old_ones(spark, tmp_path):
+    """Ids + 100000 of the changed table meet ids of a part table of more than 100,000 rows."""
+    import __spark_entry__ as e
+
+    part = spark.range(100200).filter("id < 200 OR id >= 100000").selectExpr(
+        "id AS p_partkey", "'blue ring' AS p_name", "'SMALL' AS p_type", "'Brand#7' AS p_brand", "CAST(id % 50 AS INT) AS p_size",
+        "1.0D AS p_retailprice")
+    part.write.parquet(str(tmp_path / "part.parquet"))
+    d, q = str(tmp_path), e.queries()
+    changed = fx.titles_changed(spark, d)
+    assert changed.count() > changed.select("title_id").distinct().count()
+    assert sorted(rows(q["apply_differential"](spark, d)), key=repr) == sorted(rows(changed), key=repr)
+    ops = dict(rows(q["differential_snapshot"](spark, d).groupBy("op").count()))
+    assert set(ops) == {"U", "D", "I"}
+
+
 def test_character_references_are_decoded_once(spark):
     cases = [("Tom&#039;s&nbsp;x", "Tom's x"), ("&#x27;q&#X27;", "'q'"), ("&amp;lt;&lt;", "&lt;<"),
              ("caf&eacute; &#128512;", "café \U0001F600"), ("a & b &nosuch; &;", "a & b &nosuch; &;"),
