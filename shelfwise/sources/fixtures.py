@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.sources.tables import spread_rows
+
 TITLES_RAW_SQL = """
 SELECT p_partkey AS title_id,
   CASE WHEN p_partkey % 97 = 0 THEN NULL WHEN p_partkey % 89 = 0 THEN '   ' ELSE p_name || ' ' || CAST(p_partkey AS STRING) END AS title_name,
@@ -212,8 +214,13 @@ def info_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _over_titles(spark, sf_dir, INFO_BLOCKS_SQL)
 
 
+def _pages_of_titles(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """Pages are built and read by costly expressions: the parts, few bytes each and so in few splits, are spread first."""
+    return spark.sql(text, titles_raw=spark.sql(TITLES_RAW_SQL, part=spread_rows(table(spark, sf_dir, "part"))))
+
+
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _over_titles(spark, sf_dir, LISTING_PAGES_SQL)
+    return _pages_of_titles(spark, sf_dir, LISTING_PAGES_SQL)
 
 
 def long_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,11 +228,11 @@ def long_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _over_titles(spark, sf_dir, NESTED_PAGES_SQL)
+    return _pages_of_titles(spark, sf_dir, NESTED_PAGES_SQL)
 
 
 def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _over_titles(spark, sf_dir, DETAIL_PAGES_SQL)
+    return _pages_of_titles(spark, sf_dir, DETAIL_PAGES_SQL)
 
 
 def oracle_view(text: str, **names: str) -> str:

@@ -98,6 +98,18 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return df.repartition(partitions) if partitions else df
 
 
+#: Rows of a narrow table that one task turns into texts or pages.
+ROWS_PER_TASK = 25_000
+
+
+def spread_rows(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Spread the rows of a stored narrow table for CPU-heavy work on each: at least one task a core, and tasks that grow
+    in number, not in size. Counting a parquet table reads its footers. Rows go by the hash of all their columns,
+    so a retried task sends each to the same place."""
+    partitions = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_per_task))
+    return df.repartition(partitions, *df.columns)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and
     read it back: the lineage is cut, the input is computed once, and a lost

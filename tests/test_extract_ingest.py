@@ -292,6 +292,20 @@ def test_pages_to_raw_rows_with_missing_parts(spark):
     assert got[2, 1].media_type == got[3, 1].studio == "N/A"
 
 
+def test_pages_are_built_by_many_tasks_of_bounded_size(spark, tmp_path):
+    path = str(tmp_path / "part.parquet")
+    spark.read.parquet(f"{SF_SMALL}/part.parquet").coalesce(1).write.parquet(path)
+    part = spark.read.parquet(path)
+    assert part.rdd.getNumPartitions() == 1
+    cores = spark.sparkContext.defaultParallelism
+    for pages in (fx.nested_pages, fx.detail_pages, fx.listing_pages):
+        assert pages(spark, str(tmp_path)).rdd.getNumPartitions() == cores
+    tasks = tables.spread_rows(part, 10)     # 200 rows
+    assert tasks.rdd.getNumPartitions() == 20
+    assert sorted(rows(tasks)) == sorted(rows(part))
+    assert tables.spread_rows(part.limit(0), 10).count() == 0
+
+
 DIV_TAGS = r"(?s)<div(?=[\s>])(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>|</div\s*>"
 
 
