@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from shelfwise.functions import parse
 from shelfwise.functions.text import html_text
 from shelfwise.operators import extract as X
+from shelfwise.sources.tables import materialize
 
 RAW_COLUMNS = ("title_id", "title_name", "score", "ranking", "genres", "media_type", "studio", "premiered",
                "synopsis", "episodes", "status", "duration", "popularity", "rating", "members", "favorites")
@@ -57,8 +58,9 @@ def page_blocks(pages: DataFrame) -> DataFrame:
 
 
 def crawl_pages(pages: DataFrame) -> DataFrame:
-    """Stored detail pages to raw title rows, by both crawlers' rules."""
-    listing, blocks = page_listing(pages), page_blocks(pages)
+    """Stored detail pages to raw title rows, by both crawlers' rules (U1). The fields and blocks of a page are
+    stored, as both crawlers read them."""
+    listing, blocks = materialize(page_listing(pages), "page-listing"), materialize(page_blocks(pages), "page-blocks")
     return union_crawls(crawl1_records(listing, blocks), crawl2_records(listing, blocks))
 
 
