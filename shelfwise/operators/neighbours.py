@@ -1,15 +1,19 @@
 """The k most similar titles of every title (R8), exactly and without the N x N matrix.
 
-Vectors are unit length, so the cosine is the dot product and a part of a vector can add no more to it than its
-own norm. That gives three steps, all joins and aggregates over postings:
+Vectors are unit length, so the cosine is the dot product. Titles are dealt out into blocks by a hash, a block is one
+row of packed vectors, and every two blocks meet in a task of their own, which scores them by a matrix product:
 
-1. Seeds: a title meets the heads of the impact-ordered lists of its heaviest terms; its k-th best exact score
-   there is a floor under the k-th best of all.
-2. Prefixes: terms go from rare to common. As soon as what is left of a title's vector is shorter than its
-   floor, the rest alone reaches no result, so only the terms before that (the prefix) are looked up. Common
-   terms, which would pair nearly everything, mostly fall into the rest.
-3. Bounds: a pair found by the prefix is dropped if its partial score and the most the two rests can add stay
-   below the floor. What is left is scored exactly.
+1. Floors: a title's k-th best score within its own block is a floor under its k-th best of all.
+2. Blocks: of a title's scores with a block only those at its floor or above are looked at, and of them the k + 1
+   best leave the task; so neither the pairs nor the score matrix are ever shuffled or stored.
+
+Terms that many titles of a block have are multiplied as dense columns, the others by their lists. The work is still
+a product over all pairs of blocks: ten times the titles take a hundred times as long, in tasks of the same size.
+
+``prefixes`` and ``meeting`` tell what the floors leave for a join over postings: terms go from rare to common; as soon
+as what is left of a title's vector is shorter than its floor, the rest alone reaches no result, so only the terms
+before that (the prefix) need looking up, and a pair they find is dropped if its partial score and the most the two
+rests can add stay below the floor.
 
 Titles with the same term counts have the same vector; they are compared once, through the smallest id, and each
 group lists its k + 1 smallest ids, so a large group of copies is never paired with itself. Titles with
@@ -19,14 +23,20 @@ id, as in the one-title recommendation.
 
 from __future__ import annotations
 
+import pickle
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.operators.recommend import SCORE_DECIMALS
 from shelfwise.sources.tables import materialize
 
-#: Terms a title takes seeds from, and documents each of their lists gives, as a multiple of k.
-SEED_TERMS, SEED_DEPTH = 8, 4
+#: Titles and postings of a block: about these at most, and few enough for ``BLOCKS`` blocks, but not below ``SMALL`` titles.
+BLOCK, POSTINGS, BLOCKS, SMALL = 32_768, 400_000, 16, 2_048
+#: Titles scored against a block at once, and the share of a block from which on a term is a dense column.
+CHUNK, DENSE = 256, 1 / 64
 #: Scores closer than this may be equal after rounding.
 MARGIN = 10.0 ** -SCORE_DECIMALS
 
@@ -39,25 +49,79 @@ def copies(postings: DataFrame) -> DataFrame:
     return keyed.join(reps, "_key").select("doc_id", "rep")
 
 
-def _exact(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """(q, y, dot) over the terms of ``left``."""
-    a = left.select(F.col("doc_id").alias("q"), "term", F.col("weight").alias("_wq"))
-    b = right.select(F.col("doc_id").alias("y"), "term", F.col("weight").alias("_wy"))
-    return (pairs.select("q", "y").join(a, "q").join(b, ["y", "term"])
-            .groupBy("q", "y").agg(F.sum(F.col("_wq") * F.col("_wy")).alias("dot")))
+def _n_blocks(postings: DataFrame) -> int:
+    n, size = postings.agg(F.count_distinct("doc_id"), F.count(F.lit(1))).first()
+    return max(1, -(-n // BLOCK), -(-size // POSTINGS), min(BLOCKS, -(-n // SMALL)))
+
+
+def _packed(postings: DataFrame, n_blocks: int) -> DataFrame:
+    """(block, data): the titles of each block as one row; ``postings`` may have a ``floor`` (0: none known)."""
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("doc_id", kind="stable")
+        ids, start = np.unique(rows["doc_id"].to_numpy(), return_index=True)
+        codes, terms = pd.factorize(rows["term"])
+        floor = rows["floor"].to_numpy()[start]
+        data = (ids, np.append(start, len(rows)), codes, list(terms), rows["weight"].to_numpy(), floor)
+        return pd.DataFrame({"block": [rows["block"].iloc[0]], "data": [pickle.dumps(data)]})
+
+    floor = F.col("floor") if "floor" in postings.columns else F.lit(0.0)
+    block = F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks).cast("long")).cast("int")
+    return (postings.select("doc_id", "term", "weight", floor.alias("floor"), block.alias("block"))
+            .repartition(n_blocks, "block").groupBy("block").applyInPandas(pack, "block int, data binary"))
+
+
+def _columns(data: tuple, terms: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, number of the term in ``terms`` and weight of each posting of a block whose term is there."""
+    ids, start, codes, names, weight, _ = data
+    known = np.array([terms.get(t, -1) for t in names], dtype=np.int64)[codes]
+    row = np.repeat(np.arange(len(ids)), np.diff(start))
+    return row[known >= 0], known[known >= 0], weight[known >= 0]
+
+
+def _scores(left: tuple, right: tuple):
+    """The scores of the titles of ``left`` with all of ``right``: (first row, matrix) a chunk of ``CHUNK`` rows."""
+    n, m, terms = len(left[0]), len(right[0]), {t: i for i, t in enumerate(right[3])}
+    y, ty, wy = _columns(right, terms)
+    x, tx, wx = _columns(left, terms)
+    count = np.bincount(ty, minlength=len(terms))
+    common = count > m * DENSE
+    column = np.cumsum(common) - 1
+    dense = np.zeros((m, int(common.sum())))
+    dense[y[common[ty]], column[ty[common[ty]]]] = wy[common[ty]]
+    by_term = np.argsort(ty, kind="stable")                   # the lists of the other terms
+    y, wy, at = y[by_term], wy[by_term], np.cumsum(count) - count
+    for lo in range(0, n, CHUNK):
+        a, b = np.searchsorted(x, (lo, lo + CHUNK))
+        r, t, w = x[a:b] - lo, tx[a:b], wx[a:b]
+        mine = np.zeros((min(CHUNK, n - lo), dense.shape[1]))
+        mine[r[common[t]], column[t[common[t]]]] = w[common[t]]
+        s = mine @ dense.T
+        r, t, w = r[~common[t]], t[~common[t]], w[~common[t]]
+        size = count[t]
+        place = np.repeat(at[t] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        np.add.at(s.reshape(-1), np.repeat(r, size) * m + y[place], np.repeat(w, size) * wy[place])
+        yield lo, s
+
+
+def _kth(s: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest of each row; 0 where there are fewer."""
+    return np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] if s.shape[1] >= k else np.zeros(len(s))
 
 
 def floors(postings: DataFrame, k: int) -> DataFrame:
-    """(q, floor): a lower bound of each title's k-th best score; titles with fewer than k seeds are left out."""
-    by_weight = (F.col("weight").desc(), F.col("doc_id"))
-    heads = (postings.withColumn("_n", F.row_number().over(Window.partitionBy("term").orderBy(*by_weight)))
-             .filter(F.col("_n") <= SEED_DEPTH * k).select("term", F.col("doc_id").alias("y")))
-    own = (postings.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("weight").desc(), "term")))
-           .filter(F.col("_n") <= SEED_TERMS).select("term", F.col("doc_id").alias("q")))
-    pairs = own.join(heads, "term").filter("q <> y").select("q", "y").distinct()
-    best = Window.partitionBy("q").orderBy(F.col("dot").desc())
-    return (_exact(pairs, postings, postings).withColumn("_n", F.row_number().over(best))
-            .filter(F.col("_n") == k).select("q", (F.col("dot") - MARGIN).alias("floor")))
+    """(q, floor): a lower bound of each title's k-th best score, its k-th best within its block; titles with fewer
+    than k positive scores there are left out."""
+    def own(rows: pd.DataFrame) -> pd.DataFrame:
+        data = pickle.loads(rows["data"].iloc[0])
+        best = np.zeros(len(data[0]))
+        for lo, s in _scores(data, data):
+            s[np.arange(len(s)), lo + np.arange(len(s))] = 0.0
+            best[lo:lo + len(s)] = _kth(s, k)
+        found = best > 0
+        return pd.DataFrame({"q": data[0][found], "floor": best[found] - MARGIN})
+
+    n = _n_blocks(postings)
+    return _packed(postings, n).groupBy("block").applyInPandas(own, "q long, floor double")
 
 
 def prefixes(postings: DataFrame, floor: DataFrame) -> DataFrame:
@@ -87,12 +151,37 @@ def meeting(marked: DataFrame) -> DataFrame:
 
 
 def similar_pairs(postings: DataFrame, k: int) -> DataFrame:
-    """(q, y, score) of distinct vectors: at least each title's k best, exact."""
-    marked = materialize(prefixes(postings, floors(postings, k)), "prefixes")
-    kept = materialize(meeting(marked).filter("most >= floor").select("q", "y", "part"), "kept-pairs")
-    rest = _exact(kept, marked.filter("NOT inside"), marked)
-    return (kept.join(rest, ["q", "y"], "left")
-            .select("q", "y", F.round(F.col("part") + F.coalesce("dot", F.lit(0.0)), SCORE_DECIMALS).alias("score")))
+    """(q, y, score) of distinct vectors: each title's k + 1 best with a positive score, exact, ties to the smaller id."""
+    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:       # a block without a title
+            return pd.DataFrame({"q": [], "y": [], "score": []})
+        a, b = pickle.loads(left["data"].iloc[0]), pickle.loads(right["data"].iloc[0])
+        found = []
+        for lo, s in _scores(a, b):
+            if left["i"].iloc[0] == right["j"].iloc[0]:
+                s[np.arange(len(s)), lo + np.arange(len(s))] = 0.0
+            floor = a[5][lo:lo + len(s)].copy()
+            at = np.flatnonzero(floor <= 0)
+            floor[at] = _kth(s[at], k + 1) - 2 * MARGIN
+            r, c = np.nonzero(s >= np.maximum(floor, np.finfo(float).tiny)[:, None])
+            score = np.rint(s[r, c] / MARGIN)
+            order = np.lexsort((b[0][c], -score, r))
+            r, c, score = r[order], c[order], score[order]
+            few = np.arange(len(r)) - np.searchsorted(r, r) <= k
+            found.append((a[0][lo + r[few]], b[0][c[few]], score[few]))
+        q, y, score = (np.concatenate(x) for x in zip(*found))
+        return pd.DataFrame({"q": q, "y": y, "score": score / round(1 / MARGIN)})
+
+    n = _n_blocks(postings)
+    known = floors(postings, k).select(F.col("q").alias("doc_id"), "floor")
+    blocks = materialize(_packed(postings.join(known, "doc_id", "left").fillna(0.0, ["floor"]), n), "blocks")
+    every = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = blocks.select(F.col("block").alias("i"), every.alias("j"), "data").repartition(n * n, "i", "j")
+    right = blocks.select(every.alias("i"), F.col("block").alias("j"), "data").repartition(n * n, "i", "j")
+    met = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(best, "q long, y long, score double")
+    order = Window.partitionBy("q").orderBy(F.col("score").desc(), "y")
+    return (met.filter("score > 0").withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k + 1)
+            .select("q", "y", "score"))
 
 
 def most_similar(postings: DataFrame, docs: DataFrame, k: int = 10) -> DataFrame:

@@ -72,3 +72,20 @@ def test_bounds_skip_pairs_of_the_title_corpus(spark):
     low = best.join(N.floors(corpus.postings, 10), "q").groupBy("q").agg(
         F.sum((F.col("score") >= F.col("floor")).cast("int")).alias("n"))
     assert low.filter("n < 10").isEmpty()
+
+
+def test_blocks_equal_brute_force(spark, monkeypatch):
+    """Titles of many blocks, with terms that are dense columns and terms that are not."""
+    monkeypatch.setattr(N, "SMALL", 12)
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(400)]
+    texts = [(i, " ".join(["common"] * rng.randint(0, 2) + rng.choices(words, k=rng.randint(1, 6)))) for i in range(180)]
+    docs = spark.createDataFrame(texts, "doc_id long, description string")
+    postings = R.tfidf(docs, "doc_id", "description", None, stop_words=())
+    assert N._n_blocks(postings) > 8
+    got, want = result(spark, texts, 3), brute(texts, 3)
+    for i in want:
+        assert [s for _, s in got[i]] == pytest.approx([s for _, s in want[i]], abs=2e-6), i
+        assert [j for j, _ in got[i]] == [j for j, _ in want[i]], i
+    leaving = N.similar_pairs(postings, 3).groupBy("q").count()     # no more than k + 1 a title, not every pair above a floor
+    assert leaving.filter("count > 4").isEmpty()
