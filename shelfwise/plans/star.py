@@ -183,12 +183,13 @@ def star_titles(star: dict[str, DataFrame], by_id: bool = False) -> DataFrame:
 
     Plan: both lists as one tagged (kind, title, bridge id, name) frame; the
     titles that have both kinds (the inner-join rule) from one small per-title
-    aggregate; then per (group, kind, name) the first bridge id (partial
-    aggregate, so a list is bounded by the distinct names) and both ordered
-    lists per group by one more. The group's synopsis is a digest until then; its
-    text joins last, from one title of the group, so it is shuffled once at most.
+    aggregate. A group is its keys' SHA-256 (``_group``), so the two passes over
+    the list rows move a digest and not ten keys a row: per (group, kind, name)
+    the first bridge id (partial aggregate, so a list is bounded by the distinct
+    names), then both ordered lists per group. The keys and the synopsis join last,
+    from one title of the group, so they are shuffled once at most.
     The genre × studio product is never formed."""
-    group = ["_synopsis" if k == "synopsis" else k for k in COLLAPSE_KEYS] + (["_id"] if by_id else [])
+    keys = ["_synopsis" if k == "synopsis" else k for k in COLLAPSE_KEYS]
     pairs = None
     for dim, _ in LIST_DIMS:
         p = (star[f"title_{dim}"].join(star[dim], f"{dim}_id")
@@ -198,15 +199,22 @@ def star_titles(star: dict[str, DataFrame], by_id: bool = False) -> DataFrame:
     has = [F.max((F.col("kind") == dim).cast("int")).alias(f"_has_{dim}") for dim, _ in LIST_DIMS]
     both = (pairs.groupBy("title_id").agg(*has)
             .filter(" AND ".join(f"_has_{dim} = 1" for dim, _ in LIST_DIMS)).select("title_id"))
-    core = star_core(star).join(both, "title_id", "left_semi").withColumn("_id", F.col("title_id"))
-    first = pairs.join(core, "title_id").groupBy("kind", *group, "name").agg(
+    core = (star_core(star).join(both, "title_id", "left_semi")
+            .withColumn("_group", _digest(keys + (["title_id"] if by_id else []))))
+    first = pairs.join(core.select("title_id", "_group"), "title_id").groupBy("_group", "kind", "name").agg(
         F.min("bid").alias("bid"), F.min("title_id").alias("title_id"))
-    lists = first.groupBy(*group).agg(
+    lists = first.groupBy("_group").agg(
         F.min("title_id").alias("title_id"),
         *[_ordered_names(F.col("kind") == dim).alias(f"{dim}_names") for dim, _ in LIST_DIMS])
     texts = star["title"].select("title_id", "synopsis")
-    return lists.join(texts, "title_id").select(*(["title_id"] if by_id else []), *COLLAPSE_KEYS,
-                                                *[f"{dim}_names" for dim, _ in LIST_DIMS])
+    return lists.join(core, ["title_id", "_group"]).join(texts, "title_id").select(
+        *(["title_id"] if by_id else []), *COLLAPSE_KEYS, *[f"{dim}_names" for dim, _ in LIST_DIMS])
+
+
+def _digest(keys: list[str]) -> Column:
+    """SHA-256 of non-NULL key columns (-0.0 as 0.0, as grouping has them)."""
+    plain = [(F.when(F.col(k) == 0, F.lit(0)).otherwise(F.col(k)) if k == "duration_min" else F.col(k)).alias(k) for k in keys]
+    return F.unhex(F.sha2(F.to_json(F.struct(*plain)), 256))
 
 
 def _ordered_names(mine) -> Column:

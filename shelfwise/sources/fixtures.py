@@ -169,6 +169,9 @@ SELECT title_id AS page_id, '<html><div id="w"><div class="spaceit_pad"><div>Typ
 FROM {titles_raw}
 """.replace("&apos;", "''")
 
+#: Titles that one task of the cleaning takes, far less work each than a page.
+CLEANED_PER_TASK = 100_000
+
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -187,7 +190,9 @@ def _over_titles(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
 
 
 def titles_with_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _over_titles(spark, sf_dir, TITLES_DUP_SQL)
+    """What the cleaning reads; it parses and groups wide rows, so the parts are spread first here too."""
+    parts = spread_rows(table(spark, sf_dir, "part"), CLEANED_PER_TASK)
+    return spark.sql(TITLES_DUP_SQL, titles_raw=spark.sql(TITLES_RAW_SQL, part=parts))
 
 
 def titles_with_violations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -125,3 +125,18 @@ def test_star_titles_shuffles_the_synopsis_once(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
     assert len(wide) == 1
+
+
+def test_collapse_moves_a_digest_of_its_keys_with_the_list_rows(spark):
+    star = S.build_star(clean_titles(fx.titles_with_duplicates(spark, SF_SMALL)))
+    plan = S.star_titles(star)._jdf.queryExecution().optimizedPlan().toString()
+    groupings = [line for line in plan.splitlines() if "Aggregate [" in line]
+    assert groupings and not [line for line in groupings if "synopsis" in line or "popularity" in line]
+
+
+def test_titles_are_cleaned_by_many_tasks(spark, tmp_path):
+    spark.read.parquet(f"{SF_SMALL}/part.parquet").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    titles = fx.titles_with_duplicates(spark, str(tmp_path))
+    assert titles.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism     # two branches of a union
+    want = fx.titles_with_duplicates(spark, SF_SMALL)
+    assert titles.exceptAll(want).isEmpty() and want.exceptAll(titles).isEmpty()
