@@ -10,8 +10,8 @@ partitions and combines map-side:
 * vocabulary: ``groupBy(term).sum`` (a term found in every document is one
   row per map task after the partial combine), then a top-n of at most
   ``max_features`` rows - a proven bound, hence broadcast.
-* idf: document frequency over the kept terms (≤ ``max_features`` rows,
-  broadcast); the corpus size N is a scalar subquery, not a cross join.
+* idf: the document frequency comes with the vocabulary, from the same
+  aggregate (≤ ``max_features`` rows, broadcast); the corpus size N is a scalar subquery, not a cross join.
 * L2 norm: a window per document; a document has at most ``max_features``
   postings, so no window group is unbounded.
 
@@ -70,10 +70,12 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "descripti
     return toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def vocabulary_topn(counts: DataFrame, max_features: int | None = MAX_FEATURES) -> DataFrame:
+def vocabulary_topn(counts: DataFrame, max_features: int | None = MAX_FEATURES, with_df: bool = False) -> DataFrame:
     """Terms with the highest corpus count (ties: term order), as
-    (term, total). ``None`` keeps every term."""
-    totals = counts.groupBy("term").agg(F.sum("tf").alias("total"))
+    (term, total). ``None`` keeps every term. ``with_df`` adds the document
+    frequency ``df`` from the same aggregate."""
+    df = [F.count(F.lit(1)).alias("df")] if with_df else []
+    totals = counts.groupBy("term").agg(F.sum("tf").alias("total"), *df)
     if max_features is None:
         return totals
     return totals.orderBy(F.col("total").desc(), F.col("term")).limit(max_features)
@@ -87,16 +89,12 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "description"
     # document frequency, weights) reads them, instead of re-scanning and
     # re-tokenising the text in each branch of the plan.
     counts = materialize(tokenize(docs, id_col, text_col, stop_words), "term_counts")
-    vocab = vocabulary_topn(counts, max_features).select("term")
+    vocab = vocabulary_topn(counts, max_features, with_df=True).select("term", "df")
     if max_features is not None:
         vocab = F.broadcast(vocab)  # at most max_features rows
-    kept = counts.join(vocab, "term")
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    dfreq = kept.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    if max_features is not None:
-        dfreq = F.broadcast(dfreq)
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
-    raw = kept.join(dfreq, "term").withColumn("w", F.col("tf") * idf)
+    raw = counts.join(vocab, "term").withColumn("w", F.col("tf") * idf)
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
     return raw.select(id_col, "term", "tf", (F.col("w") / norm).alias("weight"))
 

@@ -112,3 +112,9 @@ def test_cosine_symmetric(spark, doc_corpus):
     for a in ids:
         for b in ids:
             assert sims[a][b] == pytest.approx(sims[b][a], abs=1e-12)
+
+
+def test_term_counts_are_read_for_the_vocabulary_and_for_the_weights_alone(spark):
+    post = R.tfidf(_docs(spark, ["aa bb", "aa cc", "dd ee", "aa bb"]), max_features=3, stop_words=[])
+    plan = post._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2     # not once more, twice over, for the document frequencies
