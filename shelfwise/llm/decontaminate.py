@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.bytewords import join_texts, span_hashes, word_spans
-from shelfwise.llm.common import free_name, slices, stored
+from shelfwise.llm.common import LARGE_ROWS, free_name, slices, stored
 
 WINDOW = 10
 SEGMENT_BYTES = 4 << 20
@@ -73,7 +73,7 @@ def build_index(docs: DataFrame, name: str = "postings") -> DataFrame:
             seg += 1
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
-    return stored(rows.mapInArrow(run, INDEX), name)
+    return stored(rows.mapInArrow(run, INDEX), name, options=LARGE_ROWS)
 
 
 def _index_schema() -> pa.Schema:

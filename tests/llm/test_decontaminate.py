@@ -82,3 +82,20 @@ def test_dropping_copes_with_any_column_name(spark):
                                  "doc_id long, text string, __id int, __hash int")
     items = spark.createDataFrame([(1, " ".join(words[3:14]))], "item_id long, text string")
     assert sorted(map(str, (r.text for r in D.drop_contaminated(docs, items).collect()))) == ["None", "clean text"]
+
+
+def test_index_files_hold_small_row_groups(spark):
+    """Under a hundred segments of megabytes each, all written by one task: no row group (a writer holds one, a reader
+    decodes one at once) takes them all."""
+    import pyarrow.parquet as pq
+
+    docs = [(k, " ".join(f"{k}x{i}" for i in range(130_000)) + " the end of every text") for k in range(24)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    index = D.build_index(df)
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in index.inputFiles()]
+    groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) >= 6
+    assert len(groups) > 1 and max(g.total_byte_size for g in groups) < 32 << 20
+    items = spark.createDataFrame([("a", "the end of every text")], "item_id string, text string")
+    found = D.contamination(df, items).select("doc_id", "n_words", "n_hit").collect()
+    assert sorted(map(tuple, found)) == [(k, 130_005, 5) for k in range(24)]
