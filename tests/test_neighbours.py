@@ -89,3 +89,45 @@ def test_blocks_equal_brute_force(spark, monkeypatch):
         assert [j for j, _ in got[i]] == [j for j, _ in want[i]], i
     leaving = N.similar_pairs(postings, 3).groupBy("q").count()     # no more than k + 1 a title, not every pair above a floor
     assert leaving.filter("count > 4").isEmpty()
+
+
+def topics(n, seed):
+    """Texts that share rare words with a few others and common words with many."""
+    rng = random.Random(seed)
+    return [(i, f"t{rng.randrange(n // 12)} r{rng.randrange(n // 6)} c{rng.randrange(9)} "
+             + " ".join(rng.choices([f"m{j}" for j in range(12)] + ["common"] * 3, k=rng.randint(0, 3)))) for i in range(n)]
+
+
+@pytest.mark.parametrize("too_many", [1e9, 0])
+def test_bins_equal_brute_force(spark, monkeypatch, too_many):
+    """Bins of one term and of several, blocks of a few titles each; and all titles in one bin."""
+    for name, value in (("BIN", 8), ("SMALL", 20), ("BLOCK", 30), ("PAIRS_PER_TASK", 2_000), ("TOO_MANY", too_many)):
+        monkeypatch.setattr(N, name, value)
+    texts = topics(240, 3) + [(300, "alone"), (301, "t1"), (302, ""), (303, None), (304, "common"), (305, "common common c1")]
+    got, want = result(spark, texts, 5), brute(texts, 5)
+    for i in want:
+        assert [s for _, s in got[i]] == pytest.approx([s for _, s in want[i]], abs=2e-6), i
+        assert [j for j, _ in got[i]] == [j for j, _ in want[i]], i
+
+
+def test_few_of_all_pairs_meet(spark, monkeypatch):
+    """Titles meet those that can reach their floor, not every block of titles."""
+    monkeypatch.setattr(N, "BIN", 8)
+    met, tasks = {}, []
+    real = N._met
+
+    def seen(vectors, n_blocks):
+        asking, answering, n = real(vectors, n_blocks)
+        for side, rows in (("asking", asking), ("answering", answering)):
+            met[side] = {tuple(r)[:3]: r["count"] for r in rows.groupBy("bin", "i", "j").count().collect()}
+        tasks.append(n)
+        return asking, answering, n
+
+    monkeypatch.setattr(N, "_met", seen)
+    texts = topics(1_200, 5)
+    docs = spark.createDataFrame(texts, "doc_id long, description string")
+    postings = R.tfidf(docs, "doc_id", "description", None, stop_words=())
+    assert N.similar_pairs(postings, 3).groupBy("q").count().filter("count >= 3").count() == len(texts)
+    pairs = sum(n * met["answering"].get(unit, 0) for unit, n in met["asking"].items())
+    assert len(met["asking"]) > 100 and pairs < 0.1 * len(texts) ** 2
+    assert tasks and tasks[0] >= 1
