@@ -24,11 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.bytewords import join_texts, span_hashes, word_spans
-from shelfwise.llm.common import LARGE_ROWS, free_name, slices, stored
+from shelfwise.llm.common import LARGE_ROWS, arrow_rows, free_name, slices, stored
 
 WINDOW = 10
 SEGMENT_BYTES = 4 << 20
 BLOCK_BYTES = 16 << 20
+#: Documents and segments that a task hands to Python at once.
+DOCS_AT_ONCE, SEGMENTS_AT_ONCE = 1_000, 2
 #: Bytes of words: everything but ASCII that is neither a digit nor a letter (A-Z come lower-cased).
 _WORD = np.array([b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A for b in range(256)])
 INDEX = ("seg long, doc_ids array<long>, text_hashes array<long>, bases array<int>, n_words array<int>, "
@@ -73,7 +75,8 @@ def build_index(docs: DataFrame, name: str = "postings") -> DataFrame:
             seg += 1
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
-    return stored(rows.mapInArrow(run, INDEX), name, options=LARGE_ROWS)
+    with arrow_rows(docs.sparkSession, DOCS_AT_ONCE):
+        return stored(rows.mapInArrow(run, INDEX), name, options=LARGE_ROWS)
 
 
 def _index_schema() -> pa.Schema:
@@ -178,7 +181,7 @@ def _query(items: list, window: int) -> dict:
 
 def search(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int = 0) -> DataFrame:
     """Per indexed document: its words, the runs of words inside exact windows, the ids of the items
-    with an exact window and of those with one within ``slop`` words only."""
+    with an exact window and of those with one within ``slop`` words only. Stored, a block of items at a time."""
     spark = index.sparkSession
     rows = items.select(F.col("item_id").cast("string").alias("item_id"), "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -210,7 +213,8 @@ def search(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int =
                         pa.array([names(near.get(d, ())) for d in keep], pa.list_(pa.string()))],
                         names=["seg", "ord", "doc_id", "text_hash", "n_words", "runs", "items", "near"])
 
-        return index.mapInArrow(run, FOUND)
+        with arrow_rows(spark, SEGMENTS_AT_ONCE):
+            return stored(index.mapInArrow(run, FOUND), "found")
 
     found = [block(b) for b in range(n_blocks)]
     if n_blocks == 1:

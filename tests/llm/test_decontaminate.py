@@ -99,3 +99,34 @@ def test_index_files_hold_small_row_groups(spark):
     items = spark.createDataFrame([("a", "the end of every text")], "item_id string, text string")
     found = D.contamination(df, items).select("doc_id", "n_words", "n_hit").collect()
     assert sorted(map(tuple, found)) == [(k, 130_005, 5) for k in range(24)]
+
+
+def test_few_rows_at_once(spark, monkeypatch):
+    """Index and search hand few rows at once to Python; the session's setting is as before."""
+    import pyarrow as pa
+    from shelfwise.llm.common import arrow_rows
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    lengths = lambda: [r.n for r in spark.range(20, numPartitions=1).mapInArrow(
+        lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long").collect()]
+    before = spark.conf.get(key, None)
+    with arrow_rows(spark, 6):
+        assert lengths() == [6, 6, 6, 2]
+    assert spark.conf.get(key, None) == before and lengths() == [20]
+    spark.conf.set(key, "5")
+    try:
+        with arrow_rows(spark, 6):
+            assert lengths() == [5, 5, 5, 5]
+        with pytest.raises(ZeroDivisionError), arrow_rows(spark, 3):
+            1 / 0
+        assert spark.conf.get(key) == "5"
+        seen, real = [], spark.conf.set
+        monkeypatch.setattr(type(spark.conf), "set", lambda self, k, v: (seen.append((k, v)), real(k, v))[1])
+        monkeypatch.setattr(D, "DOCS_AT_ONCE", 4)
+        docs, items = case()
+        df = spark.createDataFrame(docs[:6], "text string, doc_id long")
+        assert D.contamination(df, spark.createDataFrame(items, "item_id long, text string")).count() == 6
+        assert (key, "4") in seen and (key, str(D.SEGMENTS_AT_ONCE)) in seen and spark.conf.get(key) == "5"
+    finally:
+        monkeypatch.undo()
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
